@@ -18,6 +18,11 @@ from .operators import (
     cell_stats, coverage, dimension_hygiene, enrich_join, growth, headline, latest_growth,
     median_by, premium, rolling_mean, skew_profile, strategy_parity,
 )
+from .operators.slices import year_slice_counts
+from .plans import jobs
+from .plans.jobs import ingest
+from .sources.contract import read_feed_csv, read_feed_csv_inferred, write_feed_csv
+from .sources.layer import footprint, read_layer, read_summary, scratch_dir, write_summary
 from .sources.regions import REGIONS, region_lookup
 from .sources.sales import sales_view
 
@@ -203,3 +208,74 @@ QUERIES: dict[str, Query] = {
     "slice_premium_recent": slice_premium_recent,
     "slice_region_year": slice_region_year,
 }
+
+
+# --- layer, CSV feed, sinks and jobs -----------------------------------------
+# Each call writes to a fresh folder under the session's checkpoint folder.
+
+LAYER_COLUMNS = [c for c in ENRICHED_COLUMNS if c != "is_new_build_strict"]
+CELLS_SCHEMA = "district string, year int, median_price int, transactions long, mean_price long"
+
+
+def _feed_csv(spark, sf_dir) -> str:
+    path = scratch_dir(spark, "feed-csv")
+    write_feed_csv(sales_view(spark, sf_dir), path)
+    return path
+
+
+def _layer(spark, sf_dir) -> str:
+    path = scratch_dir(spark, "layer")
+    ingest(sales_view(spark, sf_dir), path)
+    return path
+
+
+def layer_roundtrip(spark, sf_dir):
+    return read_layer(spark, _layer(spark, sf_dir)).select(*LAYER_COLUMNS)
+
+
+def year_slice_type_count(spark, sf_dir):
+    layer = read_layer(spark, _layer(spark, sf_dir))
+    return year_slice_counts(layer, YEAR_SLICE, by="property_type", period="year")
+
+
+def year_slice_type_count_csv(spark, sf_dir):
+    feed = read_feed_csv(spark, _feed_csv(spark, sf_dir))
+    return year_slice_counts(feed, YEAR_SLICE, by="property_type", ts="date_of_transfer")
+
+
+def csv_roundtrip_cells(spark, sf_dir):
+    feed = read_feed_csv(spark, _feed_csv(spark, sf_dir))
+    return cell_stats(enrich(apply_rules(feed)), ["district", "year"], min_rows=MIN_CELL_ROWS)
+
+
+def csv_inferred_count(spark, sf_dir):
+    feed = read_feed_csv_inferred(spark, _feed_csv(spark, sf_dir), sampling_ratio=0.1)
+    return feed.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(feed.columns)))
+
+
+def summary_sink(spark, sf_dir):
+    path = scratch_dir(spark, "summary")
+    write_summary(cells_district_year(spark, sf_dir), path, name="cells_district_year")
+    return read_summary(spark, path, CELLS_SCHEMA)
+
+
+def run_report(spark, sf_dir):
+    return jobs.run(spark, sales_view(spark, sf_dir), scratch_dir(spark, "layer"),
+                    scratch_dir(spark, "outputs"))
+
+
+def footprint_q(spark, sf_dir):
+    csv_path, layer_path = _feed_csv(spark, sf_dir), _layer(spark, sf_dir)
+    return footprint(spark, {"csv": csv_path, "parquet": layer_path})
+
+
+QUERIES.update({
+    "layer_roundtrip": layer_roundtrip,
+    "year_slice_type_count": year_slice_type_count,
+    "year_slice_type_count_csv": year_slice_type_count_csv,
+    "csv_roundtrip_cells": csv_roundtrip_cells,
+    "csv_inferred_count": csv_inferred_count,
+    "summary_sink": summary_sink,
+    "run_report": run_report,
+    "footprint": footprint_q,
+})

@@ -247,6 +247,12 @@ FROM sales"""
 
 
 def oracle_queries() -> dict[str, str]:
+    out = analysis_oracles()
+    out.update(layer_oracles())
+    return out
+
+
+def analysis_oracles() -> dict[str, str]:
     from .catalog import (
         LATEST_SINCE, LATEST_TOP_N, SKEW_TOP_N, SLICE_RECENT, SLICE_YEAR, SLICE_YEARS,
     )
@@ -283,3 +289,52 @@ def oracle_queries() -> dict[str, str]:
         "slice_region_year": with_sales(
             f"SELECT * FROM region_year WHERE year = {SLICE_YEAR}", REGION_YEAR),
     }
+
+
+LAYER_ROWS = """
+SELECT transaction_id, price, date_of_transfer, postcode, district, record_status,
+       transfer_date, year, month, quarter, postcode_area, is_new_build,
+       property_type_name, duration_name, ppd_category_name
+FROM sales"""
+
+
+def _report() -> str:
+    from .catalog import SKEW_TOP_N  # noqa: F401  (same defaults as jobs.summaries)
+    since, top_n = 2000, 20
+    outputs = {
+        "median_price_by_district_year": f"SELECT count(*) FROM ({cells('district, year')}) x",
+        "price_growth_by_district": f"SELECT count(*) FROM ({cells('district, year')}) x",
+        "rolling_median_by_area": "SELECT count(*) FROM (SELECT DISTINCT postcode_area, year FROM sales) x",
+        "new_build_premium": "SELECT count(*) FROM premium",
+        "transaction_volume_by_quarter": "SELECT count(*) FROM (SELECT DISTINCT year, quarter FROM sales) x",
+        "region_summary": "SELECT count(*) FROM region_year",
+        "fastest_growing_districts": (
+            f"SELECT least({top_n}, count(DISTINCT district)) FROM "
+            f"({cells('district, year', 30, where=f'year >= {since}')}) x WHERE district IS NOT NULL"),
+    }
+    parts = ["SELECT 'ingest_rows_raw' AS name, (SELECT count(*) FROM sales_raw) AS rows",
+             "SELECT 'ingest_rows_clean', (SELECT count(*) FROM sales)"]
+    parts += [f"SELECT 'output_{k}', ({v})" for k, v in outputs.items()]
+    parts += [
+        "SELECT 'headline_total_rows', (SELECT count(*) FROM sales)",
+        "SELECT 'headline_districts', (SELECT count(DISTINCT district) FROM sales)",
+        "SELECT 'headline_postcode_areas', (SELECT count(DISTINCT postcode_area) FROM sales)",
+        "SELECT 'skew_top_key_rows', (SELECT max(n) FROM (SELECT count(*) AS n FROM sales GROUP BY postcode_area) g)",
+    ]
+    return with_sales("\nUNION ALL\n".join(parts), PREMIUM, REGION_YEAR)
+
+
+def layer_oracles() -> dict[str, str]:
+    from .catalog import YEAR_SLICE
+    return {
+        "layer_roundtrip": with_sales(LAYER_ROWS),
+        "year_slice_type_count": with_sales(
+            f"SELECT property_type, count(*) AS rows FROM sales WHERE year = {YEAR_SLICE} GROUP BY 1"),
+        "year_slice_type_count_csv": with_sales(
+            f"SELECT property_type, count(*) AS rows FROM sales_raw "
+            f"WHERE year(date_of_transfer) = {YEAR_SLICE} GROUP BY 1"),
+        "csv_roundtrip_cells": with_sales(cells("district, year")),
+        "csv_inferred_count": with_sales("SELECT count(*) AS rows, 16 AS columns FROM sales_raw"),
+        "summary_sink": with_sales(cells("district, year")),
+        "run_report": _report(),
+    }
