@@ -3,20 +3,20 @@
 Two median paths:
 
 ``exact=True`` (default) — the lower-middle element (rank ⌈n/2⌉ of the non-NULL
-values), the definition of ``percentile_disc(0.5)``. Computed as a composition:
-
-1. histogram: ``groupBy(keys, value).count()`` — partial aggregation on the map
-   side, and the shuffle key includes the value, so a hot group is spread over
-   many reducers instead of landing on one;
-2. one window per group over its *distinct values* (not its rows) ordered by
-   value, carrying running and total counts;
-3. ``groupBy(keys)`` on the window output (already clustered, no exchange)
-   picks the value whose running count first reaches ⌈n/2⌉, and sums
-   count and value·count for the row count and the mean.
-
-The per-group work after the shuffle is bounded by the number of distinct
-values, and the window operator sorts with spill, so nothing is held in one
-in-memory buffer.
+values), the definition of ``percentile_disc(0.5)``. Computed in two levels so
+that no step shuffles every row or puts a hot group's values on one task:
+
+1. coarse: ``groupBy(keys, bucket(value))`` with map-side combine, where
+   ``bucket`` is an order-preserving log-scale bucket (``BUCKETS_PER_OCTAVE``
+   per doubling, ≈0.27 % wide). Its output is a few thousand rows per group at
+   most, whatever the group's size. The group's row count and value sum come
+   from here too.
+2. select: one small window per group over its buckets finds the bucket that
+   holds rank ⌈n/2⌉ and the rank inside it; one row per group, checkpointed to
+   the session's checkpoint folder (lineage cut, size known).
+3. fine: the input is scanned again, keeping only each group's selected bucket
+   (a broadcast join, behind a row-count check of the selection), and ranked
+   within it — a fraction ≈0.27 % of the group's value range.
 
 ``exact=False`` — ``percentile_approx(value, 0.5, accuracy)``: a fixed-size
 sketch per group, merged map-side (one exchange). Equal to the exact path on
@@ -25,47 +25,90 @@ small cells; off by a bounded rank error on large ones.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import MEDIAN_ACCURACY
+from .dimension import broadcast_if_bounded
 
 ROWS = "transactions"
+BUCKETS_PER_OCTAVE = 256
 
 
 def _names(measure: str, median_name: str | None, mean_name: str | None) -> tuple[str, str]:
     return (median_name or f"median_{measure}", mean_name or f"mean_{measure}")
 
 
+def value_bucket(v: Column) -> Column:
+    """Order-preserving log-scale bucket of a numeric value (NULL for NULL)."""
+    lb = F.floor(F.log2(F.abs(v.cast("double")) + F.lit(1.0)) * F.lit(float(BUCKETS_PER_OCTAVE)))
+    return F.when(v >= 0, lb).otherwise(-lb - F.lit(1))
+
+
 def histogram(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
     """``keys + [measure, _n]``: one row per (group, distinct value)."""
     return df.groupBy(*keys, measure).agg(F.count(F.lit(1)).alias("_n"))
 
 
+def _same_keys(keys: list[str], prefix: str) -> Column | None:
+    if not keys:
+        return None
+    return reduce(lambda a, b: a & b,
+                  [F.col(k).eqNullSafe(F.col(f"{prefix}{i}")) for i, k in enumerate(keys)])
+
+
 def _exact(df: DataFrame, keys: list[str], measure: str, median: str, mean: str | None) -> DataFrame:
+    from ..sources.layer import scratch_root
+
     v = F.col(measure)
-    hist = histogram(df, keys, measure)
-    n_valued = F.when(v.isNotNull(), F.col("_n")).otherwise(F.lit(0))
     group = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    running = group.orderBy(v.asc_nulls_last()).rowsBetween(Window.unboundedPreceding,
-                                                            Window.currentRow)
-    hist = hist.withColumns({
-        "_cum": F.sum(n_valued).over(running),
-        "_valued": F.sum(n_valued).over(group),
+    # 1. coarse buckets (NULL values form the NULL bucket: rows, but no rank)
+    coarse = df.groupBy(*keys, value_bucket(v).alias("_b")).agg(
+        F.count(F.lit(1)).alias("_c"), F.sum(v.cast("double")).alias("_s"))
+    valued = F.when(F.col("_b").isNotNull(), F.col("_c")).otherwise(F.lit(0))
+    coarse = coarse.withColumns({
+        "_cum": F.sum(valued).over(group.orderBy(F.col("_b").asc_nulls_last())
+                                   .rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_valued": F.sum(valued).over(group),
+        "_rows": F.sum("_c").over(group),
+        "_total": F.sum("_s").over(group),
+        "_vc": valued,
     })
+    # 2. the bucket holding rank k = ceil(n/2); groups with no value keep one row
     k = F.ceil(F.col("_valued") / F.lit(2))
-    at_median = v.isNotNull() & (F.col("_cum") >= k) & (F.col("_cum") - F.col("_n") < k)
-    aggs: list[Column] = [
-        F.min(F.when(at_median, v)).alias(median),
-        F.sum("_n").alias(ROWS),
-    ]
+    at = (F.col("_b").isNotNull() & (F.col("_cum") >= k) & (F.col("_cum") - F.col("_vc") < k))
+    empty = (F.col("_valued") == 0) & F.col("_b").isNull()
+    sel = coarse.filter(at | empty).select(
+        *[F.col(key).alias(f"_g{i}") for i, key in enumerate(keys)],
+        F.when(at, F.col("_b")).alias("_sb"),
+        F.when(at, k - (F.col("_cum") - F.col("_vc"))).alias("_k"),
+        "_rows", "_total", "_valued")
+    scratch_root(df.sparkSession)          # make sure a checkpoint folder is set
+    sel = sel.checkpoint(eager=True)
+    # 3. rank inside the selected bucket only
+    probe = broadcast_if_bounded(sel.filter(F.col("_sb").isNotNull()))
+    cond = F.col("_sb") == value_bucket(v)
+    same = _same_keys(keys, "_g")
+    inside = df.filter(v.isNotNull()).join(probe, cond if same is None else (same & cond))
+    gcols = [f"_g{i}" for i in range(len(keys))]
+    fine = inside.groupBy(*gcols, "_k", "_rows", "_total", "_valued", v.alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    fgroup = Window.partitionBy(*gcols) if gcols else Window.partitionBy()
+    fine = fine.withColumn("_cum2", F.sum("_n").over(
+        fgroup.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    picked = fine.filter((F.col("_cum2") >= F.col("_k")) & (F.col("_cum2") - F.col("_n") < F.col("_k")))
+    picked = picked.select(*gcols, F.col("_v").alias("_median"), "_rows", "_total", "_valued")
+    no_value = sel.filter(F.col("_sb").isNull()).select(
+        *gcols, F.lit(None).cast(df.schema[measure].dataType).alias("_median"),
+        "_rows", "_total", "_valued")
+    out = picked.unionByName(no_value)
+    cols = [F.col(f"_g{i}").alias(key) for i, key in enumerate(keys)]
+    cols += [F.col("_median").alias(median), F.col("_rows").alias(ROWS)]
     if mean is not None:
-        total = F.sum(v.cast("double") * F.col("_n"))
-        aggs.append(F.try_divide(total, F.max("_valued")).cast("long").alias(mean))
-    if keys:
-        return hist.groupBy(*keys).agg(*aggs)
-    return hist.agg(*aggs)
+        cols.append(F.try_divide(F.col("_total"), F.col("_valued")).cast("long").alias(mean))
+    return out.select(*cols)
 
 
 def _approx(df: DataFrame, keys: list[str], measure: str, median: str, mean: str | None,
