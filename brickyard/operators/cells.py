@@ -27,11 +27,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import MEDIAN_ACCURACY
-from .dimension import broadcast_if_bounded
+from .dimension import MAX_BROADCAST_ROWS
 
 ROWS = "transactions"
 BUCKETS_PER_OCTAVE = 256
@@ -86,9 +86,13 @@ def _exact(df: DataFrame, keys: list[str], measure: str, median: str, mean: str
         F.when(at, k - (F.col("_cum") - F.col("_vc"))).alias("_k"),
         "_rows", "_total", "_valued")
     scratch_root(df.sparkSession)          # make sure a checkpoint folder is set
-    sel = sel.checkpoint(eager=True)
-    # 3. rank inside the selected bucket only
-    probe = broadcast_if_bounded(sel.filter(F.col("_sb").isNotNull()))
+    seen = Observation()
+    sel = sel.observe(seen, F.count(F.lit(1)).alias("groups")).checkpoint(eager=True)
+    # 3. rank inside the selected bucket only; the selection is broadcast only
+    #    when its row count (observed while checkpointing) is within bounds
+    probe = sel.filter(F.col("_sb").isNotNull())
+    if seen.get["groups"] <= MAX_BROADCAST_ROWS:
+        probe = F.broadcast(probe)
     cond = F.col("_sb") == value_bucket(v)
     same = _same_keys(keys, "_g")
     inside = df.filter(v.isNotNull()).join(probe, cond if same is None else (same & cond))
