@@ -12,8 +12,9 @@ that no step shuffles every row or puts a hot group's values on one task:
    most, whatever the group's size. The group's row count and value sum come
    from here too.
 2. select: one small window per group over its buckets finds the bucket that
-   holds rank ⌈n/2⌉ and the rank inside it; one row per group, checkpointed to
-   the session's checkpoint folder (lineage cut, size known).
+   holds rank ⌈n/2⌉ and the rank inside it; one row per group, written once as
+   a small table under the session's checkpoint folder (computed once, lineage
+   cut, its row count observed during the write).
 3. fine: the input is scanned again, keeping only each group's selected bucket
    (a broadcast join, behind a row-count check of the selection), and ranked
    within it — a fraction ≈0.27 % of the group's value range.
@@ -60,7 +61,7 @@ def _same_keys(keys: list[str], prefix: str) -> Column | None:
 
 
 def _exact(df: DataFrame, keys: list[str], measure: str, median: str, mean: str | None) -> DataFrame:
-    from ..sources.layer import scratch_root
+    from ..sources.layer import scratch_dir
 
     v = F.col(measure)
     group = Window.partitionBy(*keys) if keys else Window.partitionBy()
@@ -85,11 +86,13 @@ def _exact(df: DataFrame, keys: list[str], measure: str, median: str, mean: str
         F.when(at, F.col("_b")).alias("_sb"),
         F.when(at, k - (F.col("_cum") - F.col("_vc"))).alias("_k"),
         "_rows", "_total", "_valued")
-    scratch_root(df.sparkSession)          # make sure a checkpoint folder is set
+    spark = df.sparkSession
+    path = scratch_dir(spark, "median-buckets")
     seen = Observation()
-    sel = sel.observe(seen, F.count(F.lit(1)).alias("groups")).checkpoint(eager=True)
+    sel.observe(seen, F.count(F.lit(1)).alias("groups")).write.parquet(path)
+    sel = spark.read.parquet(path)
     # 3. rank inside the selected bucket only; the selection is broadcast only
-    #    when its row count (observed while checkpointing) is within bounds
+    #    when its row count (observed while writing it) is within bounds
     probe = sel.filter(F.col("_sb").isNotNull())
     if seen.get["groups"] <= MAX_BROADCAST_ROWS:
         probe = F.broadcast(probe)

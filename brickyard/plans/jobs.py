@@ -18,6 +18,7 @@ from ..operators import (
     cell_stats, enrich_join, growth, latest_growth, median_by, premium, rolling_mean,
 )
 from ..operators.profile import headline, skew_profile
+from ..sources.contract import read_feed_csv
 from ..sources.layer import read_layer, write_layer, write_summary
 from ..sources.regions import region_lookup
 
@@ -56,6 +57,12 @@ def summaries(df: DataFrame, *, since_year: int = 2000, top_n: int = 20,
     }
 
 
+def summaries_from_csv(spark: SparkSession, csv_path: str) -> dict[str, DataFrame]:
+    """The same summaries straight from a feed CSV (no layer): the operators
+    take any DataFrame in the contract, so only the source changes."""
+    return summaries(enrich(apply_rules(read_feed_csv(spark, csv_path))))
+
+
 def analyse(layer: DataFrame, out_root: str) -> dict[str, int]:
     """Write every summary under ``out_root`` and return rows written per output.
 
