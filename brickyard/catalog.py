@@ -99,6 +99,13 @@ def cells_district_type_year(spark, sf_dir):
                       min_rows=MIN_CELL_ROWS)
 
 
+def cells_district_year_approx(spark, sf_dir):
+    """A1 with the feed's original sketch median (``percentile_approx``, 10000);
+    on cells this small it equals the exact lower-middle element."""
+    return cell_stats(sales(spark, sf_dir), ["district", "year"], min_rows=MIN_CELL_ROWS,
+                      exact=False)
+
+
 def cells_quarter(spark, sf_dir):
     return median_by(sales(spark, sf_dir), ["year", "quarter"], order=True)
 
@@ -221,6 +228,7 @@ def slice_region_year(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "cells_district_year": cells_district_year,
     "cells_district_type_year": cells_district_type_year,
+    "cells_district_year_approx": cells_district_year_approx,
     "cells_quarter": cells_quarter,
     "national_year": national_year,
     "region_year": region_year,
@@ -254,34 +262,37 @@ LAYER_COLUMNS = [c for c in ENRICHED_COLUMNS if c != "is_new_build_strict"]
 CELLS_SCHEMA = "district string, year int, median_price int, transactions long, mean_price long"
 
 
-_feed_csv = feed_csv_path
-_layer = layer_path
 
 
 def layer_roundtrip(spark, sf_dir):
-    return read_layer(spark, _layer(spark, sf_dir)).select(*LAYER_COLUMNS)
+    return read_layer(spark, layer_path(spark, sf_dir)).select(*LAYER_COLUMNS)
 
 
 def year_slice_type_count(spark, sf_dir):
-    layer = read_layer(spark, _layer(spark, sf_dir))
+    layer = read_layer(spark, layer_path(spark, sf_dir))
     return year_slice_counts(layer, YEAR_SLICE, by="property_type", period="year")
 
 
 def year_slice_type_count_csv(spark, sf_dir):
-    feed = read_feed_csv(spark, _feed_csv(spark, sf_dir))
+    feed = read_feed_csv(spark, feed_csv_path(spark, sf_dir))
     return year_slice_counts(feed, YEAR_SLICE, by="property_type", ts="date_of_transfer")
 
 
 def csv_roundtrip_cells(spark, sf_dir):
-    feed = read_feed_csv(spark, _feed_csv(spark, sf_dir))
+    feed = read_feed_csv(spark, feed_csv_path(spark, sf_dir))
     return cell_stats(enrich(apply_rules(feed)), ["district", "year"], min_rows=MIN_CELL_ROWS)
 
 
 def csv_inferred_count(spark, sf_dir):
-    feed = read_feed_csv_inferred(spark, _feed_csv(spark, sf_dir), sampling_ratio=0.1)
+    feed = read_feed_csv_inferred(spark, feed_csv_path(spark, sf_dir), sampling_ratio=0.1)
     return feed.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(feed.columns)))
 
 
+def csv_summary_premium(spark, sf_dir):
+    """B3: a summary straight from the feed CSV, no layer in between."""
+    return jobs.summaries_from_csv(spark, feed_csv_path(spark, sf_dir))["new_build_premium"]
+
+
 def summary_sink(spark, sf_dir):
     path = scratch_dir(spark, "summary")
     write_summary(cells_district_year(spark, sf_dir), path, name="cells_district_year")
@@ -294,8 +305,8 @@ def run_report(spark, sf_dir):
 
 
 def footprint_q(spark, sf_dir):
-    csv_path, layer_path = _feed_csv(spark, sf_dir), _layer(spark, sf_dir)
-    return footprint(spark, {"csv": csv_path, "parquet": layer_path})
+    return footprint(spark, {"csv": feed_csv_path(spark, sf_dir),
+                             "parquet": layer_path(spark, sf_dir)})
 
 
 QUERIES.update({
@@ -304,6 +315,7 @@ QUERIES.update({
     "year_slice_type_count_csv": year_slice_type_count_csv,
     "csv_roundtrip_cells": csv_roundtrip_cells,
     "csv_inferred_count": csv_inferred_count,
+    "csv_summary_premium": csv_summary_premium,
     "summary_sink": summary_sink,
     "run_report": run_report,
     "footprint": footprint_q,

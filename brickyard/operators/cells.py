@@ -60,7 +60,8 @@ def _same_keys(keys: list[str], prefix: str) -> Column | None:
                   [F.col(k).eqNullSafe(F.col(f"{prefix}{i}")) for i, k in enumerate(keys)])
 
 
-def _exact(df: DataFrame, keys: list[str], measure: str, median: str, mean: str | None) -> DataFrame:
+def _exact(df: DataFrame, keys: list[str], measure: str, median: str, mean: str | None,
+           min_rows: int | None = None) -> DataFrame:
     from ..sources.layer import scratch_dir
 
     v = F.col(measure)
@@ -86,6 +87,8 @@ def _exact(df: DataFrame, keys: list[str], measure: str, median: str, mean: str
         F.when(at, F.col("_b")).alias("_sb"),
         F.when(at, k - (F.col("_cum") - F.col("_vc"))).alias("_k"),
         "_rows", "_total", "_valued")
+    if min_rows is not None:               # thin cells are never ranked
+        sel = sel.filter(F.col("_rows") >= min_rows)
     spark = df.sparkSession
     path = scratch_dir(spark, "median-buckets")
     seen = Observation()
@@ -100,8 +103,9 @@ def _exact(df: DataFrame, keys: list[str], measure: str, median: str, mean: str
     same = _same_keys(keys, "_g")
     inside = df.filter(v.isNotNull()).join(probe, cond if same is None else (same & cond))
     gcols = [f"_g{i}" for i in range(len(keys))]
-    fine = inside.groupBy(*gcols, "_k", "_rows", "_total", "_valued", v.alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n"))
+    fine = inside.groupBy(*gcols, v.alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.first(c).alias(c) for c in ("_k", "_rows", "_total", "_valued")])
     fgroup = Window.partitionBy(*gcols) if gcols else Window.partitionBy()
     fine = fine.withColumn("_cum2", F.sum("_n").over(
         fgroup.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -143,7 +147,7 @@ def cell_stats(df: DataFrame, keys: Sequence[str], measure: str = "price", *,
     keys = list(keys)
     median, mean = _names(measure, median_name, mean_name)
     mean = mean if with_mean else None
-    out = (_exact(df, keys, measure, median, mean) if exact
+    out = (_exact(df, keys, measure, median, mean, min_rows) if exact
            else _approx(df, keys, measure, median, mean, accuracy))
     out = out.select(*keys, median, ROWS, *([mean] if mean else []))
     if min_rows is not None:

@@ -260,6 +260,7 @@ def analysis_oracles() -> dict[str, str]:
     return {
         "cells_district_year": with_sales(cells("district, year")),
         "cells_district_type_year": with_sales(cells("district, property_type_name, year")),
+        "cells_district_year_approx": with_sales(cells("district, year")),
         "cells_quarter": with_sales(cells("year, quarter", None, mean=False)),
         "national_year": with_sales(cells("year", None, mean=False)),
         "region_year": with_sales("SELECT * FROM region_year", REGION_YEAR),
@@ -335,6 +336,7 @@ def layer_oracles() -> dict[str, str]:
             f"WHERE year(date_of_transfer) = {YEAR_SLICE} GROUP BY 1"),
         "csv_roundtrip_cells": with_sales(cells("district, year")),
         "csv_inferred_count": with_sales("SELECT count(*) AS rows, 16 AS columns FROM sales_raw"),
+        "csv_summary_premium": with_sales("SELECT * FROM premium", PREMIUM),
         "summary_sink": with_sales(cells("district, year")),
         "run_report": _report(),
     }
