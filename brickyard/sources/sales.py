@@ -15,10 +15,14 @@ is the executed order):
    lineitem join, so lineitem rows are shuffled only by orderkey and partkey;
 4. lineitem ⋈ (3) on orderkey, then ⋈ part on partkey.
 
-No join carries a hint: every side is a Parquet scan with size statistics, so
-Catalyst's own size check (``autoBroadcastJoinThreshold``) broadcasts the
-small dimensions and plans sort-merge joins for the large ones, and AQE
-re-plans from the real shuffle sizes at run time. Only the needed columns are
+lineitem ⋈ orders joins two fact-sized tables that both grow with the data,
+so it is a sort-merge join by hint: a pruned, compressed Parquet scan can
+look small enough to the size estimate to be broadcast (at sf0.1 the planner
+would broadcast lineitem itself), and a fact table must never be built into a
+hash table on the driver. Every other join is left to Catalyst's own size
+check (``autoBroadcastJoinThreshold``), which broadcasts the small dimensions
+and plans sort-merge joins for large ones, and AQE re-plans from the real
+shuffle sizes at run time. Only the needed columns are
 selected before each join, so every scan reads a pruned schema, and the
 cleaning predicates on status and price are pushed below the joins.
 """
@@ -71,7 +75,7 @@ def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-    rows = (lineitem.join(ords, lineitem.l_orderkey == ords.o_orderkey)
+    rows = (lineitem.join(ords.hint("merge"), lineitem.l_orderkey == ords.o_orderkey)
                     .join(part, lineitem.l_partkey == part.p_partkey))
 
     area = decode(F.col("c_nationkey").cast("string"), area_by_nation())
