@@ -30,6 +30,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..functions.codes import MEDIAN_ACCURACY
 from .dimension import MAX_BROADCAST_ROWS
@@ -48,6 +49,17 @@ def value_bucket(v: Column) -> Column:
     return F.when(v >= 0, lb).otherwise(-lb - F.lit(1))
 
 
+def _mean_of(total: Column, n: Column, integral: bool) -> Column:
+    """Mean; truncated to a whole number (as ``cast(long)``) for integral
+    measures, left as a double for fractional ones."""
+    m = F.try_divide(total, n)
+    return m.cast("long") if integral else m
+
+
+def _integral(df: DataFrame, measure: str) -> bool:
+    return isinstance(df.schema[measure].dataType, IntegralType)
+
+
 def histogram(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
     """``keys + [measure, _n]``: one row per (group, distinct value)."""
     return df.groupBy(*keys, measure).agg(F.count(F.lit(1)).alias("_n"))
@@ -118,7 +130,7 @@ def _exact(df: DataFrame, keys: list[str], measure: str, median: str, mean: str
     cols = [F.col(f"_g{i}").alias(key) for i, key in enumerate(keys)]
     cols += [F.col("_median").alias(median), F.col("_rows").alias(ROWS)]
     if mean is not None:
-        cols.append(F.try_divide(F.col("_total"), F.col("_valued")).cast("long").alias(mean))
+        cols.append(_mean_of(F.col("_total"), F.col("_valued"), _integral(df, measure)).alias(mean))
     return out.select(*cols)
 
 
@@ -129,7 +141,8 @@ def _approx(df: DataFrame, keys: list[str], measure: str, median: str, mean: str
         F.count(F.lit(1)).alias(ROWS),
     ]
     if mean is not None:
-        aggs.append(F.avg(measure).cast("long").alias(mean))
+        avg = F.avg(measure)
+        aggs.append((avg.cast("long") if _integral(df, measure) else avg).alias(mean))
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
 
 
@@ -139,7 +152,8 @@ def cell_stats(df: DataFrame, keys: Sequence[str], measure: str = "price", *,
                mean_name: str | None = None) -> DataFrame:
     """One row per group of ``keys``: ``median_<measure>``, ``transactions``
     (all rows of the group) and, if asked, ``mean_<measure>`` (the mean of the
-    non-NULL values truncated to a whole number, as ``cast(long)`` does).
+    non-NULL values; for integral measures truncated to a whole number, as
+    ``cast(long)`` does).
 
     ``min_rows`` suppresses thin cells (HAVING ``transactions >= min_rows``).
     NULL keys form their own group, as in ``groupBy``.

@@ -1,0 +1 @@
+"""Jobs (ingest, summarise) and plan-inspection helpers."""

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The feature set this library covers is batch only — there is no stream
+source, watermark, windowed streaming aggregate or stateful operator in it —
+so none is invented here. The batch jobs in ``plans.jobs`` write their outputs
+as tables, which is how an incremental caller would consume them.
+"""

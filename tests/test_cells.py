@@ -91,3 +91,27 @@ def test_approximate_path_rank_error_is_bounded(spark):
     approx = cell_stats(df, ["k"], "v", exact=False, accuracy=10_000).first()["median_v"]
     rank = sum(1 for v in vals if v <= approx)
     assert abs(rank - len(vals) / 2) <= len(vals) / 10_000 * 2 + 1
+
+
+def test_hot_group_with_distinct_values_across_sign(spark):
+    """One group holds a third of the rows, every value distinct, both signs."""
+    rnd = random.Random(3)
+    hot = rnd.sample(range(-10**9, 10**9), 20_000)
+    rows = [("hot", v) for v in hot]
+    rows += [(f"g{i % 50}", rnd.randrange(-10**6, 10**6)) for i in range(40_000)]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(8)
+    got = {r["k"]: r["median_v"] for r in cell_stats(df, ["k"], "v").collect()}
+    by_key: dict[str, list[int]] = {}
+    for k, v in rows:
+        by_key.setdefault(k, []).append(v)
+    assert got == {k: lower_median(vs) for k, vs in by_key.items()}
+
+
+def test_double_measure_with_fractions(spark):
+    rnd = random.Random(5)
+    rows = [(f"g{i % 3}", rnd.uniform(-5.0, 5.0)) for i in range(3001)]
+    rows += [("g0", 0.0), ("g0", -0.0), ("g1", 1e-300), ("g2", 1e300)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: r["median_v"] for r in cell_stats(df, ["k"], "v").collect()}
+    for k in ("g0", "g1", "g2"):
+        assert got[k] == lower_median([v for kk, v in rows if kk == k])
