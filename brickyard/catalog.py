@@ -290,7 +290,7 @@ def csv_inferred_count(spark, sf_dir):
 
 def csv_summary_premium(spark, sf_dir):
     """B3: a summary straight from the feed CSV, no layer in between."""
-    return jobs.summaries_from_csv(spark, feed_csv_path(spark, sf_dir))["new_build_premium"]
+    return jobs.summary_from_csv(spark, feed_csv_path(spark, sf_dir), "new_build_premium")
 
 
 def summary_sink(spark, sf_dir):

@@ -38,29 +38,50 @@ def ingest(raw: DataFrame, path: str, *, rules: Sequence[Rule] | None = None,
     return {k: int(v) for k, v in obs.get.items()}
 
 
-def summaries(df: DataFrame, *, since_year: int = 2000, top_n: int = 20,
-              window_years: int = 3) -> dict[str, DataFrame]:
-    """The seven market summaries over clean, enriched sales (lazy)."""
-    district_cells = cell_stats(df, ["district", "year"], min_rows=30)
-    joined = enrich_join(df, region_lookup(df.sparkSession), "postcode_area")
-    recent = cell_stats(df.filter(F.col("year") >= since_year), ["district", "year"], min_rows=30)
-    return {
-        "median_price_by_district_year": district_cells,
-        "price_growth_by_district": growth(district_cells, "district"),
-        "rolling_median_by_area": rolling_mean(median_by(df, ["postcode_area", "year"]),
-                                               "postcode_area", periods=window_years),
-        "new_build_premium": premium(df, ["year", "property_type_name"], "is_new_build"),
-        "transaction_volume_by_quarter": median_by(df, ["year", "quarter"], order=True),
-        "region_summary": median_by(joined.filter(F.col("region").isNotNull()),
-                                    ["region", "year"], order=True),
-        "fastest_growing_districts": latest_growth(recent, "district", top_n=top_n),
-    }
-
-
-def summaries_from_csv(spark: SparkSession, csv_path: str) -> dict[str, DataFrame]:
-    """The same summaries straight from a feed CSV (no layer): the operators
-    take any DataFrame in the contract, so only the source changes."""
-    return summaries(enrich(apply_rules(read_feed_csv(spark, csv_path))))
+SUMMARY_NAMES = (
+    "median_price_by_district_year", "price_growth_by_district", "rolling_median_by_area",
+    "new_build_premium", "transaction_volume_by_quarter", "region_summary",
+    "fastest_growing_districts",
+)
+
+
+def summary(df: DataFrame, name: str, *, since_year: int = 2000, top_n: int = 20,
+            window_years: int = 3) -> DataFrame:
+    """One of the seven market summaries over clean, enriched sales.
+
+    Built on demand: an exact median runs a small selection job when it is
+    built, so only the summaries asked for are built.
+    """
+    if name == "median_price_by_district_year":
+        return cell_stats(df, ["district", "year"], min_rows=30)
+    if name == "price_growth_by_district":
+        return growth(cell_stats(df, ["district", "year"], min_rows=30), "district")
+    if name == "rolling_median_by_area":
+        return rolling_mean(median_by(df, ["postcode_area", "year"]), "postcode_area",
+                            periods=window_years)
+    if name == "new_build_premium":
+        return premium(df, ["year", "property_type_name"], "is_new_build")
+    if name == "transaction_volume_by_quarter":
+        return median_by(df, ["year", "quarter"], order=True)
+    if name == "region_summary":
+        joined = enrich_join(df, region_lookup(df.sparkSession), "postcode_area")
+        return median_by(joined.filter(F.col("region").isNotNull()), ["region", "year"], order=True)
+    if name == "fastest_growing_districts":
+        recent = cell_stats(df.filter(F.col("year") >= since_year), ["district", "year"],
+                            min_rows=30)
+        return latest_growth(recent, "district", top_n=top_n)
+    raise ValueError(f"unknown summary {name!r}")
+
+
+def summaries(df: DataFrame, **params) -> dict[str, DataFrame]:
+    """All seven summaries (each built as it is listed)."""
+    return {name: summary(df, name, **params) for name in SUMMARY_NAMES}
+
+
+def summary_from_csv(spark: SparkSession, csv_path: str, name: str, **params) -> DataFrame:
+    """A summary straight from a feed CSV (no layer): the operators take any
+    DataFrame in the contract, so only the source changes."""
+    return summary(enrich(apply_rules(read_feed_csv(spark, csv_path))), name, **params)
 
 
 def analyse(layer: DataFrame, out_root: str) -> dict[str, int]:
@@ -69,8 +90,8 @@ def analyse(layer: DataFrame, out_root: str) -> dict[str, int]:
     Each write observes its own row count (one job per output, no cache).
     """
     written = {}
-    for name, df in summaries(layer).items():
-        written[name] = write_summary(df, f"{out_root}/{name}", name=name)
+    for name in SUMMARY_NAMES:
+        written[name] = write_summary(summary(layer, name), f"{out_root}/{name}", name=name)
     return written
 
 

@@ -63,15 +63,17 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_summary(df: DataFrame, path: str, *, single_file: bool = False,
-                  name: str = "summary") -> int:
+                  name: str = "summary", limit: int | None = None) -> int:
     """Write a summary as CSV with a header and return its row count.
 
     The count is observed during the write itself (one job, no cache, no
     second pass). ``single_file`` coalesces to one part file — only for
-    summaries known to be small.
+    summaries known to be small. ``limit`` (None or 0: no limit) caps the
+    rows written, for callers that want a head of a sorted summary.
     """
     obs = Observation(name)
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    src = df.limit(limit) if limit else df
+    out = src.observe(obs, F.count(F.lit(1)).alias("rows"))
     if single_file:
         out = out.coalesce(1)
     out.write.mode("overwrite").option("header", "true").csv(path)
