@@ -25,7 +25,7 @@ from .operators import (
 from .operators.slices import year_slice_counts
 from .plans import jobs
 from .plans.jobs import ingest
-from .sources.contract import read_feed_csv, read_feed_csv_inferred, write_feed_csv
+from .sources.contract import check_contract, read_feed_csv, read_feed_csv_inferred, write_feed_csv
 from .sources.layer import footprint, read_layer, read_summary, scratch_dir, write_summary
 from .sources.regions import REGIONS, region_lookup
 from .sources.sales import sales_view
@@ -156,6 +156,12 @@ def cohort_premium(spark, sf_dir):
     return premium(sales(spark, sf_dir), ["year", "property_type_name"], "is_new_build")
 
 
+def cohort_premium_approx(spark, sf_dir):
+    """C1 with sketch medians, in one aggregate (no join, one exchange)."""
+    return premium(sales(spark, sf_dir), ["year", "property_type_name"], "is_new_build",
+                   exact=False)
+
+
 # --- dimension joins ---------------------------------------------------------
 
 def region_coverage(spark, sf_dir):
@@ -200,6 +206,10 @@ def skew_top10(spark, sf_dir):
     return skew_profile(sales(spark, sf_dir), "postcode_area", SKEW_TOP_N)
 
 
+def contract_check(spark, sf_dir):
+    return check_contract(sales_view(spark, sf_dir))
+
+
 def quality_audit(spark, sf_dir):
     return audit(sales_view(spark, sf_dir))
 
@@ -238,6 +248,7 @@ QUERIES: dict[str, Query] = {
     "trend_rolling3_gappy": trend_rolling3_gappy,
     "latest_growth_top": latest_growth_top,
     "cohort_premium": cohort_premium,
+    "cohort_premium_approx": cohort_premium_approx,
     "region_coverage": region_coverage,
     "join_strategy_parity": join_strategy_parity,
     "dimension_hygiene": dimension_hygiene_q,
@@ -246,6 +257,7 @@ QUERIES: dict[str, Query] = {
     "group_counts_area": group_counts_area,
     "headline": headline_q,
     "skew_top10": skew_top10,
+    "contract_check": contract_check,
     "quality_audit": quality_audit,
     "enriched_rows": enriched_rows,
     "slice_quarter_years": slice_quarter_years,

@@ -270,6 +270,7 @@ def analysis_oracles() -> dict[str, str]:
         "trend_rolling3_gappy": rolling("district, property_type_name", 30),
         "latest_growth_top": latest_growth(LATEST_SINCE, LATEST_TOP_N),
         "cohort_premium": with_sales("SELECT * FROM premium", PREMIUM),
+        "cohort_premium_approx": with_sales("SELECT * FROM premium", PREMIUM),
         "region_coverage": with_sales(COVERAGE),
         "join_strategy_parity": with_sales(PARITY),
         "dimension_hygiene": with_sales(_hygiene()),
@@ -281,6 +282,9 @@ def analysis_oracles() -> dict[str, str]:
             "SELECT postcode_area, count(*) AS rows FROM sales_region GROUP BY postcode_area"),
         "headline": with_sales(HEADLINE),
         "skew_top10": skew("postcode_area", SKEW_TOP_N),
+        "contract_check": with_sales(
+            "SELECT 0 AS missing_columns, count_if(transaction_id IS NULL) AS null_keys, "
+            "count(*) AS rows FROM sales_raw"),
         "quality_audit": with_sales(QUALITY),
         "enriched_rows": with_sales(ENRICHED),
         "slice_quarter_years": with_sales(
