@@ -29,7 +29,9 @@ def ingest(raw: DataFrame, path: str, *, rules: Sequence[Rule] | None = None,
 
     The cleaning audit (raw, clean and per-rule failure counts) is observed on
     the same scan that feeds the write: one pass over the feed, not one for the
-    write and another to count it.
+    write and another to count it. No exchange lies between the observation
+    and the write, so it runs in the result stage and a retried task is
+    counted once.
     """
     rules = list(rules) if rules is not None else price_paid_rules()
     obs = Observation("ingest_audit")

@@ -67,7 +67,9 @@ def write_summary(df: DataFrame, path: str, *, single_file: bool = False,
     """Write a summary as CSV with a header and return its row count.
 
     The count is observed during the write itself (one job, no cache, no
-    second pass). ``single_file`` coalesces to one part file — only for
+    second pass). The observation sits in the write's result stage, where
+    Spark applies each task's update once, so a retried task is not counted
+    twice. ``single_file`` coalesces to one part file — only for
     summaries known to be small. ``limit`` (None or 0: no limit) caps the
     rows written, for callers that want a head of a sorted summary.
     """
