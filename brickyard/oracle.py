@@ -246,10 +246,28 @@ SELECT count(*) AS total_rows, min(year) AS year_min, max(year) AS year_max,
 FROM sales"""
 
 
+def _bigint_counts(sql: str) -> str:
+    """DuckDB's ``count_if`` is HUGEINT; Spark's is BIGINT. Cast each call."""
+    out, i, token = [], 0, "count_if("
+    while True:
+        j = sql.find(token, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(token) - 1
+        while True:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            if depth == 0:
+                break
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k + 1] + " AS BIGINT)")
+        i = k + 1
+
+
 def oracle_queries() -> dict[str, str]:
     out = analysis_oracles()
     out.update(layer_oracles())
-    return out
+    return {name: _bigint_counts(sql) for name, sql in out.items()}
 
 
 def analysis_oracles() -> dict[str, str]:
