@@ -9,8 +9,13 @@
 - ``"merge"`` — sort-merge join, by hint (no session setting is changed).
   Rows with a NULL key cannot match; they are split off *before* the shuffle
   and unioned back with NULL dimension columns, so they never pile into the
-  one hash partition NULL would go to. Hot non-NULL keys are left to AQE's
-  skew-join splitting (on by default).
+  one hash partition NULL would go to. The join key is salted: each fact row
+  gets a salt in ``[0, salts)`` from a hash of its own values (deterministic,
+  so a retried task reproduces it) and the dimension is replicated once per
+  salt, so one key is spread over ``salts`` reducers. A low-cardinality key
+  (a hundred-odd areas) otherwise caps the join at that many tasks, each as
+  large as its key, and AQE's skew split cannot help when every partition is
+  equally large.
 - ``"auto"`` — no hint: Catalyst / AQE decide from size statistics.
 
 All strategies return the same rows (see ``strategy_parity``).
@@ -43,7 +48,8 @@ def _null_key(df: DataFrame, keys: list[str]) -> Column:
 
 def enrich_join(df: DataFrame, dim: DataFrame, keys: str | list[str], *,
                 strategy: str = "broadcast",
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                salts: int = 16) -> DataFrame:
     """Left-outer equi-join of ``df`` to ``dim`` on ``keys``; every input row is
     kept, unmatched and NULL keys get NULL dimension columns."""
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -56,7 +62,15 @@ def enrich_join(df: DataFrame, dim: DataFrame, keys: str | list[str], *,
         nulls = df.filter(_null_key(df, keys))
         for c in dim_cols:
             nulls = nulls.withColumn(c, F.lit(None).cast(dim.schema[c].dataType))
-        matched = df.filter(~_null_key(df, keys)).join(dim.hint("merge"), on=keys, how="left")
+        live = df.filter(~_null_key(df, keys))
+        if salts > 1:
+            salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))
+            live = live.withColumn("_salt", salt)
+            dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+            dim = dim.withColumn("_salt", F.col("_salt").cast("long"))
+            matched = live.join(dim.hint("merge"), on=keys + ["_salt"], how="left").drop("_salt")
+        else:
+            matched = live.join(dim.hint("merge"), on=keys, how="left")
         return matched.unionByName(nulls)
     if strategy == "auto":
         return df.join(dim, on=keys, how="left")

@@ -61,6 +61,15 @@ def test_plans_use_the_requested_join(mixed_df, spark):
     assert "SortMergeJoin" in merge and "BroadcastHashJoin" not in merge
 
 
+def test_merge_join_is_salted_and_splits_null_keys(mixed_df, spark):
+    plan = physical_plan(enrich_join(mixed_df, region_lookup(spark), "postcode_area",
+                                     strategy="merge", salts=8))
+    assert "SortMergeJoin" in plan and "_salt" in plan and "Union" in plan
+    unsalted = physical_plan(enrich_join(mixed_df, region_lookup(spark), "postcode_area",
+                                         strategy="merge", salts=1))
+    assert "_salt" not in unsalted
+
+
 def test_broadcast_falls_back_above_the_size_bound(mixed_df, spark):
     dim = region_lookup(spark)
     plan = physical_plan(enrich_join(mixed_df, dim, "postcode_area", max_broadcast_rows=10))
