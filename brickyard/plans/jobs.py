@@ -24,19 +24,26 @@ from ..sources.regions import region_lookup
 
 
 def ingest(raw: DataFrame, path: str, *, rules: Sequence[Rule] | None = None,
-           partition_by: str = "year") -> dict[str, int]:
+           partition_by: str = "year", layout: str = "rebalance") -> dict[str, int]:
     """Clean, enrich and write ``raw`` as a partitioned layer at ``path``.
 
     The cleaning audit (raw, clean and per-rule failure counts) is observed on
-    the same scan that feeds the write: one pass over the feed, not one for the
-    write and another to count it. No exchange lies between the observation
-    and the write, so it runs in the result stage and a retried task is
-    counted once.
+    the same pass that feeds the write: one pass over the feed, not one for the
+    write and another to count it. Derived columns are added first (they drop
+    no rows), the rows are laid out by the partition column (``rebalance``,
+    see ``write_layer``), and only then observed and filtered: the observation
+    sits in the write's result stage, where a retried task is counted once,
+    and a filter is never pushed below an observation, so it sees every raw
+    row.
     """
     rules = list(rules) if rules is not None else price_paid_rules()
+    rows = enrich(raw)
+    aqe = raw.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true"
+    if layout == "rebalance" and aqe:
+        rows = rows.hint("rebalance", partition_by)
     obs = Observation("ingest_audit")
-    observed = raw.observe(obs, *audit_columns(rules))
-    write_layer(enrich(apply_rules(observed, rules)), path, partition_by=partition_by)
+    observed = rows.observe(obs, *audit_columns(rules))
+    write_layer(apply_rules(observed, rules), path, partition_by=partition_by, layout="map")
     return {k: int(v) for k, v in obs.get.items()}
 
 

@@ -35,19 +35,33 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 
 def write_layer(df: DataFrame, path: str, *, partition_by: str | None = "year",
-                compression: str = "snappy", range_cluster: str | None = None) -> None:
+                compression: str = "snappy", layout: str = "rebalance",
+                range_cluster: str | None = None) -> None:
     """Overwrite ``path`` with Parquet, partitioned by ``partition_by``.
 
-    By default the write is map-only (no shuffle): each task writes one file
-    per partition value it meets, and the writer sorts locally by the
-    partition column so only one file is open at a time. ``range_cluster``
-    (e.g. ``"transfer_date"``) adds a sampled range shuffle so every task holds
-    a contiguous slice and writes one or two large files — worth its shuffle
-    only when input order is random and small files would otherwise multiply.
+    ``layout``:
+
+    - ``"rebalance"`` (default) — the ``rebalance`` hint on the partition
+      column: one shuffle, after which AQE splits large partitions and merges
+      small ones to its advisory size, so every task writes one file of one
+      partition value. Without it, input that is not already ordered by the
+      partition column (e.g. the output of a join) makes every task write a
+      file for every year it meets: tasks × years small files. Needs AQE; with
+      AQE off it falls back to ``"map"`` rather than funnel each year into one
+      task.
+    - ``"map"`` — no shuffle; right for input already ordered by date (a
+      chronological feed), where each split meets one or two years.
+    - ``range_cluster`` (a column, e.g. ``"transfer_date"``) — a sampled range
+      shuffle on (partition column, that column), for sorted files.
     """
     w = df
+    aqe = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true"
     if partition_by and range_cluster:
         w = df.repartitionByRange(partition_by, range_cluster)
+    elif partition_by and layout == "rebalance" and aqe:
+        w = df.hint("rebalance", partition_by)
+    elif layout not in ("rebalance", "map"):
+        raise ValueError(f"unknown layout {layout!r}")
     writer = w.write.mode("overwrite").option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(partition_by)
