@@ -13,6 +13,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +61,8 @@ def _once(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], ob
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
     with _LOCK:
+        if key in _BUILT and not _exists(spark, _BUILT[key]):
+            del _BUILT[key]                  # folder removed under us: rebuild
         if key not in _BUILT:
             path = scratch_dir(spark, kind)
             build(path)
@@ -67,6 +70,15 @@ def _once(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], ob
         return _BUILT[key]
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a written dataset is still there (a file listing, no data read)."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        return True
+    except AnalysisException:
+        return False
+
+
 def layer_path(spark: SparkSession, sf_dir: str) -> str:
     """The clean, enriched, year-partitioned layer of the sales in ``sf_dir``."""
     return _once(spark, sf_dir, "layer", lambda p: ingest(sales_view(spark, sf_dir), p))
