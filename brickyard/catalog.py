@@ -23,7 +23,7 @@ from .operators import (
     cell_stats, coverage, dimension_hygiene, enrich_join, growth, headline, latest_growth,
     median_by, premium, rolling_mean, skew_profile, strategy_parity,
 )
-from .operators.slices import year_slice_counts
+from .operators.slices import period_slice, year_slice_counts
 from .plans import jobs
 from .plans.jobs import ingest
 from .sources.contract import check_contract, read_feed_csv, read_feed_csv_inferred, write_feed_csv
@@ -235,16 +235,21 @@ def enriched_rows(spark, sf_dir):
 # --- slices of summaries -----------------------------------------------------
 
 def slice_quarter_years(spark, sf_dir):
-    return cells_quarter(spark, sf_dir).filter(F.col("year").isin(*SLICE_YEARS))
+    # the year is a grouping key, so slicing the input first gives the same
+    # cells and prunes the layer's year partitions before any median is ranked
+    df = period_slice(sales(spark, sf_dir), years=SLICE_YEARS)
+    return median_by(df, ["year", "quarter"], order=True)
 
 
 def slice_premium_recent(spark, sf_dir):
-    return (cohort_premium(spark, sf_dir).filter(F.col("year") >= SLICE_RECENT)
+    df = period_slice(sales(spark, sf_dir), since=SLICE_RECENT)
+    return (premium(df, ["year", "property_type_name"], "is_new_build")
             .orderBy("year", "property_type_name"))
 
 
 def slice_region_year(spark, sf_dir):
-    return region_year(spark, sf_dir).filter(F.col("year") == SLICE_YEAR)
+    joined = with_regions(period_slice(sales(spark, sf_dir), equals=SLICE_YEAR))
+    return median_by(joined.filter(F.col("region").isNotNull()), ["region", "year"], order=True)
 
 
 QUERIES: dict[str, Query] = {

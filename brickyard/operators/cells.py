@@ -19,6 +19,10 @@ that no step shuffles every row or puts a hot group's values on one task:
    (a broadcast join, behind a row-count check of the selection), and ranked
    within it — a fraction ≈0.27 % of the group's value range.
 
+Because step 2 runs when the DataFrame is built, a filter applied to the
+result afterwards cannot be pushed below it: filter the *input* (e.g. on a
+grouping key such as ``year``, which also prunes layer partitions).
+
 ``exact=False`` — ``percentile_approx(value, 0.5, accuracy)``: a fixed-size
 sketch per group, merged map-side (one exchange). Equal to the exact path on
 small cells; off by a bounded rank error on large ones.
