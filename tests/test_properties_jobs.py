@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -21,7 +22,11 @@ cells_strategy = st.dictionaries(
 
 
 def _pct(new, base):
-    return None if base is None else round(100.0 * (new - base) / base, 2)
+    """Spark's ``round``: half-up on the double's shortest decimal text."""
+    if base is None:
+        return None
+    x = 100.0 * (new - base) / base
+    return float(Decimal(repr(x)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
