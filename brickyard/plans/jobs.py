@@ -8,6 +8,7 @@ from the raw feed by a later job.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -93,15 +94,19 @@ def summary_from_csv(spark: SparkSession, csv_path: str, name: str, **params) ->
     return summary(enrich(apply_rules(read_feed_csv(spark, csv_path))), name, **params)
 
 
-def analyse(layer: DataFrame, out_root: str) -> dict[str, int]:
+def analyse(layer: DataFrame, out_root: str, *, parallel: int = 4) -> dict[str, int]:
     """Write every summary under ``out_root`` and return rows written per output.
 
-    Each write observes its own row count (one job per output, no cache).
+    Each write observes its own row count (one job per output, no cache). The
+    outputs are independent, so up to ``parallel`` of them are submitted at
+    once from a thread pool: concurrent jobs of one session share the
+    executors, and small stages of one output fill slots another leaves idle.
     """
-    written = {}
-    for name in SUMMARY_NAMES:
-        written[name] = write_summary(summary(layer, name), f"{out_root}/{name}", name=name)
-    return written
+    def one(name: str) -> tuple[str, int]:
+        return name, write_summary(summary(layer, name), f"{out_root}/{name}", name=name)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return dict(pool.map(one, SUMMARY_NAMES))
 
 
 def report_frame(spark: SparkSession, report: dict[str, int]) -> DataFrame:
