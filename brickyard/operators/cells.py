@@ -48,7 +48,12 @@ def _names(measure: str, median_name: str | None, mean_name: str | None) -> tupl
 
 
 def value_bucket(v: Column) -> Column:
-    """Order-preserving log-scale bucket of a numeric value (NULL for NULL)."""
+    """Order-preserving log-scale bucket of a numeric value (NULL for NULL).
+
+    The coarse and the fine pass compute it separately, so it must be the
+    same on every executor: Spark's ``log2`` is evaluated with ``StrictMath``
+    (bit-exact on every platform), and the rest is exact arithmetic.
+    """
     lb = F.floor(F.log2(F.abs(v.cast("double")) + F.lit(1.0)) * F.lit(float(BUCKETS_PER_OCTAVE)))
     return F.when(v >= 0, lb).otherwise(-lb - F.lit(1))
 
