@@ -101,7 +101,10 @@ def with_sales(body: str, *extra: str) -> str:
 
 
 def pct(new: str, base: str, digits: int = 2) -> str:
-    return f"round(100.0::DOUBLE * ({new} - {base}) / {base}, {digits})"
+    """Percentage change, rounded. Spark rounds through BigDecimal, which has
+    no negative zero (-0.004 → 0.0); DuckDB keeps -0.0. Adding 0.0 maps -0.0
+    to 0.0 and leaves every other value unchanged."""
+    return f"(round(100.0::DOUBLE * ({new} - {base}) / {base}, {digits}) + 0.0)"
 
 
 def cells(keys: str, floor: int | None = 30, where: str = "", mean: bool = True,
@@ -144,7 +147,8 @@ premium AS (
   SELECT n.year, n.property_type_name,
          n.median_price AS new_build_median,
          o.median_price AS existing_median,
-         round(100.0::DOUBLE * (n.median_price - o.median_price) / o.median_price, 2) AS premium_pct,
+         (round(100.0::DOUBLE * (n.median_price - o.median_price) / o.median_price, 2) + 0.0)
+           AS premium_pct,
          n.transactions AS new_build_transactions
   FROM (SELECT year, property_type_name, quantile_disc(price, 0.5) AS median_price, count(*) AS transactions
         FROM sales WHERE is_new_build GROUP BY ALL) n
