@@ -335,7 +335,7 @@ def run_report(spark, sf_dir):
 
 def footprint_q(spark, sf_dir):
     return footprint(spark, {"csv": feed_csv_path(spark, sf_dir),
-                             "parquet": layer_path(spark, sf_dir)})
+                             "parquet": layer_path(spark, sf_dir)}, ratio_to="parquet")
 
 
 QUERIES.update({

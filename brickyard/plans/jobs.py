@@ -131,4 +131,6 @@ def run(spark: SparkSession, raw: DataFrame, layer_path: str, out_root: str) ->
     report["headline_districts"] = head["districts"]
     report["headline_postcode_areas"] = head["postcode_areas"]
     report["skew_top_key_rows"] = skew_profile(layer, top_n=1).first()["rows"]
-    return report_frame(spark, report)
+    frame = report_frame(spark, report)
+    frame.coalesce(1).write.mode("overwrite").json(f"{out_root}/_report")   # a few rows
+    return frame

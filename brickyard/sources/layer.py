@@ -101,8 +101,10 @@ def read_summary(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return spark.read.option("header", "true").schema(schema).csv(path)
 
 
-def footprint(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Bytes and data files on disk per dataset: ``dataset``, ``files``, ``bytes``.
+def footprint(spark: SparkSession, paths: dict[str, str], *, ratio_to: str | None = None) -> DataFrame:
+    """Bytes and data files on disk per dataset: ``dataset``, ``files``, ``bytes``
+    and, with ``ratio_to``, each dataset's size relative to that one (e.g. the
+    CSV:Parquet compression ratio), 2 dp.
 
     Listed and summed by Spark (``binaryFile`` with only ``length`` selected,
     so file contents are never read); hidden files such as ``_SUCCESS`` and
@@ -118,4 +120,7 @@ def footprint(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    if ratio_to is not None:
+        base = out.filter(F.col("dataset") == ratio_to).select("bytes").scalar()
+        out = out.withColumn(f"ratio_to_{ratio_to}", F.round(F.try_divide(F.col("bytes"), base), 2))
     return out
