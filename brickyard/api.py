@@ -1,0 +1,113 @@
+"""Task-level entry points with the feed project's familiar names.
+
+For callers moving existing pipelines: each function keeps the parameters and
+output columns they already use and delegates to the general operators.
+Medians default to the sketch (``exact=False``, accuracy 10,000) so numbers
+match what such pipelines produce today; pass ``exact=True`` for the exact
+lower-middle element.
+"""
+from __future__ import annotations
+
+import time
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import apply_rules
+from .functions import enrich as _enrich
+from .functions.codes import MIN_CELL_ROWS
+from .functions.rules import audit
+from .operators import cell_stats, enrich_join, growth, latest_growth, median_by, premium
+from .operators import rolling_mean as _rolling
+from .operators import skew_profile as _skew
+from .plans.jobs import ingest
+from .sources.contract import read_feed_csv, read_feed_csv_inferred
+from .sources.layer import footprint, read_layer, write_layer
+from .sources.regions import region_lookup  # noqa: F401  (re-exported)
+
+
+def clean(df: DataFrame) -> DataFrame:
+    return apply_rules(df)
+
+
+def enrich(df: DataFrame) -> DataFrame:
+    return _enrich(df)
+
+
+def quality_report(raw: DataFrame, cleaned: DataFrame | None = None) -> dict:
+    """``rows_raw``, ``rows_clean``, ``rows_dropped``, ``pct_dropped`` from one
+    pass over ``raw`` (``cleaned`` is accepted for compatibility, not read)."""
+    row = audit(raw).first()
+    return {k: row[k] for k in ("rows_raw", "rows_clean", "rows_dropped", "pct_dropped")}
+
+
+def median_price_by_district_year(df: DataFrame, *, exact: bool = False) -> DataFrame:
+    return cell_stats(df, ["district", "year"], min_rows=MIN_CELL_ROWS, exact=exact)
+
+
+def price_growth_by_district(df: DataFrame, *, exact: bool = False) -> DataFrame:
+    return growth(median_price_by_district_year(df, exact=exact), "district")
+
+
+def rolling_median_by_area(df: DataFrame, window_years: int = 3, *,
+                           exact: bool = False) -> DataFrame:
+    cells = median_by(df, ["postcode_area", "year"], exact=exact)
+    return _rolling(cells, "postcode_area", periods=window_years)
+
+
+def new_build_premium(df: DataFrame, *, exact: bool = False) -> DataFrame:
+    return premium(df, ["year", "property_type_name"], "is_new_build", exact=exact)
+
+
+def transaction_volume_by_quarter(df: DataFrame, *, exact: bool = False) -> DataFrame:
+    return median_by(df, ["year", "quarter"], exact=exact, order=True)
+
+
+def fastest_growing_districts(df: DataFrame, since_year: int = 2000, top_n: int = 20, *,
+                              exact: bool = False) -> DataFrame:
+    cells = cell_stats(df.filter(F.col("year") >= since_year), ["district", "year"],
+                       min_rows=MIN_CELL_ROWS, exact=exact)
+    return latest_growth(cells, "district", top_n=top_n)
+
+
+def join_regions(df: DataFrame, lookup: DataFrame, *, broadcast: bool = True) -> DataFrame:
+    return enrich_join(df, lookup, "postcode_area", strategy="broadcast" if broadcast else "merge")
+
+
+def skew_profile(df: DataFrame, key: str = "postcode_area", top_n: int = 10) -> DataFrame:
+    return _skew(df, key, top_n)
+
+
+def region_summary(df: DataFrame, *, exact: bool = False) -> DataFrame:
+    return median_by(df.filter(F.col("region").isNotNull()), ["region", "year"], exact=exact,
+                     order=True)
+
+
+def read_raw_csv(spark: SparkSession, path: str, *, infer: bool = False,
+                 sampling_ratio: float | None = None) -> DataFrame:
+    if infer:
+        return read_feed_csv_inferred(spark, path, sampling_ratio=sampling_ratio)
+    return read_feed_csv(spark, path)
+
+
+def write_parquet(df: DataFrame, path: str, *, partition_by: str = "year") -> float:
+    """Write the layer; returns elapsed seconds."""
+    started = time.perf_counter()
+    write_layer(df, path, partition_by=partition_by)
+    return time.perf_counter() - started
+
+
+def build_parquet_layer(spark: SparkSession, csv_path: str, parquet_path: str) -> dict:
+    """CSV → clean → enrich → partitioned Parquet, with the audit of the pass."""
+    started = time.perf_counter()
+    report = ingest(read_feed_csv(spark, csv_path), parquet_path)
+    report["total_seconds"] = round(time.perf_counter() - started, 1)
+    return report
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    return read_layer(spark, path)
+
+
+def directory_size_bytes(spark: SparkSession, path: str) -> int:
+    return int(footprint(spark, {"d": path}).first()["bytes"])
