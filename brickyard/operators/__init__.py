@@ -1,5 +1,5 @@
 """DataFrame → DataFrame operators."""
-from .cells import cell_stats, histogram, median_by
+from .cells import cell_stats, median_by
 from .cohort import premium
 from .dimension import (
     broadcast_if_bounded, coverage, dimension_hygiene, enrich_join, fingerprint,
@@ -10,6 +10,6 @@ from .trend import growth, latest_growth, rolling_mean
 
 __all__ = [
     "broadcast_if_bounded", "cell_stats", "coverage", "dimension_hygiene", "enrich_join",
-    "fingerprint", "growth", "headline", "histogram", "latest_growth", "median_by",
+    "fingerprint", "growth", "headline", "latest_growth", "median_by",
     "premium", "rolling_mean", "skew_profile", "strategy_parity",
 ]

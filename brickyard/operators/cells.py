@@ -69,11 +69,6 @@ def _integral(df: DataFrame, measure: str) -> bool:
     return isinstance(df.schema[measure].dataType, IntegralType)
 
 
-def histogram(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
-    """``keys + [measure, _n]``: one row per (group, distinct value)."""
-    return df.groupBy(*keys, measure).agg(F.count(F.lit(1)).alias("_n"))
-
-
 def _same_keys(keys: list[str], prefix: str) -> Column | None:
     if not keys:
         return None

@@ -37,6 +37,16 @@ def ingest(raw: DataFrame, path: str, *, rules: Sequence[Rule] | None = None,
     and a filter is never pushed below an observation, so it sees every raw
     row.
     """
+    rows, obs = ingest_frame(raw, rules=rules, partition_by=partition_by, layout=layout)
+    write_layer(rows, path, partition_by=partition_by, layout="map")
+    return {k: int(v) for k, v in obs.get.items()}
+
+
+def ingest_frame(raw: DataFrame, *, rules: Sequence[Rule] | None = None,
+                 partition_by: str = "year", layout: str = "rebalance",
+                 ) -> tuple[DataFrame, Observation]:
+    """The rows ``ingest`` writes, and the observation that will hold its audit
+    once they are written (see ``ingest`` for the order of the steps)."""
     rules = list(rules) if rules is not None else price_paid_rules()
     rows = enrich(raw)
     aqe = raw.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true"
@@ -44,8 +54,7 @@ def ingest(raw: DataFrame, path: str, *, rules: Sequence[Rule] | None = None,
         rows = rows.hint("rebalance", partition_by)
     obs = Observation("ingest_audit")
     observed = rows.observe(obs, *audit_columns(rules))
-    write_layer(apply_rules(observed, rules), path, partition_by=partition_by, layout="map")
-    return {k: int(v) for k, v in obs.get.items()}
+    return apply_rules(observed, rules), obs
 
 
 SUMMARY_NAMES = (

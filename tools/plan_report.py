@@ -49,6 +49,12 @@ def main() -> None:
             with contextlib.redirect_stdout(buf):
                 df.explain("formatted")
             plans[name] = buf.getvalue()
+    from brickyard.plans.jobs import ingest_frame
+    from brickyard.sources.sales import sales_view
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        ingest_frame(sales_view(spark, sf_dir))[0].explain("formatted")
+    plans["ingest (rows written to the layer)"] = buf.getvalue()
     for name, text in plans.items():
         lines += ["", f"## `{name}`", "", "```", text.strip(), "```"]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
