@@ -7,6 +7,7 @@ from the raw feed by a later job.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -52,7 +53,7 @@ def ingest_frame(raw: DataFrame, *, rules: Sequence[Rule] | None = None,
     aqe = raw.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true"
     if layout == "rebalance" and aqe:
         rows = rows.hint("rebalance", partition_by)
-    obs = Observation("ingest_audit")
+    obs = Observation(f"ingest-audit-{uuid.uuid4().hex}")   # unique per concurrent ingest
     observed = rows.observe(obs, *audit_columns(rules))
     return apply_rules(observed, rules), obs
 

@@ -87,7 +87,7 @@ def write_summary(df: DataFrame, path: str, *, single_file: bool = False,
     summaries known to be small. ``limit`` (None or 0: no limit) caps the
     rows written, for callers that want a head of a sorted summary.
     """
-    obs = Observation(name)
+    obs = Observation(f"{name}-{uuid.uuid4().hex}")     # unique: writes may run concurrently
     src = df.limit(limit) if limit else df
     out = src.observe(obs, F.count(F.lit(1)).alias("rows"))
     if single_file:
