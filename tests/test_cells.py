@@ -115,3 +115,11 @@ def test_double_measure_with_fractions(spark):
     got = {r["k"]: r["median_v"] for r in cell_stats(df, ["k"], "v").collect()}
     for k in ("g0", "g1", "g2"):
         assert got[k] == lower_median([v for kk, v in rows if kk == k])
+
+
+def test_empty_input(spark):
+    from brickyard.operators import headline
+    df = spark.createDataFrame([], "district string, year int, price int, postcode_area string")
+    assert cell_stats(df, ["district", "year"]).count() == 0
+    row = headline(df).first()
+    assert row["total_rows"] == 0 and row["median_price_all_time"] is None
