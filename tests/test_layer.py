@@ -11,7 +11,7 @@ from brickyard.plans.inspect import physical_plan
 from brickyard.plans.jobs import ingest
 from brickyard.sources.contract import FEED_SCHEMA, read_feed_csv, write_feed_csv
 from brickyard.sources.layer import (
-    footprint, read_layer, read_summary, scratch_dir, scratch_root, write_summary,
+    footprint, read_layer, read_summary, scratch_dir, scratch_root, write_layer, write_summary,
 )
 
 from .conftest import frame, sale
@@ -84,3 +84,21 @@ def test_footprint_sums_data_files(spark, sample_df):
     sample_df.write.parquet(path)
     row = footprint(spark, {"p": path}).first()
     assert row["dataset"] == "p" and row["files"] >= 1 and row["bytes"] > 0
+
+
+def test_rebalance_layout_writes_one_file_per_year(spark):
+    """Rows spread over many partitions: map-only writes a file per (task, year),
+    the rebalance layout about one per year (AQE merges small partitions)."""
+    import glob
+
+    from .conftest import priced_years
+    rows = priced_years([(y, 100_000 + y) for y in range(2000, 2006)], per_year=50)
+    df = enrich(apply_rules(frame(spark, rows))).repartition(8)
+
+    def files(layout):
+        path = scratch_dir(spark, f"test-{layout}")
+        write_layer(df, path, layout=layout)
+        return len(glob.glob(path.replace("file:", "") + "/year=*/*.parquet"))
+
+    assert files("rebalance") == 6
+    assert files("map") > 6
