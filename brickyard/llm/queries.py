@@ -5,6 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .quality import quality
 from .tables import documents
 from .token_counts import token_counts
 
@@ -20,8 +21,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir, "doc_id", "text"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(documents(spark, sf_dir, "doc_id", "text"),
+                   spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_quality": op2_quality,
 }
 
 #: DuckDB SQL by query, where SQL can express the operator.
