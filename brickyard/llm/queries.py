@@ -5,6 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import exact_dedup, language_id, mixing
 from .quality import quality
 from .tables import documents
 from .token_counts import token_counts
@@ -26,10 +27,33 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                    spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"))
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_query(documents(spark, sf_dir, "doc_id", "text", "source"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.of_documents(documents(spark, sf_dir))
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator over ``pages``, which have all four kinds of evidence."""
+    return language_id.of_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality": op2_quality,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op8_mix_sources": op8_mix_sources,
+    "op9_language_id": op9_language_id,
+    "language_id_pages": language_id_pages,
 }
 
 #: DuckDB SQL by query, where SQL can express the operator.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_exact_dedup": exact_dedup.ORACLE,
+}
