@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, mixing
+from . import exact_dedup, language_id, line_dedup, mixing
 from .quality import quality
 from .tables import documents
 from .token_counts import token_counts
@@ -44,16 +44,22 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.of_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup_query(documents(spark, sf_dir, "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality": op2_quality,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_mix_sources": op8_mix_sources,
     "op9_language_id": op9_language_id,
+    "op10_line_dedup": op10_line_dedup,
     "language_id_pages": language_id_pages,
 }
 
 #: DuckDB SQL by query, where SQL can express the operator.
 ORACLES: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.ORACLE,
+    "op10_line_dedup": line_dedup.ORACLE,
 }
