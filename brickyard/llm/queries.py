@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, line_dedup, mixing
+from . import exact_dedup, fingerprints, language_id, line_dedup, mixing
 from .quality import quality
 from .tables import documents
 from .token_counts import token_counts
@@ -27,6 +27,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                    spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir, "doc_id", "text"))
 
@@ -51,6 +55,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality": op2_quality,
+    "op3_fingerprints": op3_fingerprints,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_mix_sources": op8_mix_sources,
     "op9_language_id": op9_language_id,

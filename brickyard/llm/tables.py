@@ -53,9 +53,12 @@ def range_bounds(df: DataFrame, key: str, n: int) -> list[int]:
 def range_of(key: Column, bounds: list[int]) -> Column:
     """Number of the range that ``key`` lies in, 0 to ``len(bounds) - 1``; NULL
     keys follow the last range."""
-    inner = F.array(*[F.lit(int(b)).cast("long") for b in bounds[1:]]) if len(bounds) > 1 else None
-    if inner is None:
+    if len(bounds) < 2:
         found = F.lit(0)
-    else:
-        found = F.size(F.filter(inner, lambda b: b <= key.cast("long")))
+    else:                            # first among every 64th bound, then within
+        value = key.cast("long")
+        every = F.array(*[F.lit(int(b)).cast("long") for b in bounds])
+        coarse = F.array(*[F.lit(int(b)).cast("long") for b in bounds[::64]])
+        block = F.greatest(F.size(F.filter(coarse, lambda b: b <= value)) - 1, F.lit(0))
+        found = F.greatest(block * 64 + F.size(F.filter(F.slice(every, block * 64 + 1, 64), lambda b: b <= value)) - 1, F.lit(0))
     return F.when(key.isNull(), F.lit(max(0, len(bounds) - 1))).otherwise(found).cast("int")
