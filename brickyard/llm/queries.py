@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fingerprints, language_id, line_dedup, mixing
+from . import exact_dedup, fingerprints, language_id, line_dedup, mixing, packing
 from .quality import quality
 from .tables import documents
 from .token_counts import token_counts
@@ -35,6 +35,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir, "doc_id", "text"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_query(documents(spark, sf_dir, "doc_id", "text", "source"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_fingerprints": op3_fingerprints,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_packing": op5_packing,
     "op8_mix_sources": op8_mix_sources,
     "op9_language_id": op9_language_id,
     "op10_line_dedup": op10_line_dedup,
