@@ -50,6 +50,11 @@ def range_bounds(df: DataFrame, key: str, n: int) -> list[int]:
     return sorted({int(row["least"]), *map(int, row["mid"])})
 
 
+def ranges_for(df: DataFrame, key: str, rows: int, most: int = 1 << 18) -> list[int]:
+    """``range_bounds`` for ranges of about ``rows`` rows each."""
+    return range_bounds(df, key, max(1, min(most, -(-df.count() // rows))))
+
+
 def range_of(key: Column, bounds: list[int]) -> Column:
     """Number of the range that ``key`` lies in, 0 to ``len(bounds) - 1``; NULL
     keys follow the last range."""
