@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fingerprints, language_id, line_dedup, mixing, packing, substring_dedup
+from . import exact_dedup, fingerprints, jaccard_join, language_id, line_dedup, mixing, packing, substring_dedup
 from .quality import quality
 from .tables import documents
 from .token_counts import token_counts
@@ -39,6 +39,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir, "doc_id", "text"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(documents(spark, sf_dir, "doc_id", "text"))
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": op3_fingerprints,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_packing": op5_packing,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_mix_sources": op8_mix_sources,
     "op9_language_id": op9_language_id,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: DuckDB SQL by query, where SQL can express the operator.
 ORACLES: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.ORACLE,
+    "op6_jaccard_join": jaccard_join.ORACLE,
     "op7_substring_dedup": substring_dedup.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
 }
