@@ -24,8 +24,8 @@ distinct unit once.
 from __future__ import annotations
 
 import os
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,41 +35,95 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import small, written
-from .words import column
+from .words import Words, column, mix, raw, slices
 
 SIZE = 2048
 CLASSES = 256
 END = 1
 GAP = 1e-4                       # of the number of sequences, at which column generation ends
 MAX_UNITS = 1_000_000
-_UNIT = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-#: Other white space joins runs across units; "<|" may begin a special string.
-_WHOLE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -     　]|<\\|")
+#: Other white space (in UTF-8) joins runs across units; "<|" may begin a special string.
+_OTHER = [b"<|"] + [chr(c).encode() for c in (
+    0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 
 
 class Encoder:
-    """Token ids of texts as little-endian unsigned 32-bit bytes."""
+    """Token ids of a column of texts; those of distinct units are kept, by hash, up to a bound."""
 
     def __init__(self, path: str, most: int = MAX_UNITS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.units = Tokenizer.from_file(path), most, {}
+        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.clear()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def clear(self) -> None:
+        self.keys, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)     # by key, in ids
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for lo in range(0, len(texts), 256):
-            part = texts[lo:lo + 256]
-            split = [None if _WHOLE.search(t) else _UNIT.findall(t) for t in part]
-            if len(self.units) > self.most:
-                self.units.clear()
-            new = list({u for units in split if units for u in units if u not in self.units})
-            self.units.update(zip(new, self._encode(new), strict=True))
-            for text, units in zip(part, split, strict=True):
-                yield self._encode([text])[0] if units is None else b"".join(map(self.units.__getitem__, units))
+    def _encode(self, texts: list[str]) -> list[array]:
+        return [array("I", e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    @staticmethod
+    def units(arr: pa.Array) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of a slice: (words, starts, ends, rows, hashes) of its units in order; white
+        space at a text's end is a unit too."""
+        w = Words(arr)
+        data, offs = raw(arr)
+        n = len(offs) - 1
+        last = np.where(w.bounds[1:] > w.bounds[:-1], w.ends[np.maximum(w.bounds[1:] - 1, 0)] if len(w) else 0, offs[:-1])
+        starts = np.zeros(len(w), np.int64)
+        starts[1:] = w.ends[:-1]
+        opening = w.bounds[:-1][w.bounds[1:] > w.bounds[:-1]]
+        starts[opening] = offs[:-1][w.rows[opening]]
+        tails = np.flatnonzero(last < offs[1:])
+        rows = np.concatenate([w.rows, tails])
+        starts, begins = np.concatenate([starts, last[tails]]), np.concatenate([w.starts, offs[1:][tails]])
+        ends, hashes = np.concatenate([w.ends, offs[1:][tails]]), np.concatenate([w.hashes, np.zeros(len(tails), np.uint64)])
+        gap = begins - starts
+        code = np.zeros(len(gap), np.uint64)
+        code[gap == 1] = data[starts[gap == 1]].astype(np.uint64) + np.uint64(1)
+        for i in np.flatnonzero(gap > 1).tolist():
+            code[i] = (zlib.crc32(data[starts[i]:begins[i]].tobytes()) << 20 | int(gap[i])) + 512
+        with np.errstate(over="ignore"):
+            hashes = mix(hashes + mix(code))
+        order = np.argsort(starts, kind="stable") if len(tails) else slice(None)
+        return w, starts[order], ends[order], rows[order], hashes[order]
+
+    def encode(self, arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a slice of texts, and the number of ids of each text."""
+        w, starts, ends, rows, hashes = self.units(arr)
+        body = w.data.tobytes()
+        apart = np.zeros(len(arr), bool)
+        other = [x for x in _OTHER if x in body]
+        if other:
+            offs = raw(arr)[1].tolist()
+            apart = np.array([any(body.find(x, lo, hi) >= 0 for x in other) for lo, hi in zip(offs[:-1], offs[1:], strict=True)])
+            plain = ~apart[rows]
+            starts, ends, rows, hashes = starts[plain], ends[plain], rows[plain], hashes[plain]
+        keys, one, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.keys) + len(keys) > self.most:
+            self.clear()
+        at = np.searchsorted(self.keys, keys)
+        known = self.keys[np.minimum(at, len(self.keys) - 1)] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        new = np.flatnonzero(~known)
+        found = self._encode([body[a:b].decode() for a, b in zip(starts[one[new]].tolist(), ends[one[new]].tolist(), strict=True)])
+        size = np.array([len(x) for x in found], np.int64)
+        joined = np.frombuffer(b"".join(x.tobytes() for x in found), np.uint32)
+        self.first = np.insert(self.first, at[new], len(self.ids) + np.cumsum(size) - size)
+        self.size = np.insert(self.size, at[new], size)
+        self.keys = np.insert(self.keys, at[new], keys[new])
+        self.ids = np.concatenate([self.ids, joined])
+        at = np.searchsorted(self.keys, keys)[which]
+        size = self.size[at]
+        src = np.repeat(self.first[at] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        ids, many = self.ids[src], np.bincount(rows, size, len(arr)).astype(np.int64)
+        if apart.any():                                          # texts that are encoded whole
+            parts, place = [], np.concatenate([[0], np.cumsum(many)])
+            for i in range(len(arr)):
+                parts.append(np.array(self._encode([arr[i].as_py()])[0], np.uint32) if apart[i] else ids[place[i]:place[i + 1]])
+            ids, many = np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+        return ids, many
 
 
 def knapsack(prices: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, np.ndarray]:
@@ -111,6 +165,24 @@ def first_basis(sizes: np.ndarray, need: np.ndarray, room: int) -> np.ndarray:
     return columns
 
 
+def _inverse(m: np.ndarray) -> np.ndarray:
+    """Inverse by Gauss-Jordan steps (no BLAS threads on a busy driver)."""
+    n = len(m)
+    both = np.concatenate([m, np.eye(n)], axis=1)
+    for i in range(n):
+        k = i + int(np.argmax(np.abs(both[i:, i])))
+        both[[i, k]] = both[[k, i]]
+        both[i] /= both[i, i]
+        factor = both[:, i].copy()
+        factor[i] = 0.0
+        both -= factor[:, None] * both[i]
+    return both[:, n:]
+
+
+def _times(m: np.ndarray, v: np.ndarray) -> np.ndarray:
+    return (m * v).sum(axis=1)
+
+
 def patterns(demand: dict[int, int], room: int = CLASSES, rounds: int = 2_000) -> list[tuple[dict[int, int], int]]:
     """(pattern, number of sequences) that hold ``demand`` (items by class, class k
     taking k units of ``room``), by column generation."""
@@ -119,16 +191,16 @@ def patterns(demand: dict[int, int], room: int = CLASSES, rounds: int = 2_000) -
         return []
     need = np.array([demand[int(k)] for k in sizes], float)
     columns = first_basis(sizes, need, room)
-    inverse = np.linalg.inv(columns)
-    used = np.maximum(inverse @ need, 0.0)
+    inverse = _inverse(columns)
+    used = np.maximum(_times(inverse, need), 0.0)
     for turn in range(rounds):
         if turn % 100 == 99:                                 # against rounding errors
-            inverse = np.linalg.inv(columns)
-            used = np.maximum(inverse @ need, 0.0)
+            inverse = _inverse(columns)
+            used = np.maximum(_times(inverse, need), 0.0)
         value, counts = knapsack(np.maximum(inverse.sum(axis=0), 0.0), sizes, room)
         if value <= 1 + GAP:                 # the optimum is at least the present one / value
             break
-        move = inverse @ counts
+        move = _times(inverse, counts)
         ratio = np.where(move > 1e-9, used / np.where(move > 1e-9, move, 1.0), np.inf)
         out = int(np.argmin(ratio))
         if not np.isfinite(ratio[out]):
@@ -169,14 +241,18 @@ def _pieces(path: str, size: int, end: int):
         encoder, task, seen = Encoder(path), TaskContext.get().partitionId(), [0] * (CLASSES + 1)
         for b in batches:
             out = []
-            for doc, ids in zip(b.column(0).to_pylist(), encoder.encode(column(b.column(1)).to_pylist()), strict=True):
-                ids += tail
-                n = len(ids) // 4
-                for start in range(0, n, size):
-                    length = min(size, n - start)
-                    kind = -(-length // unit)
-                    out.append((doc, start, length, zlib.crc32(ids[4 * start:4 * (start + length)]), n, kind, task, seen[kind]))
-                    seen[kind] += 1
+            docs, arr = b.column(0).to_pylist(), column(b.column(1))
+            for lo, hi in slices(arr):
+                flat, many = encoder.encode(arr.slice(lo, hi - lo))
+                flat, at = flat.astype("<u4").tobytes(), 0
+                for doc, n in zip(docs[lo:hi], many.tolist(), strict=True):
+                    ids, n, at = flat[4 * at:4 * (at + n)] + tail, n + 1, at + n
+                    for start in range(0, n, size):
+                        length = min(size, n - start)
+                        kind = -(-length // unit)
+                        crc = zlib.crc32(ids[4 * start:4 * (start + length)])
+                        out.append((doc, start, length, crc, n, kind, task, seen[kind]))
+                        seen[kind] += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 8, _TYPES, strict=True)], _NAMES)
 
