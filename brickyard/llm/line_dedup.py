@@ -34,6 +34,7 @@ from .tables import small, written
 
 MIN_CHARS = 20
 LAST = (1 << 63) - 1
+PLACE = ["ord", "at", "h1"]           # with the content: an id may come twice
 
 
 def _order(id: str) -> Column:
@@ -63,36 +64,37 @@ def _shared(keys: DataFrame) -> DataFrame:
 
 
 def near_lines(df: DataFrame, firsts: DataFrame, *, text: str, id: str, min_chars: int) -> DataFrame:
-    """(ord, at) of first places of lines that an earlier line is one edit away from."""
+    """(ord, at, h1) of first places of lines that an earlier line is one edit away from."""
     lines = _lines(df, text, id, min_chars)
     roles = lines.withColumn("role", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("b", F.lit(0)).withColumn(
         "e", F.col("len") - F.col("role"))
     halves = _cut(roles, 2).select("key", "h1", "role", "b", "e")
     found = halves.join(_shared(halves), "key").select("h1", "role", "b", "e").distinct()
     found = written(found.join(firsts.select("h1", "ord", "at"), "h1"), "line-halves")
-    texts = written(lines.select("ord", "at", "line", "len").join(small(found, 48), ["ord", "at"]).distinct(), "line-texts")
+    texts = written(lines.select(*PLACE, "line", "len").join(small(found, 48), PLACE).distinct(), "line-texts")
 
-    eighths = _cut(texts, 8).select("key", "h1", "ord", "at", "role", "b", "e")
-    left = eighths.join(_shared(eighths), "key").select("ord", "at", "role", "b", "e").distinct()
+    eighths = _cut(texts, 8).select("key", *PLACE, "role", "b", "e")
+    left = eighths.join(_shared(eighths), "key").select(*PLACE, "role", "b", "e").distinct()
     left = written(left, "line-segments")
-    own = texts.select("ord", "at", "line", "len").distinct()
-    held = left.join(own, ["ord", "at"])
+    own = texts.select(*PLACE, "line", "len").distinct()
+    held = left.join(own, PLACE)
     spot = (held.where("e + role > b").withColumn("p", F.explode(F.expr("sequence(b + 1, e + role)")))
-            .select("ord", "at", F.when(F.col("role") == 0, F.lit("S")).otherwise(F.lit("L")).alias("side"),
+            .select(*PLACE, F.when(F.col("role") == 0, F.lit("S")).otherwise(F.lit("L")).alias("side"),
                     F.expr("if(role = 0, xxhash64('S', len, p, substring(line, 1, p - 1), substring(line, p + 1, len)), "
                            "xxhash64('D', concat(substring(line, 1, p - 1), substring(line, p + 1, len))))").alias("key")))
-    base = held.where("role = 0").select("ord", "at", F.lit("B").alias("side"), F.expr("xxhash64('D', line)").alias("key"))
+    base = held.where("role = 0").select(*PLACE, F.lit("B").alias("side"), F.expr("xxhash64('D', line)").alias("key"))
     variants = written(spot.unionByName(base).distinct(), "line-variants")
 
-    place = F.struct("ord", "at")
+    place = F.struct(*PLACE)
     earliest = variants.groupBy("key").agg(
         *[F.min(F.when(F.col("side") == s, place)).alias(s) for s in "SBL"], F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     pairs = (variants.join(earliest, "key")
              .withColumn("by", F.expr("case side when 'S' then S when 'B' then L else B end"))
-             .where(F.col("by") < place).select("ord", "at", F.col("by.ord").alias("ord2"), F.col("by.at").alias("at2")).distinct())
-    other = own.select(F.col("ord").alias("ord2"), F.col("at").alias("at2"), F.col("line").alias("line2"))
-    return (pairs.join(own, ["ord", "at"]).join(other, ["ord2", "at2"])
-            .where(F.levenshtein("line", "line2", 1).between(0, 1)).select("ord", "at").distinct())
+             .where(F.struct("by.ord", "by.at") < F.struct("ord", "at"))
+             .select(*PLACE, *[F.col(f"by.{c}").alias(f"{c}_") for c in PLACE]).distinct())
+    other = own.select(*[F.col(c).alias(f"{c}_") for c in PLACE], F.col("line").alias("line_"))
+    return (pairs.join(own, PLACE).join(other, [f"{c}_" for c in PLACE])
+            .where(F.levenshtein("line", "line_", 1).between(0, 1)).select(*PLACE).distinct())
 
 
 def dropped_lines(df: DataFrame, *, text: str = "text", id: str = "doc_id", min_chars: int = MIN_CHARS) -> DataFrame:
@@ -101,7 +103,7 @@ def dropped_lines(df: DataFrame, *, text: str = "text", id: str = "doc_id", min_
     firsts = written(places.groupBy("h1", "h2").agg(F.min(F.struct("ord", "at")).alias("first"))
                      .select("h1", "h2", "first.ord", "first.at"), "line-firsts")
     near = near_lines(df, firsts, text=text, id=id, min_chars=min_chars).withColumn("near", F.lit(True))
-    marks = (firsts.join(near, ["ord", "at"], "left")
+    marks = (firsts.join(near, PLACE, "left")
              .select("h1", "h2", F.struct("ord", "at").alias("first"), F.coalesce("near", F.lit(False)).alias("near")))
     return (places.join(marks, ["h1", "h2"]).where(F.col("near") | (F.struct("ord", "at") != F.col("first")))
             .groupBy("ord").agg(F.collect_set(F.struct("at", "h1")).alias("drops")))

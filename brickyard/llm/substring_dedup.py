@@ -76,7 +76,7 @@ def _split(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 def _blobs(part: int, bucket: np.ndarray, keys: np.ndarray, flags: np.ndarray | None, schema: pa.Schema) -> pa.Table:
     """One row per bucket from rows in ascending order of bucket."""
     names, starts = np.unique(bucket, return_index=True)
-    ends = np.append(starts[1:], len(bucket))
+    ends = np.append(starts, len(bucket))[1:]
     cols = {"part": [part] * len(names), "bucket": names.tolist(),
             "keys": [keys[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]}
     if flags is not None:
