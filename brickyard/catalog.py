@@ -12,22 +12,22 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import apply_rules, audit, enrich, flag
-from .functions.codes import MIN_CELL_ROWS
+from .functions.codes import MEDIAN_ACCURACY, MIN_CELL_ROWS
 from .operators import (
-    cell_stats, coverage, dimension_hygiene, enrich_join, growth, headline, latest_growth,
+    cell_stats, counts_by_key, coverage, dimension_hygiene, enrich_join, growth, headline, latest_growth,
     median_by, premium, rolling_mean, skew_profile, strategy_parity,
 )
 from .operators.slices import period_slice, year_slice_counts
 from .plans import jobs
 from .plans.jobs import ingest
 from .sources.contract import check_contract, read_feed_csv, read_feed_csv_inferred, write_feed_csv
-from .sources.layer import footprint, read_layer, read_summary, scratch_dir, write_summary
+from .sources.layer import exists, footprint, read_layer, read_summary, scratch_dir, state, write_summary
 from .sources.regions import REGIONS, region_lookup
 from .sources.sales import sales_view
 
@@ -48,20 +48,21 @@ ENRICHED_COLUMNS = [
 ]
 
 
-_BUILT: dict[tuple[str, str, str], str] = {}
+_BUILT: dict[tuple, str] = {}
 _LOCK = threading.Lock()
 
 
 def _once(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], object]) -> str:
-    """Path of a dataset derived from ``sf_dir``, written once per session.
+    """Path of a dataset derived from ``sf_dir``, written once per session and state of
+    its input (names, sizes and times of the tables' entries).
 
     The write goes to a fresh folder under the session's checkpoint folder, so
     lineage is cut there: later queries read the written files, and a lost
     executor costs a task retry, not a rebuild of the star-schema joins.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind, state(spark, sf_dir))
     with _LOCK:
-        if key in _BUILT and not _exists(spark, _BUILT[key]):
+        if key in _BUILT and not exists(spark, _BUILT[key]):
             del _BUILT[key]                  # folder removed under us: rebuild
         if key not in _BUILT:
             path = scratch_dir(spark, kind)
@@ -70,15 +71,6 @@ def _once(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], ob
         return _BUILT[key]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a written dataset is still there (a file listing, no data read)."""
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        return True
-    except AnalysisException:
-        return False
-
-
 def layer_path(spark: SparkSession, sf_dir: str) -> str:
     """The clean, enriched, year-partitioned layer of the sales in ``sf_dir``."""
     return _once(spark, sf_dir, "layer", lambda p: ingest(sales_view(spark, sf_dir), p))
@@ -112,10 +104,11 @@ def cells_district_type_year(spark, sf_dir):
 
 
 def cells_district_year_approx(spark, sf_dir):
-    """A1 with the feed's original sketch median (``percentile_approx``, 10000);
-    on cells this small it equals the exact lower-middle element."""
-    return cell_stats(sales(spark, sf_dir), ["district", "year"], min_rows=MIN_CELL_ROWS,
-                      exact=False)
+    """A1 with the feed's original sketch median (``percentile_approx``, 10000), held to
+    its rank bound: the sketch need not equal the exact element on large cells."""
+    df = sales(spark, sf_dir)
+    cells = cell_stats(df, ["district", "year"], min_rows=MIN_CELL_ROWS, exact=False)
+    return _rank_error(cells, ["district", "year"], df.select("district", "year", "price"))
 
 
 def cells_quarter(spark, sf_dir):
@@ -169,9 +162,13 @@ def cohort_premium(spark, sf_dir):
 
 
 def cohort_premium_approx(spark, sf_dir):
-    """C1 with sketch medians, in one aggregate (no join, one exchange)."""
-    return premium(sales(spark, sf_dir), ["year", "property_type_name"], "is_new_build",
-                   exact=False)
+    """C1 with sketch medians, in one aggregate (no join, one exchange); the new-build
+    medians are held to the sketch's rank bound."""
+    df = sales(spark, sf_dir)
+    out = premium(df, ["year", "property_type_name"], "is_new_build", exact=False)
+    cells = out.select("year", "property_type_name", F.col("new_build_median").alias("median_price"))
+    return _rank_error(cells, ["year", "property_type_name"],
+                       df.where("is_new_build").select("year", "property_type_name", "price"))
 
 
 # --- dimension joins ---------------------------------------------------------
@@ -204,8 +201,7 @@ def group_counts_district_year(spark, sf_dir):
 
 
 def group_counts_area(spark, sf_dir):
-    return (with_regions(sales(spark, sf_dir), "merge")
-            .groupBy("postcode_area").agg(F.count(F.lit(1)).alias("rows")))
+    return counts_by_key(sales(spark, sf_dir), region_lookup(spark), "postcode_area", ["postcode_area"])
 
 
 # --- profiles and audits -----------------------------------------------------
@@ -313,8 +309,24 @@ def csv_roundtrip_cells(spark, sf_dir):
 
 
 def csv_inferred_count(spark, sf_dir):
+    """Rows and inferred types (column number and type, in order) of the feed CSV."""
     feed = read_feed_csv_inferred(spark, feed_csv_path(spark, sf_dir), sampling_ratio=0.1)
-    return feed.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(feed.columns)))
+    types = ",".join(f.dataType.simpleString() for f in feed.schema)
+    return feed.agg(F.count(F.lit(1)).alias("rows")).withColumns(
+        {"columns": F.lit(len(feed.columns)), "types": F.lit(types)})
+
+
+def _csv_output(name: str) -> Query:
+    """B3: an output of the analysis from a CSV; one pass over the feed serves all."""
+    def query(spark, sf_dir):
+        feed = feed_csv_path(spark, sf_dir)
+        staged = _once(spark, sf_dir, "csv-stage", lambda p: jobs.stage_csv(spark, feed, p))
+        return jobs.csv_outputs(spark, staged)[name]
+    return query
+
+
+CSV_OUTPUTS = ("quality", "headline", "national_year", "skew", "volume_quarter", "growth_district",
+               "region_year", "join_parity")
 
 
 def csv_summary_premium(spark, sf_dir):
@@ -334,8 +346,29 @@ def run_report(spark, sf_dir):
 
 
 def footprint_q(spark, sf_dir):
-    return footprint(spark, {"csv": feed_csv_path(spark, sf_dir),
-                             "parquet": layer_path(spark, sf_dir)}, ratio_to="parquet")
+    """Whether the bytes that ``footprint`` lists for the feed CSV are the bytes of its
+    lines, whether the layer is the smaller, and rows: sizes themselves differ by run."""
+    paths = {"csv": feed_csv_path(spark, sf_dir), "parquet": layer_path(spark, sf_dir)}
+    sizes = footprint(spark, paths, ratio_to="parquet")
+    lines = spark.read.text(paths["csv"]).agg(
+        F.sum(F.octet_length("value") + 1).alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    csv, layer = (sizes.where(F.col("dataset") == x).select("bytes").scalar() for x in ("csv", "parquet"))
+    return lines.select("rows", (F.col("bytes") == csv).alias("csv_bytes_agree"), (csv > layer).alias("layer_is_smaller"))
+
+
+def _rank_error(cells, keys, df):
+    """Largest distance of a cell's sketch median from the middle rank, as a share of the
+    cell's rows, compared with the sketch's bound (2 / accuracy)."""
+    names = {k: f"_{k}" for k in keys}
+    named = cells.select(*[F.col(k).alias(n) for k, n in names.items()], "median_price")
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    v = F.col("median_price")
+    ranks = df.join(named, on).groupBy(*names.values(), v).agg(
+        F.count_if(F.col("price") < v).alias("below"), F.count_if(F.col("price") <= v).alias("upto"),
+        F.count(F.lit(1)).alias("n"))
+    off = F.greatest(F.col("below") - F.col("n") / 2, F.col("n") / 2 - F.col("upto"), F.lit(0.0))
+    return ranks.agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("rows"),
+                     F.count_if(off > F.lit(2.0 / MEDIAN_ACCURACY) * F.col("n") + 1).alias("beyond_bound"))
 
 
 QUERIES.update({
@@ -345,6 +378,7 @@ QUERIES.update({
     "csv_roundtrip_cells": csv_roundtrip_cells,
     "csv_inferred_count": csv_inferred_count,
     "csv_summary_premium": csv_summary_premium,
+    **{f"csv_{name}": _csv_output(name) for name in CSV_OUTPUTS},
     "summary_sink": summary_sink,
     "run_report": run_report,
     "footprint": footprint_q,

@@ -6,11 +6,24 @@ They are stated once, here, and every other module reads them from here.
 from __future__ import annotations
 
 # --- fixed values: feed column order (headerless file, published order) ---
-FEED_COLUMNS = (
-    "transaction_id price date_of_transfer postcode property_type old_new "
-    "duration paon saon street locality town_city district county "
-    "ppd_category_type record_status"
-).split()
+FEED_COLUMNS = [
+    "transaction_id",
+    "price",
+    "date_of_transfer",
+    "postcode",
+    "property_type",
+    "old_new",
+    "duration",
+    "paon",
+    "saon",
+    "street",
+    "locality",
+    "town_city",
+    "district",
+    "county",
+    "ppd_category_type",
+    "record_status",
+]
 
 # --- fixed values: timestamp text in the feed ---
 FEED_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm"

@@ -1,46 +1,40 @@
 """Cell statistics: per-group median, row count and mean, with a thin-cell floor.
 
-Two median paths:
-
-``exact=True`` (default) — the lower-middle element (rank ⌈n/2⌉ of the non-NULL
-values), the definition of ``percentile_disc(0.5)``. Computed in two levels so
-that no step shuffles every row or puts a hot group's values on one task:
-
-1. coarse: ``groupBy(keys, bucket(value))`` with map-side combine, where
-   ``bucket`` is an order-preserving log-scale bucket (``BUCKETS_PER_OCTAVE``
-   per doubling, ≈0.27 % wide). Its output is a few thousand rows per group at
-   most, whatever the group's size. The group's row count and value sum come
-   from here too.
-2. select: one small window per group over its buckets finds the bucket that
-   holds rank ⌈n/2⌉ and the rank inside it; one row per group, written once as
-   a small table under the session's checkpoint folder (computed once, lineage
-   cut, its row count observed during the write).
-3. fine: the input is scanned again, keeping only each group's selected bucket
-   (a broadcast join, behind a row-count check of the selection), and ranked
-   within it — a fraction ≈0.27 % of the group's value range.
-
-Because step 2 runs when the DataFrame is built, a filter applied to the
-result afterwards cannot be pushed below it: filter the *input* (e.g. on a
-grouping key such as ``year``, which also prunes layer partitions).
-
-``exact=False`` — ``percentile_approx(value, 0.5, accuracy)``: a fixed-size
-sketch per group, merged map-side (one exchange). Equal to the exact path on
-small cells; off by a bounded rank error on large ones.
+The exact median is the lower-middle element (rank ⌈n/2⌉ of the non-NULL values, NaN
+last), the definition of ``percentile_disc(0.5)``. Three forms:
+
+``method="counts"`` (default) — one scan. ``groupBy(keys, value)`` counts rows with
+map-side combine, so what is shuffled are a group's distinct values, not its rows;
+one window per group ranks them and gives the group's totals beside every value, and
+the value that holds the rank is kept. Every group has exactly one such row, so none
+can be lost. A whole-number price has bounded distinct values, whatever the rows.
+
+``method="two_pass"`` — for fractional measures with about as many distinct values as
+rows. Counts by (group, log-scale bucket of 1/256 octave) find each group's bucket and
+the rank in it (a few thousand rows a group at most); a second scan keeps only that
+bucket's values and ranks them. Both passes are one lazy plan; AQE chooses the join's
+form by the selection's size. Totals come from the first pass; a group whose rows
+change between the passes raises nothing but would be missing, so use it on stored data.
+
+``method="approx"`` (or ``exact=False``) — ``percentile_approx(value, 0.5, accuracy)``:
+a fixed-size sketch per group, merged map-side (one exchange). Equal to the exact
+form on small cells; off by a bounded rank error on large ones.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from ..functions.codes import MEDIAN_ACCURACY
-from .dimension import MAX_BROADCAST_ROWS
 
 ROWS = "transactions"
+METHODS = ("counts", "two_pass", "approx")
 BUCKETS_PER_OCTAVE = 256
+_OFFSET = 1100 * BUCKETS_PER_OCTAVE          # above the bucket of the smallest double
 
 
 def _names(measure: str, median_name: str | None, mean_name: str | None) -> tuple[str, str]:
@@ -48,14 +42,15 @@ def _names(measure: str, median_name: str | None, mean_name: str | None) -> tupl
 
 
 def value_bucket(v: Column) -> Column:
-    """Order-preserving log-scale bucket of a numeric value (NULL for NULL).
+    """Order-preserving log-scale bucket of a number: NULL for NULL, 0 for zero, NaN last.
 
-    The coarse and the fine pass compute it separately, so it must be the
-    same on every executor: Spark's ``log2`` is evaluated with ``StrictMath``
-    (bit-exact on every platform), and the rest is exact arithmetic.
-    """
-    lb = F.floor(F.log2(F.abs(v.cast("double")) + F.lit(1.0)) * F.lit(float(BUCKETS_PER_OCTAVE)))
-    return F.when(v >= 0, lb).otherwise(-lb - F.lit(1))
+    ``log2`` is evaluated with ``StrictMath`` (bit-exact on every platform), so both
+    passes agree on every executor."""
+    x = v.cast("double")
+    size = F.floor(F.log2(F.abs(x)) * F.lit(float(BUCKETS_PER_OCTAVE))) + F.lit(_OFFSET)
+    return (F.when(F.isnan(x), F.lit(2 * _OFFSET + BUCKETS_PER_OCTAVE))
+            .when(x == 0, F.lit(0)).when(x > 0, F.least(size, F.lit(2 * _OFFSET)))
+            .when(x < 0, -F.least(size, F.lit(2 * _OFFSET)))).cast("long")
 
 
 def _mean_of(total: Column, n: Column, integral: bool) -> Column:
@@ -76,65 +71,63 @@ def _same_keys(keys: list[str], prefix: str) -> Column | None:
                   [F.col(k).eqNullSafe(F.col(f"{prefix}{i}")) for i, k in enumerate(keys)])
 
 
-def _exact(df: DataFrame, keys: list[str], measure: str, median: str, mean: str | None,
-           min_rows: int | None = None) -> DataFrame:
-    from ..sources.layer import scratch_dir
+def _ranked(counts: DataFrame, keys: list[str], value: str, total: Column) -> DataFrame:
+    """Counts by (keys, value) with, beside each value, the rows up to it (``_cum``), the
+    group's rows, non-NULL rows and sum; one window, NULL last."""
+    valued = F.when(F.col(value).isNotNull(), F.col("_n")).otherwise(F.lit(0))
+    spec = Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last())
+    upto = spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return counts.withColumn("_vn", valued).withColumns({
+        "_cum": F.sum("_vn").over(upto), "_valued": F.sum("_vn").over(whole),
+        "_rows": F.sum("_n").over(whole), "_total": F.sum(total).over(whole)})
+
+
+def _holds_rank(rank: Column, cum: str = "_cum", n: str = "_vn") -> Column:
+    return (F.col(cum) >= rank) & (F.col(cum) - F.col(n) < rank)
+
+
+def _counts(df: DataFrame, keys: list[str], measure: str) -> DataFrame:
+    counts = df.groupBy(*keys, F.col(measure).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    out = _ranked(counts, keys, "_v", F.col("_v").cast("double") * F.col("_n"))
+    rank = F.ceil(F.col("_valued") / F.lit(2))
+    none = (F.col("_valued") == 0) & F.col("_v").isNull()
+    return out.filter((F.col("_v").isNotNull() & _holds_rank(rank)) | none).select(
+        *keys, F.col("_v").alias("_median"), "_rows", "_total", "_valued")
 
+
+def _two_pass(df: DataFrame, keys: list[str], measure: str) -> DataFrame:
     v = F.col(measure)
-    group = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    # 1. coarse buckets (NULL values form the NULL bucket: rows, but no rank)
     coarse = df.groupBy(*keys, value_bucket(v).alias("_b")).agg(
-        F.count(F.lit(1)).alias("_c"), F.sum(v.cast("double")).alias("_s"))
-    valued = F.when(F.col("_b").isNotNull(), F.col("_c")).otherwise(F.lit(0))
-    coarse = coarse.withColumns({
-        "_cum": F.sum(valued).over(group.orderBy(F.col("_b").asc_nulls_last())
-                                   .rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        "_valued": F.sum(valued).over(group),
-        "_rows": F.sum("_c").over(group),
-        "_total": F.sum("_s").over(group),
-        "_vc": valued,
-    })
-    # 2. the bucket holding rank k = ceil(n/2); groups with no value keep one row
-    k = F.ceil(F.col("_valued") / F.lit(2))
-    at = (F.col("_b").isNotNull() & (F.col("_cum") >= k) & (F.col("_cum") - F.col("_vc") < k))
-    empty = (F.col("_valued") == 0) & F.col("_b").isNull()
-    sel = coarse.filter(at | empty).select(
-        *[F.col(key).alias(f"_g{i}") for i, key in enumerate(keys)],
-        F.when(at, F.col("_b")).alias("_sb"),
-        F.when(at, k - (F.col("_cum") - F.col("_vc"))).alias("_k"),
-        "_rows", "_total", "_valued")
-    if min_rows is not None:               # thin cells are never ranked
-        sel = sel.filter(F.col("_rows") >= min_rows)
-    spark = df.sparkSession
-    path = scratch_dir(spark, "median-buckets")
-    seen = Observation()
-    sel.observe(seen, F.count(F.lit(1)).alias("groups")).write.parquet(path)
-    sel = spark.read.parquet(path)
-    # 3. rank inside the selected bucket only; the selection is broadcast only
-    #    when its row count (observed while writing it) is within bounds
-    probe = sel.filter(F.col("_sb").isNotNull())
-    if seen.get["groups"] <= MAX_BROADCAST_ROWS:
-        probe = F.broadcast(probe)
-    cond = F.col("_sb") == value_bucket(v)
-    same = _same_keys(keys, "_g")
-    inside = df.filter(v.isNotNull()).join(probe, cond if same is None else (same & cond))
-    gcols = [f"_g{i}" for i in range(len(keys))]
-    fine = inside.groupBy(*gcols, v.alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.first(c).alias(c) for c in ("_k", "_rows", "_total", "_valued")])
-    fgroup = Window.partitionBy(*gcols) if gcols else Window.partitionBy()
-    fine = fine.withColumn("_cum2", F.sum("_n").over(
-        fgroup.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    picked = fine.filter((F.col("_cum2") >= F.col("_k")) & (F.col("_cum2") - F.col("_n") < F.col("_k")))
-    picked = picked.select(*gcols, F.col("_v").alias("_median"), "_rows", "_total", "_valued")
-    no_value = sel.filter(F.col("_sb").isNull()).select(
-        *gcols, F.lit(None).cast(df.schema[measure].dataType).alias("_median"),
+        F.count(F.lit(1)).alias("_n"), F.sum(v.cast("double")).alias("_s"))
+    coarse = _ranked(coarse, keys, "_b", F.col("_s"))
+    rank = F.ceil(F.col("_valued") / F.lit(2))
+    names = [f"_g{i}" for i in range(len(keys))]
+    none = (F.col("_valued") == 0) & F.col("_b").isNull()
+    chosen = coarse.filter((F.col("_b").isNotNull() & _holds_rank(rank)) | none).select(
+        *[F.col(k).alias(g) for k, g in zip(keys, names, strict=True)], F.col("_b").alias("_sb"),
+        (rank - (F.col("_cum") - F.col("_vn"))).alias("_k"), "_rows", "_total", "_valued")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(g)) for k, g in zip(keys, names, strict=True)],
+                  F.col("_sb").eqNullSafe(value_bucket(v)))
+    inside = chosen.join(df.select(*keys, measure), same, "left").groupBy(
+        *names, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"),
+                                   *[F.first(c).alias(c) for c in ("_k", "_rows", "_total", "_valued")])
+    upto = Window.partitionBy(*names).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = inside.withColumn("_cum2", F.sum("_n").over(upto))
+    return inside.filter(_holds_rank(F.col("_k"), "_cum2", "_n") | (F.col("_valued") == 0)).select(
+        *[F.col(g).alias(k) for k, g in zip(keys, names, strict=True)], F.col("_v").alias("_median"),
         "_rows", "_total", "_valued")
-    out = picked.unionByName(no_value)
-    cols = [F.col(f"_g{i}").alias(key) for i, key in enumerate(keys)]
-    cols += [F.col("_median").alias(median), F.col("_rows").alias(ROWS)]
+
+
+def _exact(df: DataFrame, keys: list[str], measure: str, median: str, mean: str | None,
+           method: str) -> DataFrame:
+    out = (_counts if method == "counts" else _two_pass)(df, keys, measure)
+    cols = [*keys, F.col("_median").alias(median), F.col("_rows").alias(ROWS)]
     if mean is not None:
         cols.append(_mean_of(F.col("_total"), F.col("_valued"), _integral(df, measure)).alias(mean))
+    if not keys:                             # one row even over no rows
+        out = out.agg(F.first("_median").alias("_median"), F.coalesce(F.first("_rows"), F.lit(0)).alias("_rows"),
+                      F.first("_total").alias("_total"), F.coalesce(F.first("_valued"), F.lit(0)).alias("_valued"))
     return out.select(*cols)
 
 
@@ -151,22 +144,26 @@ def _approx(df: DataFrame, keys: list[str], measure: str, median: str, mean: str
 
 
 def cell_stats(df: DataFrame, keys: Sequence[str], measure: str = "price", *,
-               min_rows: int | None = None, exact: bool = True, with_mean: bool = True,
-               accuracy: int = MEDIAN_ACCURACY, median_name: str | None = None,
-               mean_name: str | None = None) -> DataFrame:
+               min_rows: int | None = None, exact: bool = True, method: str = "counts",
+               with_mean: bool = True, accuracy: int = MEDIAN_ACCURACY,
+               median_name: str | None = None, mean_name: str | None = None) -> DataFrame:
     """One row per group of ``keys``: ``median_<measure>``, ``transactions``
     (all rows of the group) and, if asked, ``mean_<measure>`` (the mean of the
     non-NULL values; for integral measures truncated to a whole number, as
     ``cast(long)`` does).
 
     ``min_rows`` suppresses thin cells (HAVING ``transactions >= min_rows``).
-    NULL keys form their own group, as in ``groupBy``.
+    NULL keys form their own group, as in ``groupBy``. ``method``: see the module.
     """
     keys = list(keys)
+    if method not in METHODS:
+        raise ValueError(f"unknown median method {method!r}")
     median, mean = _names(measure, median_name, mean_name)
     mean = mean if with_mean else None
-    out = (_exact(df, keys, measure, median, mean, min_rows) if exact
-           else _approx(df, keys, measure, median, mean, accuracy))
+    if not exact or method == "approx":
+        out = _approx(df, keys, measure, median, mean, accuracy)
+    else:
+        out = _exact(df, keys, measure, median, mean, method)
     out = out.select(*keys, median, ROWS, *([mean] if mean else []))
     if min_rows is not None:
         out = out.filter(F.col(ROWS) >= min_rows)
@@ -174,9 +171,9 @@ def cell_stats(df: DataFrame, keys: Sequence[str], measure: str = "price", *,
 
 
 def median_by(df: DataFrame, keys: Sequence[str], measure: str = "price", *,
-              exact: bool = True, accuracy: int = MEDIAN_ACCURACY,
+              exact: bool = True, method: str = "counts", accuracy: int = MEDIAN_ACCURACY,
               order: bool = False, median_name: str | None = None) -> DataFrame:
     """Median and row count per group (no floor); optionally sorted by keys."""
-    out = cell_stats(df, keys, measure, exact=exact, with_mean=False, accuracy=accuracy,
+    out = cell_stats(df, keys, measure, exact=exact, method=method, with_mean=False, accuracy=accuracy,
                      median_name=median_name)
     return out.orderBy(*keys) if order else out

@@ -20,7 +20,7 @@ from .cells import cell_stats
 
 
 def premium(df: DataFrame, keys: Sequence[str], flag: str, *, measure: str = "price",
-            exact: bool = True, accuracy: int = MEDIAN_ACCURACY,
+            exact: bool = True, method: str = "counts", accuracy: int = MEDIAN_ACCURACY,
             names: tuple[str, str, str, str] = ("new_build_median", "existing_median",
                                                 "premium_pct", "new_build_transactions"),
             ) -> DataFrame:
@@ -30,8 +30,8 @@ def premium(df: DataFrame, keys: Sequence[str], flag: str, *, measure: str = "pr
     a_med, b_med, prem, a_rows = names
     known = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys + [flag]])
     base = df.filter(known)
-    if exact:
-        per = cell_stats(base, keys + [flag], measure, exact=True, with_mean=False,
+    if exact and method != "approx":
+        per = cell_stats(base, keys + [flag], measure, method=method, with_mean=False,
                          median_name="_m")
         f = F.col(flag)
         folded = per.groupBy(*keys).agg(

@@ -1,21 +1,19 @@
-"""Enrichment joins to a dimension, with an explicit and checked join strategy.
+"""Enrichment joins to a dimension, with an explicit join strategy.
 
 ``strategy``:
 
-- ``"broadcast"`` — broadcast hash join, *only* after checking that the
-  dimension has at most ``max_broadcast_rows`` rows (a bounded ``limit+count``
-  job). Above the bound it falls back to the shuffle form instead of shipping
-  an unbounded table to every executor.
-- ``"merge"`` — sort-merge join, by hint (no session setting is changed).
-  Rows with a NULL key cannot match; they are split off *before* the shuffle
-  and unioned back with NULL dimension columns, so they never pile into the
-  one hash partition NULL would go to. The join key is salted: each fact row
-  gets a salt in ``[0, salts)`` from a hash of its own values (deterministic,
-  so a retried task reproduces it) and the dimension is replicated once per
-  salt, so one key is spread over ``salts`` reducers. A low-cardinality key
-  (a hundred-odd areas) otherwise caps the join at that many tasks, each as
-  large as its key, and AQE's skew split cannot help when every partition is
-  equally large.
+- ``"broadcast"`` — broadcast hash join behind a check of the dimension's size in bytes
+  (Catalyst's estimate of it, or ``rows`` times its row width where the estimate is
+  larger). A dimension beyond ``max_broadcast_bytes`` raises, so the plan never
+  changes without notice: ask for ``"merge"`` or ``"auto"`` then.
+- ``"merge"`` — sort-merge join, by hint (no session setting is changed), on the
+  columns the query needs: nothing hashes the row. Rows with a NULL key can't match;
+  their shuffle key is spread over ``NULL_SPREAD`` values in the same pass, so they
+  never pile into the one partition that NULL hashes to. A skewed key is split by
+  AQE. ``hot_share`` additionally salts the keys that hold more than that share of
+  the fact's rows (measured on the key column alone; at most ``1 / hot_share`` keys,
+  which bounds what the driver holds): only their dimension rows are copied, ``salts``
+  times. A count by key needs no join of rows at all: see ``counts_by_key``.
 - ``"auto"`` — no hint: Catalyst / AQE decide from size statistics.
 
 All strategies return the same rows (see ``strategy_parity``).
@@ -24,57 +22,75 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.features import share_pct
 
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+NULL_SPREAD = 64
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows+1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def size_in_bytes(df: DataFrame) -> int:
+    """Rows (a count) times the schema's default row width: a check, not an estimate."""
+    width = 8 + sum(f.dataType.jsonValue() == "string" and 40 or 16 for f in df.schema)
+    return df.count() * width
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a size check; unhinted (shuffle-eligible) otherwise."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def broadcast_checked(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint behind a check of the size; raises beyond it."""
+    size = size_in_bytes(df)
+    if size > max_bytes:
+        raise ValueError(f"a dimension of about {size} bytes is beyond the broadcast bound of "
+                         f"{max_bytes}; use strategy='merge' or 'auto'")
+    return F.broadcast(df)
 
 
-def _null_key(df: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+def hot_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame | None:
+    """Keys that hold more than ``share`` of the rows: at most ``1 / share`` of them."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_t")).scalar()
+    return counts.where(F.col("_n") > F.lit(share) * total).select(*keys).dropna()
 
 
 def enrich_join(df: DataFrame, dim: DataFrame, keys: str | list[str], *,
-                strategy: str = "broadcast",
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                salts: int = 16) -> DataFrame:
+                strategy: str = "broadcast", max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+                hot_share: float | None = None, salts: int = 16) -> DataFrame:
     """Left-outer equi-join of ``df`` to ``dim`` on ``keys``; every input row is
     kept, unmatched and NULL keys get NULL dimension columns."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     if strategy == "broadcast":
-        if row_count_at_most(dim, max_broadcast_rows):
-            return df.join(F.broadcast(dim), on=keys, how="left")
-        strategy = "merge"
-    if strategy == "merge":
-        dim_cols = [c for c in dim.columns if c not in keys]
-        nulls = df.filter(_null_key(df, keys))
-        for c in dim_cols:
-            nulls = nulls.withColumn(c, F.lit(None).cast(dim.schema[c].dataType))
-        live = df.filter(~_null_key(df, keys))
-        if salts > 1:
-            salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))
-            live = live.withColumn("_salt", salt)
-            dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-            dim = dim.withColumn("_salt", F.col("_salt").cast("long"))
-            matched = live.join(dim.hint("merge"), on=keys + ["_salt"], how="left").drop("_salt")
-        else:
-            matched = live.join(dim.hint("merge"), on=keys, how="left")
-        return matched.unionByName(nulls)
+        return df.join(broadcast_checked(dim, max_broadcast_bytes), on=keys, how="left")
     if strategy == "auto":
         return df.join(dim, on=keys, how="left")
-    raise ValueError(f"unknown join strategy {strategy!r}")
+    if strategy != "merge":
+        raise ValueError(f"unknown join strategy {strategy!r}")
+    missing = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+    # a row's place in its task spreads what can't match or is salted; results don't depend on it
+    place = F.monotonically_increasing_id()
+    spread = F.when(missing, 1 + F.pmod(place, F.lit(NULL_SPREAD))).otherwise(F.lit(0)).cast("long")
+    if hot_share is not None:
+        hot = F.broadcast(hot_keys(df, keys, hot_share).withColumn("_hot", F.lit(True)))   # 1 / hot_share keys
+        df = df.join(hot, on=keys, how="left")
+        spread = F.when(F.col("_hot"), F.pmod(place, F.lit(salts))).otherwise(spread)
+        copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        dim = dim.join(hot, on=keys, how="left").withColumn("_spread", F.explode(copies)).withColumn(
+            "_spread", F.col("_spread").cast("long")).drop("_hot")
+    else:
+        dim = dim.withColumn("_spread", F.lit(0).cast("long"))
+    fact = df.withColumn("_spread", spread).drop("_hot")
+    return fact.join(dim.hint("merge"), on=[*keys, "_spread"], how="left").drop("_spread")
+
+
+def counts_by_key(df: DataFrame, dim: DataFrame, keys: str | list[str], by: list[str], *,
+                  strategy: str = "merge") -> DataFrame:
+    """Rows per ``by`` (columns of either side) after the left join, joining counts per
+    key instead of rows: the fact is read in its key columns only and combined before
+    the shuffle, so no key is hot."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    own = [c for c in by if c not in dim.columns or c in keys]
+    counts = df.groupBy(*dict.fromkeys([*keys, *own])).agg(F.count(F.lit(1)).alias("_n"))
+    return enrich_join(counts, dim, keys, strategy=strategy).groupBy(*by).agg(F.sum("_n").alias("rows"))
 
 
 def coverage(joined: DataFrame, key: str, attr: str) -> DataFrame:
@@ -97,10 +113,10 @@ def coverage(joined: DataFrame, key: str, attr: str) -> DataFrame:
 
 def fingerprint(df: DataFrame, by: list[str]) -> DataFrame:
     """Order-independent multiset fingerprint of ``df`` per ``by`` group:
-    row count plus two independent 64-bit row-hash sums (as exact decimals)."""
+    row count plus the sums of two 64-bit row hashes of different seeds (as exact decimals)."""
     cols = [F.col(c) for c in df.columns]
     h1 = F.xxhash64(*cols).cast("decimal(38,0)")
-    h2 = F.hash(*cols).cast("decimal(38,0)")
+    h2 = F.xxhash64(F.lit(1), *cols).cast("decimal(38,0)")
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"),
                                F.sum(h1).alias("h1"), F.sum(h2).alias("h2"))
 

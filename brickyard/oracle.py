@@ -8,15 +8,36 @@ Parquet files the Spark side reads.
 """
 from __future__ import annotations
 
-from .functions.codes import (
-    DURATIONS, LIVE_STATUSES, MAX_PLAUSIBLE_PRICE, MIN_PLAUSIBLE_PRICE, PPD_CATEGORIES,
-    PROPERTY_TYPES,
-)
-from .sources.regions import region_values_sql
-from .sources.sales import (
-    AREA_BY_NATION, CATEGORY_B_PRIORITIES, DURATION_BY_LINESTATUS, OLD_NEW_BY_RETURNFLAG,
-    STATUS_BY_ORDERSTATUS, TYPE_BY_PART_WORD,
-)
+# --- fixed values: stated here again, so that a wrong constant in the package shows ---
+LIVE_STATUSES = ("A", "C")
+MIN_PLAUSIBLE_PRICE = 1000
+MAX_PLAUSIBLE_PRICE = 50000000
+PROPERTY_TYPES = {"D": "Detached", "S": "Semi-Detached", "T": "Terraced", "F": "Flat/Maisonette", "O": "Other"}
+DURATIONS = {"F": "Freehold", "L": "Leasehold", "U": "Unknown"}
+PPD_CATEGORIES = {"A": "Standard Price Paid", "B": "Additional Price Paid"}
+AREA_BY_NATION = [
+    "SW", "M", "LS", "B", "CF", "NE", "L", "BS", "E", "N", "NG", "TD", "EH",
+    "ZZ", "-", "OX", "CB", "YO", "SE", "W", "CH", "PL", "PE", "S", "GU",
+]
+TYPE_BY_PART_WORD = {"ECONOMY": "D", "PROMO": "S", "LARGE": "T", "MEDIUM": "F", "STANDARD": "O", "SMALL": "X"}
+OLD_NEW_BY_RETURNFLAG = {"N": "Y", "A": "N"}
+DURATION_BY_LINESTATUS = {"F": "F", "O": "L"}
+STATUS_BY_ORDERSTATUS = {"F": "A", "O": "C", "P": "D"}
+CATEGORY_B_PRIORITIES = ("1-URGENT", "2-HIGH")
+REGIONS_OF = {
+    "East Midlands": "DE LE LN NG NN",
+    "East of England": "AL CB CM CO IP LU NR PE SG SS WD",
+    "London": "BR CR DA E EC EN HA IG N NW RM SE SM SW TW UB W WC",
+    "North East": "DH DL NE SR TD TS",
+    "North West": "BB BL CA CH CW FY L LA M OL PR SK WA WN",
+    "Northern Ireland": "BT",
+    "Scotland": "AB DD DG EH FK G HS IV KA KW KY ML PA PH ZE",
+    "South East": "BN CT GU HP KT ME MK OX PO RG RH SL SO TN",
+    "South West": "BA BH BS DT EX GL PL SN SP TA TQ TR",
+    "Wales": "CF LD LL NP SA SY",
+    "West Midlands": "B CV DY HR ST TF WR WS WV",
+    "Yorkshire": "BD DN HD HG HU HX LS S WF YO",
+}
 
 
 def _q(s: str | None) -> str:
@@ -87,7 +108,8 @@ sales AS (
   WHERE {CLEAN}
 )"""
 
-REGIONS = f"regions AS (SELECT * FROM {region_values_sql()})"
+REGION_ROWS = ", ".join(f"('{area}', '{region}')" for region, areas in REGIONS_OF.items() for area in areas.split())
+REGIONS = f"regions AS (SELECT * FROM (VALUES {REGION_ROWS}) AS r(postcode_area, region))"
 
 SALES_REGION = """
 sales_region AS (
@@ -188,8 +210,7 @@ LIMIT {top_n}"""
 
 
 def _regions_in() -> str:
-    from .sources.regions import REGIONS
-    return _in(REGIONS)
+    return _in(REGIONS_OF)
 
 
 QUALITY = f"""
@@ -215,10 +236,14 @@ SELECT count(*) AS rows,
 FROM sales_region"""
 
 PARITY = """
-SELECT count(*) AS rows_a, count(*) AS rows_b,
+SELECT (SELECT count(*) FROM sales_region) AS rows_a,
+       (SELECT count(*) FROM sales) AS rows_b,
        (SELECT count(*) FROM (SELECT region FROM sales_region GROUP BY region) g) AS groups,
-       CAST(0 AS BIGINT) AS groups_differing
-FROM sales_region"""
+       (SELECT count(*) FROM (SELECT region, count(*) AS n FROM sales_region GROUP BY region) a
+        FULL JOIN (SELECT (SELECT g.region FROM regions g WHERE g.postcode_area = s.postcode_area) AS region,
+                          count(*) AS n FROM sales s GROUP BY 1) b
+          ON a.region IS NOT DISTINCT FROM b.region
+        WHERE a.n IS DISTINCT FROM b.n) AS groups_differing"""
 
 
 def _hygiene() -> str:
@@ -282,7 +307,9 @@ def analysis_oracles() -> dict[str, str]:
     return {
         "cells_district_year": with_sales(cells("district, year")),
         "cells_district_type_year": with_sales(cells("district, property_type_name, year")),
-        "cells_district_year_approx": with_sales(cells("district, year")),
+        "cells_district_year_approx": with_sales(
+            f"SELECT count(*) AS cells, CAST(sum(transactions) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS beyond_bound "
+            f"FROM ({cells('district, year')}) c"),
         "cells_quarter": with_sales(cells("year, quarter", None, mean=False)),
         "national_year": with_sales(cells("year", None, mean=False)),
         "region_year": with_sales("SELECT * FROM region_year", REGION_YEAR),
@@ -292,7 +319,9 @@ def analysis_oracles() -> dict[str, str]:
         "trend_rolling3_gappy": rolling("district, property_type_name", 30),
         "latest_growth_top": latest_growth(LATEST_SINCE, LATEST_TOP_N),
         "cohort_premium": with_sales("SELECT * FROM premium", PREMIUM),
-        "cohort_premium_approx": with_sales("SELECT * FROM premium", PREMIUM),
+        "cohort_premium_approx": with_sales(
+            "SELECT count(*) AS cells, CAST(sum(new_build_transactions) AS BIGINT) AS rows, "
+            "CAST(0 AS BIGINT) AS beyond_bound FROM premium", PREMIUM),
         "region_coverage": with_sales(COVERAGE),
         "join_strategy_parity": with_sales(PARITY),
         "dimension_hygiene": with_sales(_hygiene()),
@@ -326,7 +355,6 @@ FROM sales"""
 
 
 def _report() -> str:
-    from .catalog import SKEW_TOP_N  # noqa: F401  (same defaults as jobs.summaries)
     since, top_n = 2000, 20
     outputs = {
         "median_price_by_district_year": f"SELECT count(*) FROM ({cells('district, year')}) x",
@@ -339,20 +367,33 @@ def _report() -> str:
             f"SELECT least({top_n}, count(DISTINCT district)) FROM "
             f"({cells('district, year', 30, where=f'year >= {since}')}) x WHERE district IS NOT NULL"),
     }
-    parts = ["SELECT 'ingest_rows_raw' AS name, (SELECT count(*) FROM sales_raw) AS rows",
-             "SELECT 'ingest_rows_clean', (SELECT count(*) FROM sales)"]
-    parts += [f"SELECT 'output_{k}', ({v})" for k, v in outputs.items()]
-    parts += [
-        "SELECT 'headline_total_rows', (SELECT count(*) FROM sales)",
-        "SELECT 'headline_districts', (SELECT count(DISTINCT district) FROM sales)",
-        "SELECT 'headline_postcode_areas', (SELECT count(DISTINCT postcode_area) FROM sales)",
-        "SELECT 'skew_top_key_rows', (SELECT max(n) FROM (SELECT count(*) AS n FROM sales GROUP BY postcode_area) g)",
-    ]
+    counts = {
+        "ingest_rows_raw": "SELECT count(*) FROM sales_raw", "ingest_rows_clean": "SELECT count(*) FROM sales",
+        "ingest_rows_dropped": "SELECT (SELECT count(*) FROM sales_raw) - (SELECT count(*) FROM sales)",
+        "ingest_pct_dropped": "SELECT round(100.0::DOUBLE * ((SELECT count(*) FROM sales_raw) - (SELECT count(*) FROM sales)) "
+                              "/ (SELECT count(*) FROM sales_raw), 4)",
+        **{f"output_{k}": v for k, v in outputs.items()},
+        "headline_total_rows": "SELECT count(*) FROM sales",
+        "headline_year_min": "SELECT min(year) FROM sales", "headline_year_max": "SELECT max(year) FROM sales",
+        "headline_districts": "SELECT count(DISTINCT district) FROM sales",
+        "headline_postcode_areas": "SELECT count(DISTINCT postcode_area) FROM sales",
+        "headline_median_price_all_time": "SELECT quantile_disc(price, 0.5) FROM sales",
+    }
+    parts = [f"SELECT '{k}' AS name, CAST(({v}) AS DOUBLE) AS value" for k, v in counts.items()]
+    top = ("(SELECT coalesce(postcode_area, 'None') AS area, rows, round(100.0::DOUBLE * rows / sum(rows) OVER (), 3) AS pct "
+           "FROM (SELECT postcode_area, count(*) AS rows FROM sales GROUP BY postcode_area) g "
+           "ORDER BY rows DESC, postcode_area ASC NULLS FIRST LIMIT 10) t")
+    parts += [f"SELECT 'skew_rows_' || area, CAST(rows AS DOUBLE) FROM {top}", f"SELECT 'skew_pct_' || area, pct FROM {top}"]
     return with_sales("\nUNION ALL\n".join(parts), PREMIUM, REGION_YEAR)
 
 
+#: Types that inference should find: text, whole numbers for the price, timestamps without zone.
+_INFERRED = "'string,int,timestamp,string,string,string,string,string,string,string,string,string,string,string,string,string'"
+
+
 def layer_oracles() -> dict[str, str]:
     from .catalog import YEAR_SLICE
+    analysis = analysis_oracles()
     return {
         "layer_roundtrip": with_sales(LAYER_ROWS),
         "year_slice_type_count": with_sales(
@@ -361,7 +402,14 @@ def layer_oracles() -> dict[str, str]:
             f"SELECT property_type, count(*) AS rows FROM sales_raw "
             f"WHERE year(date_of_transfer) = {YEAR_SLICE} GROUP BY 1"),
         "csv_roundtrip_cells": with_sales(cells("district, year")),
-        "csv_inferred_count": with_sales("SELECT count(*) AS rows, 16 AS columns FROM sales_raw"),
+        "csv_inferred_count": with_sales(
+            "SELECT count(*) AS rows, CAST((SELECT len(string_split(types, ',')) FROM (SELECT "
+            + _INFERRED + " AS types)) AS INTEGER) AS columns, " + _INFERRED + " AS types FROM sales_raw"),
+        "footprint": with_sales("SELECT count(*) AS rows, true AS csv_bytes_agree, true AS layer_is_smaller FROM sales_raw"),
+        **{f"csv_{k}": analysis[v] for k, v in {
+            "quality": "quality_audit", "headline": "headline", "national_year": "national_year", "skew": "skew_top10",
+            "volume_quarter": "cells_quarter", "growth_district": "trend_growth_district", "region_year": "region_year",
+            "join_parity": "join_strategy_parity"}.items()},
         "csv_summary_premium": with_sales("SELECT * FROM premium", PREMIUM),
         "summary_sink": with_sales(cells("district, year")),
         "run_report": _report(),

@@ -7,6 +7,7 @@ from the raw feed by a later job.
 """
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -15,47 +16,52 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import apply_rules, enrich
-from ..functions.rules import Rule, audit_columns, price_paid_rules
+from ..functions.rules import Rule, audit_columns, finish_audit, price_paid_rules
 from ..operators import (
-    cell_stats, enrich_join, growth, latest_growth, median_by, premium, rolling_mean,
+    cell_stats, enrich_join, growth, latest_growth, median_by, premium, rolling_mean, strategy_parity,
 )
 from ..operators.profile import headline, skew_profile
 from ..sources.contract import read_feed_csv
-from ..sources.layer import read_layer, write_layer, write_summary
+from ..sources.layer import footprint, read_layer, write_layer, write_summary
 from ..sources.regions import region_lookup
 
+SKEW_KEYS = 10
+
 
 def ingest(raw: DataFrame, path: str, *, rules: Sequence[Rule] | None = None,
-           partition_by: str = "year", layout: str = "rebalance") -> dict[str, int]:
+           partition_by: str | None = "year", layout: str = "rebalance") -> dict[str, int]:
     """Clean, enrich and write ``raw`` as a partitioned layer at ``path``.
 
-    The cleaning audit (raw, clean and per-rule failure counts) is observed on
-    the same pass that feeds the write: one pass over the feed, not one for the
-    write and another to count it. Derived columns are added first (they drop
-    no rows), the rows are laid out by the partition column (``rebalance``,
-    see ``write_layer``), and only then observed and filtered: the observation
-    sits in the write's result stage, where a retried task is counted once,
-    and a filter is never pushed below an observation, so it sees every raw
-    row.
+    The cleaning audit (raw, clean and per-rule failure counts) is observed on the
+    pass that feeds the write, below the filter; only clean rows are laid out by the
+    partition column (``rebalance``, see ``write_layer``). The observation sits in the
+    stage before that shuffle: should the stage run again after a lost executor, Spark
+    may add its counts twice, so ``ingest`` compares them with a count of the written
+    rows (Parquet footers) and raises where they differ. ``layout="map"`` writes
+    without a shuffle, right for input in date order.
     """
     rows, obs = ingest_frame(raw, rules=rules, partition_by=partition_by, layout=layout)
     write_layer(rows, path, partition_by=partition_by, layout="map")
-    return {k: int(v) for k, v in obs.get.items()}
+    audit = {k: int(v) for k, v in obs.get.items()}
+    stored = read_layer(raw.sparkSession, path).count() if audit["rows_clean"] else 0
+    if stored != audit["rows_clean"]:
+        raise RuntimeError(f"{stored} rows were written, {audit['rows_clean']} observed as clean; "
+                           "count again with rules.audit")
+    return audit
 
 
 def ingest_frame(raw: DataFrame, *, rules: Sequence[Rule] | None = None,
-                 partition_by: str = "year", layout: str = "rebalance",
+                 partition_by: str | None = "year", layout: str = "rebalance",
                  ) -> tuple[DataFrame, Observation]:
     """The rows ``ingest`` writes, and the observation that will hold its audit
     once they are written (see ``ingest`` for the order of the steps)."""
     rules = list(rules) if rules is not None else price_paid_rules()
-    rows = enrich(raw)
+    obs = Observation(f"ingest-audit-{uuid.uuid4().hex}")   # unique per concurrent ingest
+    rows = apply_rules(enrich(raw).observe(obs, *audit_columns(rules)), rules)
     aqe = raw.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true"
-    if layout == "rebalance" and aqe:
+    if layout == "rebalance" and aqe and partition_by:
         rows = rows.hint("rebalance", partition_by)
-    obs = Observation(f"ingest-audit-{uuid.uuid4().hex}")   # unique per concurrent ingest
-    observed = rows.observe(obs, *audit_columns(rules))
-    return apply_rules(observed, rules), obs
+    return rows, obs
 
 
 SUMMARY_NAMES = (
@@ -63,19 +69,26 @@ SUMMARY_NAMES = (
     "new_build_premium", "transaction_volume_by_quarter", "region_summary",
     "fastest_growing_districts",
 )
+#: Summaries that follow from the district-year cells alone.
+FROM_CELLS = ("median_price_by_district_year", "price_growth_by_district", "fastest_growing_districts")
 
 
-def summary(df: DataFrame, name: str, *, since_year: int = 2000, top_n: int = 20,
-            window_years: int = 3) -> DataFrame:
-    """One of the seven market summaries over clean, enriched sales.
+def district_cells(df: DataFrame) -> DataFrame:
+    return cell_stats(df, ["district", "year"], min_rows=30)
 
-    Built on demand: an exact median runs a small selection job when it is
-    built, so only the summaries asked for are built.
-    """
-    if name == "median_price_by_district_year":
-        return cell_stats(df, ["district", "year"], min_rows=30)
-    if name == "price_growth_by_district":
-        return growth(cell_stats(df, ["district", "year"], min_rows=30), "district")
+
+def summary(df: DataFrame, name: str, *, since_year: int = 2000, top_n: int = 20,
+            window_years: int = 3, cells: DataFrame | None = None) -> DataFrame:
+    """One of the seven market summaries over clean, enriched sales. ``cells``: their
+    district-year cells, if the caller has them stored (the base-year cut is on a
+    grouping key, so it commutes with the aggregation)."""
+    if name in FROM_CELLS:
+        cells = district_cells(df) if cells is None else cells
+        if name == "price_growth_by_district":
+            return growth(cells, "district")
+        if name == "fastest_growing_districts":
+            return latest_growth(cells.filter(F.col("year") >= since_year), "district", top_n=top_n)
+        return cells
     if name == "rolling_median_by_area":
         return rolling_mean(median_by(df, ["postcode_area", "year"]), "postcode_area",
                             periods=window_years)
@@ -86,15 +99,11 @@ def summary(df: DataFrame, name: str, *, since_year: int = 2000, top_n: int = 20
     if name == "region_summary":
         joined = enrich_join(df, region_lookup(df.sparkSession), "postcode_area")
         return median_by(joined.filter(F.col("region").isNotNull()), ["region", "year"], order=True)
-    if name == "fastest_growing_districts":
-        recent = cell_stats(df.filter(F.col("year") >= since_year), ["district", "year"],
-                            min_rows=30)
-        return latest_growth(recent, "district", top_n=top_n)
     raise ValueError(f"unknown summary {name!r}")
 
 
 def summaries(df: DataFrame, **params) -> dict[str, DataFrame]:
-    """All seven summaries (each built as it is listed)."""
+    """All seven summaries."""
     return {name: summary(df, name, **params) for name in SUMMARY_NAMES}
 
 
@@ -104,43 +113,94 @@ def summary_from_csv(spark: SparkSession, csv_path: str, name: str, **params) ->
     return summary(enrich(apply_rules(read_feed_csv(spark, csv_path))), name, **params)
 
 
-def analyse(layer: DataFrame, out_root: str, *, parallel: int = 4) -> dict[str, int]:
+def stage_csv(spark: SparkSession, csv_path: str, work_dir: str) -> None:
+    """The one pass over a feed CSV that all outputs of ``csv_outputs`` share: its clean,
+    enriched rows and its audit, under ``work_dir``."""
+    counts = ingest(read_feed_csv(spark, csv_path), f"{work_dir}/rows", layout="map", partition_by=None)
+    row = spark.createDataFrame([tuple(counts.values())], ", ".join(f"{k} long" for k in counts))
+    finish_audit(row, price_paid_rules()).coalesce(1).write.mode("overwrite").parquet(f"{work_dir}/audit")   # one row
+
+
+def csv_outputs(spark: SparkSession, work_dir: str) -> dict[str, DataFrame]:
+    """Every output of the analysis from a CSV, over what ``stage_csv`` stored."""
+    df = read_layer(spark, f"{work_dir}/rows")
+    dim = region_lookup(spark)
+    joined = {s: enrich_join(df.select("transaction_id", "price", "year", "postcode_area"), dim, "postcode_area", strategy=s)
+              for s in ("broadcast", "merge")}
+    return {
+        "quality": spark.read.parquet(f"{work_dir}/audit"),
+        "headline": headline(df),
+        "national_year": median_by(df, ["year"], order=True),
+        "skew": skew_profile(df, "postcode_area", SKEW_KEYS),
+        "volume_quarter": summary(df, "transaction_volume_by_quarter"),
+        "growth_district": summary(df, "price_growth_by_district"),
+        "region_year": summary(df, "region_summary"),
+        "join_parity": strategy_parity(joined["broadcast"], joined["merge"], ["region"]),
+    }
+
+
+def analyse(layer: DataFrame, out_root: str, *, parallel: int = 4,
+            seconds: dict[str, float] | None = None) -> dict[str, int]:
     """Write every summary under ``out_root`` and return rows written per output.
 
-    Each write observes its own row count (one job per output, no cache). The
-    outputs are independent, so up to ``parallel`` of them are submitted at
-    once from a thread pool: concurrent jobs of one session share the
-    executors, and small stages of one output fill slots another leaves idle.
+    The district-year cells are computed and written once; three of the seven outputs
+    are derived from that small table, so the layer is read five times for all seven
+    (cells, areas, premium, quarters, regions). Each write observes its own row count
+    (one job per output, no cache). The outputs are independent, so up to ``parallel``
+    of them are submitted at once from a thread pool. ``seconds`` receives timings.
     """
+    seconds = {} if seconds is None else seconds
+    began = time.perf_counter()
+    district_cells(layer).write.mode("overwrite").parquet(f"{out_root}/_cells")
+    cells = layer.sparkSession.read.parquet(f"{out_root}/_cells")
+    seconds["cells"] = time.perf_counter() - began
+
     def one(name: str) -> tuple[str, int]:
-        return name, write_summary(summary(layer, name), f"{out_root}/{name}", name=name)
+        began = time.perf_counter()
+        rows = write_summary(summary(layer, name, cells=cells), f"{out_root}/{name}", name=name)
+        seconds[f"output_{name}"] = time.perf_counter() - began
+        return name, rows
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         return dict(pool.map(one, SUMMARY_NAMES))
 
 
-def report_frame(spark: SparkSession, report: dict[str, int]) -> DataFrame:
-    """A job report as a DataFrame: one row per entry, ``name`` and ``rows``."""
-    return spark.createDataFrame([(k, int(v)) for k, v in report.items()],
-                                 "name string, rows long")
+def report_frame(spark: SparkSession, report: dict[str, float]) -> DataFrame:
+    """A job report as a DataFrame: one row per entry, ``name`` and ``value``."""
+    return spark.createDataFrame([(k, float(v)) for k, v in report.items()], "name string, value double")
 
 
-def run(spark: SparkSession, raw: DataFrame, layer_path: str, out_root: str) -> DataFrame:
+def run(spark: SparkSession, raw: DataFrame, layer_path: str, out_root: str, *,
+        csv_path: str | None = None) -> DataFrame:
     """Ingest then analyse; the report of both as one DataFrame.
 
-    Also carries the headline counts and the row count of the most frequent
-    postcode area, so the report states what the layer holds.
+    It holds the audit with the share of dropped rows, rows per output, the headline
+    with the range of years and the all-time median, and the ten commonest postcode
+    areas with their rows and shares. The stored JSON adds what changes from run to
+    run: seconds by step, bytes of the layer and, with ``csv_path``, of the feed and
+    their ratio.
     """
+    seconds: dict[str, float] = {}
+    began = time.perf_counter()
     audit = ingest(raw, layer_path)
+    seconds["ingest"] = time.perf_counter() - began
     layer = read_layer(spark, layer_path)
-    written = analyse(layer, out_root)
-    report = {"ingest_rows_raw": audit["rows_raw"], "ingest_rows_clean": audit["rows_clean"]}
+    written = analyse(layer, out_root, seconds=seconds)
+    dropped = audit["rows_raw"] - audit["rows_clean"]
+    report: dict[str, float] = {
+        "ingest_rows_raw": audit["rows_raw"], "ingest_rows_clean": audit["rows_clean"],
+        "ingest_rows_dropped": dropped,
+        "ingest_pct_dropped": round(100.0 * dropped / audit["rows_raw"], 4) if audit["rows_raw"] else 0.0}
     report.update({f"output_{k}": v for k, v in written.items()})
-    head = headline(layer, measure=None).first()
-    report["headline_total_rows"] = head["total_rows"]
-    report["headline_districts"] = head["districts"]
-    report["headline_postcode_areas"] = head["postcode_areas"]
-    report["skew_top_key_rows"] = skew_profile(layer, top_n=1).first()["rows"]
-    frame = report_frame(spark, report)
-    frame.coalesce(1).write.mode("overwrite").json(f"{out_root}/_report")   # a few rows
-    return frame
+    head = headline(layer).first().asDict()
+    report.update({f"headline_{k}": v for k, v in head.items() if v is not None})
+    for r in skew_profile(layer, top_n=SKEW_KEYS).collect():           # ten rows
+        report[f"skew_rows_{r['postcode_area']}"] = r["rows"]
+        report[f"skew_pct_{r['postcode_area']}"] = r["pct_of_total"]
+    places = {"layer": layer_path} | ({"csv": csv_path} if csv_path else {})
+    size = {r["dataset"]: r["bytes"] for r in footprint(spark, places).collect()}
+    varying = {f"seconds_{k}": v for k, v in seconds.items()} | {f"bytes_{k}": v for k, v in size.items()}
+    if csv_path and size["layer"]:
+        varying["csv_to_layer_ratio"] = round(size["csv"] / size["layer"], 2)
+    report_frame(spark, report | varying).coalesce(1).write.mode("overwrite").json(f"{out_root}/_report")   # a few rows
+    return report_frame(spark, report)

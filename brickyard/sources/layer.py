@@ -1,8 +1,9 @@
 """Columnar layer, summary sink and on-disk footprint.
 
-Paths are Hadoop URIs (``file:``, ``hdfs:``, ``s3a:``…). Scratch output goes
-under the shared folder the cluster names in ``spark.checkpoint.dir``; a local
-temporary folder is used only when that setting is absent (tests).
+Paths are Hadoop URIs (``file:``, ``hdfs:``, ``s3a:``…). Scratch output goes under the
+session's checkpoint folder: the one set on the context if a caller set it there, else
+the shared folder that the cluster names in ``spark.checkpoint.dir``. A private
+temporary folder is used only with a local master and neither set (tests).
 """
 from __future__ import annotations
 
@@ -16,19 +17,44 @@ from pyspark.sql.types import StructType
 _LOCAL_ROOT: str | None = None
 
 
+def _plain(path: str) -> str:
+    return path.removeprefix("file://").removeprefix("file:").rstrip("/")
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder from the session; a private temp folder
-    only when the session names none."""
+    """The session's checkpoint folder (see the module)."""
     global _LOCAL_ROOT
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    held = spark.sparkContext.getCheckpointDir()      # a folder of its own under the one that was set
+    if held and not (named and _plain(held).startswith(_plain(named))):
+        return held.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share: working "
+                           f"tables can't be kept in a machine's own folder under master {master}")
     if _LOCAL_ROOT is None:
         _LOCAL_ROOT = tempfile.mkdtemp(prefix="brickyard-")
-        spark.sparkContext.setCheckpointDir(_LOCAL_ROOT)
     return _LOCAL_ROOT
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there: one look-up, no listing."""
+    return _file_system(spark, path)[0].exists(_file_system(spark, path)[1])
+
+
+def state(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the entries of a folder (one listing, not recursive)."""
+    fs, place = _file_system(spark, path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(place)))
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused folder under the scratch root."""
     return f"{scratch_root(spark)}/brickyard/{label}-{uuid.uuid4().hex}"

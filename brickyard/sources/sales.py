@@ -38,7 +38,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # --- fixed values: projection of the star schema onto the feed ---
 # postcode area by customer nation key 0..24 ("-" = no postcode)
-AREA_BY_NATION = "SW M LS B CF NE L BS E N NG TD EH ZZ - OX CB YO SE W CH PL PE S GU".split()
+AREA_BY_NATION = [
+    "SW", "M", "LS", "B", "CF", "NE", "L", "BS", "E", "N", "NG", "TD", "EH",
+    "ZZ", "-", "OX", "CB", "YO", "SE", "W", "CH", "PL", "PE", "S", "GU",
+]
 # property type code by the first word of p_type (X = an unknown code)
 TYPE_BY_PART_WORD = {"ECONOMY": "D", "PROMO": "S", "LARGE": "T", "MEDIUM": "F",
                      "STANDARD": "O", "SMALL": "X"}

@@ -7,11 +7,13 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from brickyard.functions import apply_rules, enrich
 from brickyard.operators import cell_stats, median_by
+from brickyard.operators.cells import value_bucket
 
-from .conftest import frame, priced_years
+from .conftest import frame, yearly
 
 
 def lower_median(values):
@@ -19,24 +21,18 @@ def lower_median(values):
     return vals[math.ceil(len(vals) / 2) - 1] if vals else None
 
 
-@pytest.fixture(scope="module")
-def trend_df(spark):
-    rows = priced_years([(2018, 100_000), (2019, 110_000), (2020, 121_000)])
-    return enrich(apply_rules(frame(spark, rows)))
+def test_cells_have_each_years_price_and_rows(spark):
+    prices = {1999: 71_250, 2001: 64_100, 2006: 133_333}
+    df = enrich(apply_rules(frame(spark, yearly(prices, rows=31))))
+    out = {r["year"]: r for r in cell_stats(df, ["district", "year"], min_rows=30).collect()}
+    assert {y: r["median_price"] for y, r in out.items()} == prices == {y: r["mean_price"] for y, r in out.items()}
+    assert {r["transactions"] for r in out.values()} == {31}
 
 
-def test_one_row_per_district_year_with_known_median(trend_df):
-    out = {r["year"]: r for r in cell_stats(trend_df, ["district", "year"], min_rows=30).collect()}
-    assert set(out) == {2018, 2019, 2020}
-    assert out[2018]["median_price"] == 100_000 and out[2020]["median_price"] == 121_000
-    assert out[2019]["transactions"] == 40 and out[2019]["mean_price"] == 110_000
-
-
-def test_thin_cells_are_suppressed(spark):
-    rows = priced_years([(2020, 200_000)], per_year=5, district="THIN")
-    df = enrich(apply_rules(frame(spark, rows)))
-    assert cell_stats(df, ["district", "year"], min_rows=30).count() == 0
-    assert cell_stats(df, ["district", "year"], min_rows=5).count() == 1
+@pytest.mark.parametrize("rows", [29, 30])
+def test_the_floor_is_the_least_number_of_rows(spark, rows):
+    df = enrich(apply_rules(frame(spark, yearly({2011: 99_000}, rows=rows))))
+    assert cell_stats(df, ["district", "year"], min_rows=30).count() == (rows >= 30)
 
 
 def test_even_count_takes_lower_middle(spark):
@@ -68,10 +64,38 @@ def test_global_median_without_keys(spark):
                 min_size=1, max_size=60))
 def test_exact_median_matches_definition(spark, rows):
     df = spark.createDataFrame(rows, "k string, v int")
-    got = {r["k"]: (r["median_v"], r["transactions"]) for r in cell_stats(df, ["k"], "v").collect()}
-    for k in {k for k, _ in rows}:
-        vals = [v for kk, v in rows if kk == k]
-        assert got[k] == (lower_median(vals), len(vals))
+    for method in ("counts", "two_pass"):
+        got = {r["k"]: (r["median_v"], r["transactions"]) for r in cell_stats(df, ["k"], "v", method=method).collect()}
+        assert set(got) == {k for k, _ in rows}
+        for k in got:
+            vals = [v for kk, v in rows if kk == k]
+            assert got[k] == (lower_median(vals), len(vals))
+
+
+@pytest.mark.parametrize("method", ["counts", "two_pass"])
+def test_nan_ranks_last_as_in_percentile_disc(spark, method):
+    nan = float("nan")
+    rows = [("a", 1.0), ("a", 2.0), ("a", 3.0), ("a", nan), ("a", nan), ("b", nan), ("b", 7.5), ("c", None), ("c", nan)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    want = {r["k"]: repr(r["m"]) for r in df.groupBy("k").agg(
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY v)").alias("m")).collect()}
+    assert {r["k"]: repr(r["median_v"]) for r in cell_stats(df, ["k"], "v", method=method).collect()} == want
+
+
+def test_buckets_keep_the_order_and_part_small_values(spark):
+    values = sorted({0.0, 1e-300, 5e-324, -1e-9, -3.5, 1.7e308, -1.7e308, *[k * 1e-8 for k in range(1, 400)]})
+    df = spark.createDataFrame([(v,) for v in [*values, float("nan")]], "v double").select("v", value_bucket(F.col("v")).alias("b"))
+    got = [r["b"] for r in df.collect()]
+    assert got == sorted(got) and len(set(got)) > 300
+
+
+def test_the_median_is_lazy(spark, tmp_path):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "building medians")
+    df = spark.range(100).selectExpr("id % 7 AS k", "id AS v")
+    cell_stats(df, ["k"], "v"), cell_stats(df, ["k"], "v", method="two_pass")
+    assert not tracker.getJobIdsForGroup("lazy")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_approximate_path_equals_exact_on_small_cells(spark):

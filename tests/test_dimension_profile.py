@@ -1,27 +1,24 @@
 """Dimension joins and strategies, hygiene, coverage, skew and headline."""
 from __future__ import annotations
 
-import datetime as dt
-
 import pytest
 from pyspark.sql import functions as F
 
 from brickyard.functions import apply_rules, enrich
 from brickyard.operators import (
-    coverage, dimension_hygiene, enrich_join, headline, skew_profile, strategy_parity,
+    counts_by_key, coverage, dimension_hygiene, enrich_join, headline, skew_profile, strategy_parity,
 )
 from brickyard.plans.inspect import physical_plan
 from brickyard.sources.regions import REGIONS, region_lookup, region_pairs
 
-from .conftest import frame, priced_years, sale
+from .conftest import frame, made, yearly
 
 
 @pytest.fixture(scope="module")
 def mixed_df(spark):
-    d = dt.datetime(2020, 1, 1)
-    rows = priced_years([(2018, 100_000), (2019, 110_000)])
-    rows += [sale("z1", 200_000, d, "ZZ9 9ZZ"), sale("n1", 200_000, d, None),
-             sale("m1", 150_000, d, "M1 1AA"), sale("t1", 150_000, d, "TD1 1AA")]
+    rows = yearly({2009: 58_000, 2010: 59_500}, rows=42, postcode="YO7 8AB")
+    rows += [made(transaction_id="unknown", price=77_000, postcode="QQ1 2AB"), made(transaction_id="missing", postcode=None),
+             made(transaction_id="border", postcode="TD15 1ZZ"), made(transaction_id="north", postcode="CA2 5LM")]
     return enrich(apply_rules(frame(spark, rows)))
 
 
@@ -32,9 +29,9 @@ def regions_by_id(df):
 def test_maps_area_and_keeps_unmatched_and_null_rows(mixed_df, spark):
     out = regions_by_id(enrich_join(mixed_df, region_lookup(spark), "postcode_area"))
     assert len(out) == mixed_df.count()
-    assert out["z1"] is None and out["n1"] is None
-    assert out["m1"] == "North West" and out["t1"] == "North East"
-    assert out["x2018-0-N"] == "London"
+    assert out["unknown"] is None and out["missing"] is None
+    assert out["north"] == "North West" and out["border"] == "North East"
+    assert list(out.values()).count("Yorkshire") == 84
 
 
 @pytest.mark.parametrize("strategy", ["merge", "auto"])
@@ -50,7 +47,7 @@ def test_strategies_return_the_same_rows(mixed_df, spark, strategy):
 def test_parity_detects_a_difference(mixed_df, spark):
     dim = region_lookup(spark)
     a = enrich_join(mixed_df, dim, "postcode_area")
-    b = a.filter(F.col("transaction_id") != "m1")
+    b = a.filter(F.col("transaction_id") != "north")
     assert strategy_parity(a, b, ["region"]).first()["groups_differing"] == 1
 
 
@@ -61,19 +58,33 @@ def test_plans_use_the_requested_join(mixed_df, spark):
     assert "SortMergeJoin" in merge and "BroadcastHashJoin" not in merge
 
 
-def test_merge_join_is_salted_and_splits_null_keys(mixed_df, spark):
-    plan = physical_plan(enrich_join(mixed_df, region_lookup(spark), "postcode_area",
-                                     strategy="merge", salts=8))
-    assert "SortMergeJoin" in plan and "_salt" in plan and "Union" in plan
-    unsalted = physical_plan(enrich_join(mixed_df, region_lookup(spark), "postcode_area",
-                                         strategy="merge", salts=1))
-    assert "_salt" not in unsalted
+@pytest.mark.parametrize("hot_share", [None, 0.5, 0.005])
+def test_merge_join_of_hot_and_missing_keys(mixed_df, spark, hot_share):
+    dim = region_lookup(spark)
+    a = enrich_join(mixed_df, dim, "postcode_area")
+    b = enrich_join(mixed_df, dim, "postcode_area", strategy="merge", hot_share=hot_share, salts=5)
+    assert a.columns == b.columns and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
 
+def test_merge_join_reads_the_columns_that_are_used(mixed_df, spark, tmp_path):
+    mixed_df.write.parquet(str(tmp_path / "wide"))
+    df = spark.read.parquet(str(tmp_path / "wide"))
+    joined = enrich_join(df, region_lookup(spark), "postcode_area", strategy="merge")
+    plan = physical_plan(joined.groupBy("region").agg(F.count(F.lit(1)).alias("rows")))
+    assert plan.count("FileScan") == 1 and "ReadSchema: struct<postcode_area:string>" in plan
 
-def test_broadcast_falls_back_above_the_size_bound(mixed_df, spark):
+
+def test_counts_by_key_equal_the_joined_rows(mixed_df, spark, tmp_path):
     dim = region_lookup(spark)
-    plan = physical_plan(enrich_join(mixed_df, dim, "postcode_area", max_broadcast_rows=10))
-    assert "SortMergeJoin" in plan
+    for by in (["postcode_area"], ["region"], ["region", "year"]):
+        want = enrich_join(mixed_df, dim, "postcode_area").groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
+        got = counts_by_key(mixed_df, dim, "postcode_area", by)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_broadcast_beyond_the_bound_raises(mixed_df, spark):
+    with pytest.raises(ValueError, match="broadcast bound"):
+        enrich_join(mixed_df, region_lookup(spark), "postcode_area", max_broadcast_bytes=100)
 
 
 def test_dimension_hygiene(spark):
@@ -94,16 +105,16 @@ def test_coverage_counts(mixed_df, spark):
 
 def test_skew_shares_are_bounded_and_ordered(mixed_df):
     rows = skew_profile(mixed_df, "postcode_area", 10).collect()
-    assert rows[0]["postcode_area"] == "SW"
+    assert rows[0]["postcode_area"] == "YO"
     assert all(0 < r["pct_of_total"] <= 100 for r in rows)
     assert sum(r["rows"] for r in rows) == mixed_df.count()
     # ties (1 row each) break on key, NULL first
-    assert [r["postcode_area"] for r in rows[1:]] == [None, "M", "TD", "ZZ"]
+    assert [r["postcode_area"] for r in rows[1:]] == [None, "CA", "QQ", "TD"]
 
 
 def test_headline_in_one_row(mixed_df):
     row = headline(mixed_df).first()
     assert row["total_rows"] == mixed_df.count()
-    assert (row["year_min"], row["year_max"]) == (2018, 2020)
-    assert row["districts"] == 2 and row["postcode_areas"] == 4
-    assert row["median_price_all_time"] == 110_000  # rank 42 of 84
+    assert (row["year_min"], row["year_max"]) == (2007, 2010)
+    assert row["districts"] == 1 and row["postcode_areas"] == 4
+    assert row["median_price_all_time"] == 59_500  # 42 of 88 rows lie below

@@ -1,20 +1,20 @@
 """Property tests of the trend frames, and the jobs end to end on edge rows."""
 from __future__ import annotations
 
-import datetime as dt
 from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from brickyard.functions import apply_rules, enrich
-from brickyard.operators import growth, rolling_mean
+from brickyard.functions import apply_rules, audit, enrich
+from brickyard.operators import growth, headline, rolling_mean
 from brickyard.plans import jobs
-from brickyard.sources.contract import check_contract
+from brickyard.plans.inspect import physical_plan
+from brickyard.sources.contract import check_contract, read_feed_csv, write_feed_csv
 from brickyard.sources.layer import read_layer, read_summary, scratch_dir, write_layer, write_summary
 
-from .conftest import frame, sale
+from .conftest import DROPPED, KEPT, frame, made
 
 cells_strategy = st.dictionaries(
     keys=st.tuples(st.sampled_from(["a", "b"]), st.integers(1995, 2005)),
@@ -58,11 +58,11 @@ def test_rolling_mean_matches_definition(spark, cells, periods):
 
 
 def test_contract_check_counts_null_keys(spark, sample_df):
-    extra = frame(spark, [sale("nokey", 100_000, dt.datetime(2020, 1, 1))])
+    extra = frame(spark, [made()])
     extra = extra.withColumn("transaction_id", F.lit(None).cast("string"))
     df = sample_df.unionByName(extra)
     row = check_contract(df).first()
-    assert (row["missing_columns"], row["null_keys"], row["rows"]) == (0, 1, 13)
+    assert (row["missing_columns"], row["null_keys"], row["rows"]) == (0, 1, len(KEPT | DROPPED) + 1)
     assert check_contract(df.drop("county")).first()["missing_columns"] == 1
 
 
@@ -73,24 +73,48 @@ def test_summary_limit_and_range_clustered_layer(spark, sample_df):
     assert read_summary(spark, path, clean.select("price").schema).count() == 3
     lpath = scratch_dir(spark, "test-range")
     write_layer(clean, lpath, range_cluster="transfer_date")
-    assert read_layer(spark, lpath).count() == 7
+    assert read_layer(spark, lpath).count() == len(KEPT)
 
 
 def test_job_run_reports_every_output(spark, sample_df):
-    rows = sample_df.collect()
-    report = {r["name"]: r["rows"] for r in jobs.run(
-        spark, frame(spark, [tuple(r) for r in rows]), scratch_dir(spark, "test-run-layer"),
-        scratch_dir(spark, "test-run-out")).collect()}
-    assert report["ingest_rows_raw"] == 12 and report["ingest_rows_clean"] == 7
+    csv, out = scratch_dir(spark, "test-run-csv"), scratch_dir(spark, "test-run-out")
+    write_feed_csv(sample_df, csv)
+    report = {r["name"]: r["value"] for r in jobs.run(
+        spark, read_feed_csv(spark, csv), scratch_dir(spark, "test-run-layer"), out, csv_path=csv).collect()}
+    clean = enrich(apply_rules(sample_df))
+    assert report["ingest_rows_raw"] == len(KEPT | DROPPED) and report["ingest_rows_clean"] == len(KEPT)
+    assert report["ingest_pct_dropped"] == round(100 * len(DROPPED) / len(KEPT | DROPPED), 4)
     assert set(f"output_{n}" for n in jobs.SUMMARY_NAMES) <= set(report)
     assert report["output_median_price_by_district_year"] == 0  # every cell under the floor
-    assert report["output_transaction_volume_by_quarter"] == (
-        enrich(apply_rules(sample_df)).select("year", "quarter").distinct().count())
-    assert report["headline_total_rows"] == 7
+    assert report["output_transaction_volume_by_quarter"] == clean.select("year", "quarter").distinct().count()
+    assert (report["headline_year_min"], report["headline_year_max"]) == (1996, 2007)
+    assert report["skew_rows_OX"] == len(KEPT) - 1 and report["skew_rows_None"] == 1
+    stored = {r["name"] for r in spark.read.json(f"{out}/_report").collect()}
+    assert {"seconds_ingest", "seconds_cells", "bytes_layer", "bytes_csv", "csv_to_layer_ratio"} <= stored - set(report)
+
+
+def test_outputs_from_cells_equal_those_from_rows(spark):
+    from .conftest import yearly
+    df = enrich(apply_rules(frame(spark, yearly({1998: 40_000, 2001: 55_000, 2002: 61_000}) + yearly(
+        {2000: 30_000, 2001: 33_000}, district="Other"))))
+    cells = jobs.district_cells(df)
+    for name in jobs.FROM_CELLS:
+        a, b = jobs.summary(df, name), jobs.summary(df, name, cells=cells)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
+
+
+def test_outputs_from_csv_share_one_pass(spark, sample_df):
+    csv, work = scratch_dir(spark, "test-csv"), scratch_dir(spark, "test-stage")
+    write_feed_csv(sample_df, csv)
+    jobs.stage_csv(spark, csv, work)
+    out = jobs.csv_outputs(spark, work)
+    assert out["quality"].first().asDict() == audit(sample_df).first().asDict()
+    assert out["headline"].first() == headline(enrich(apply_rules(sample_df))).first()
+    assert out["join_parity"].first()["groups_differing"] == 0
+    assert all("csv" not in physical_plan(df).split("Location")[0].lower() for df in out.values())
 
 
 def test_summary_from_csv_equals_summary_from_layer(spark, sample_df):
-    from brickyard.sources.contract import write_feed_csv
     path = scratch_dir(spark, "test-feed")
     write_feed_csv(sample_df, path)
     a = jobs.summary_from_csv(spark, path, "transaction_volume_by_quarter")
