@@ -33,9 +33,7 @@ def main() -> None:
     lines = ["# PLANS", "",
              f"Physical plans (AQE initial plans, before execution) on `{sf_dir}`, "
              "local[8], 16 shuffle partitions. Generated by `tools/plan_report.py`.", "",
-             "Counts are for the plan the query returns. The exact median writes its "
-             "one-row-per-group bucket selection in a job of its own first, so the "
-             "plans below start from that small table where a median is involved.", "",
+             "Counts are for the plan the query returns.", "",
              "| query | scans | exchanges | broadcast joins | sort-merge joins | windows | sorts |",
              "| --- | --- | --- | --- | --- | --- | --- |"]
     plans = {}
