@@ -184,9 +184,9 @@ def language_id(df: DataFrame, *, text: str, id: str, declared: Column, suffix:
     """One row per row of ``df``: the id, the columns to ``carry``, ``lang_id``, ``confidence``, ``accepted``."""
     languages = tuple(languages)
     keys = {"declared": declared, "suffix": suffix, "domain": domain, "host": host}
-    work = df.select(F.struct(F.col(id).alias("id"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]).alias("own"),
+    work = df.select(F.struct(F.col(id).alias("id"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry) if c != text]).alias("own"),
                      *[v.cast("string").alias(k) for k, v in keys.items()], F.col(text).cast("string").alias("text"))
-    # own: a struct, so that no carried name can clash
+    # own: a struct, so that no carried name can clash (without the text, which goes along once)
     base = work.select(F.col("own.id").alias("id"), "declared", "text")
     logp = profiles(base, text="text", id="id", declared="declared", languages=languages, max_rows=max_rows)
     narrow = written(with_text_evidence(work.select(F.col("own.id").alias("id"), *keys, "text"), logp, text="text")
@@ -196,7 +196,7 @@ def language_id(df: DataFrame, *, text: str, id: str, declared: Column, suffix:
         found = fuse(narrow, tables, languages, least)
         return found.select(F.col("id").alias(id), "lang_id", "confidence", "accepted")
     found = fuse(with_text_evidence(work, logp, text="text"), tables, languages, least)
-    return found.select(F.col("own.id").alias(id), *[F.col(f"own.c{i}").alias(c) for i, c in enumerate(carry)],
+    return found.select(F.col("own.id").alias(id), *[F.col("text" if c == text else f"own.c{i}").alias(c) for i, c in enumerate(carry)],
                         "lang_id", "confidence", "accepted")
 
 

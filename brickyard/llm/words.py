@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20            # working memory is about 40 bytes a byte of text
+SLICE_BYTES = 1 << 20            # working memory is about 40 to 60 bytes a byte of text
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 #: Byte classes. White space is x20 and x09-x0D, as in the pattern [^\x20\x09-\x0D]+.
