@@ -20,8 +20,8 @@ Columns are dealt into hash blocks; only these entries are needed:
 3. Bounds. A pair stays if its sizes are within 80 % and its accumulated count, with
    all that could lie behind the prefixes, still reaches the overlap that sizes ask for.
 4. Links. In a first round each document is verified against its likeliest partner
-   and, in long columns, against the column's leader of its size: one or two pairs a
-   document, however large a group of near copies is. Components follow. In the second
+   and, in long columns, against the column's leader of its size (the one with the most
+   entries in long columns, so the least of its own): one or two pairs a document, however large a group of near copies is. Components follow. In the second
    round only pairs of different components are left, in long columns too (columns
    inside one component go at once); all that pass the bounds are verified. So no
    candidate is dropped, and pairs inside a group are never all made.
@@ -49,7 +49,8 @@ OFTEN = 4                        # documents of a task from which it reports a s
 COMMON = 200_000                 # commonest shingles that go last: at most 3.2 MB
 SHORT = 12                       # documents of a column that is multiplied out in its block
 SPLIT = 20_000                   # counted documents of a column from which it is split
-FLUSH = 4_000_000                # shingles or entries that a task holds at once
+COUNTED = 4_000_000              # shingles that a task counts at once
+FLUSH = 500_000                  # entries that a task holds at once
 _STEP = np.log(1.05)
 
 
@@ -91,7 +92,7 @@ def _documents(n: int, least: int):
                     seen.add(sig)
                     held.append(values)
                     total += len(values)
-            if total >= FLUSH:
+            if total >= COUNTED:
                 yield frequent(held)
                 held, total = [], 0
         yield frequent(held)
@@ -268,11 +269,12 @@ def jaccard_components(df: DataFrame, *, text: str = "text", id: str = "doc_id",
     ways = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "c").unionByName(
         pairs.select(F.col("b").alias("x"), F.col("a").alias("y"), "c"))
     likeliest = ways.groupBy("x").agg(F.max(F.struct("c", "y")).alias("m")).select("x", F.col("m.y").alias("y"))
-    sized = long.join(known.select("sig", "n"), "sig").withColumn("band", F.floor(F.log("n") / F.lit(float(_STEP)) / 4).cast("int"))
-    leaders = sized.groupBy("col", "band").agg(F.min(F.struct("sig", "n")).alias("m")).select(
+    sized = long.join(known.select("sig", "n", "long"), "sig").withColumn("band", F.floor(F.log("n") / F.lit(float(_STEP)) / 4).cast("int"))
+    leaders = sized.groupBy("col", "band").agg(F.max(F.struct("long", "sig", "n")).alias("m")).select(
         "col", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), F.col("m.sig").alias("y"), F.col("m.n").alias("m"))
     led = (sized.join(leaders, ["col", "band"]).where((F.col("sig") != F.col("y")) & _sizes_fit(F.col("n"), F.col("m"), percent))
-           .groupBy(F.col("sig").alias("x"), "y").agg(F.count(F.lit(1)).alias("c"))
+           .groupBy(F.col("sig").alias("x"), "y", "n", "m").agg(F.count(F.lit(1)).alias("c"))
+           .where(_reaches(F.col("c"), F.col("n"), F.col("m"), percent))
            .groupBy("x").agg(F.max(F.struct("c", "y")).alias("m")).select("x", F.col("m.y").alias("y")))
     tried = written(likeliest.unionByName(led).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
                     "jaccard-tried")
@@ -295,14 +297,16 @@ def jaccard_components(df: DataFrame, *, text: str = "text", id: str = "doc_id",
     label = lambda x: labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}"))
     apart = F.coalesce("label_a", "a") != F.coalesce("label_b", "b")
     short = pairs.join(label("a"), "a", "left").join(label("b"), "b", "left").where(apart).select("a", "b", "c")
-    of = sized.join(labels.withColumnRenamed("node", "sig"), "sig", "left").select("col", "sig", "n", F.coalesce("label", "sig").alias("label"))
+    of = sized.join(labels.withColumnRenamed("node", "sig"), "sig", "left").select("col", "sig", "n", "long", F.coalesce("label", "sig").alias("label"))
     mixed = of.groupBy("col").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("col")
     of = written(of.join(mixed, "col"), "jaccard-mixed")
-    one, two = (of.select("col", F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("label").alias(f"label_{x}")) for x in "ab")
-    crossed = (one.join(two, "col").where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))
-                                          & _sizes_fit(F.col("na"), F.col("nb"), percent))
-               .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("cl"))
-               .join(pairs, ["a", "b"], "left").withColumn("c", F.col("cl") + F.coalesce("c", F.lit(0)))
+    one, two = (of.select("col", F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("long").alias(f"l{x}"),
+                          F.col("label").alias(f"label_{x}")) for x in "ab")
+    # (a pair that shares a short column too is among ``pairs``, where long columns are allowed for)
+    crossed = (one.join(two, (one["col"] == two["col"]) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))
+                        & _sizes_fit(F.col("na"), F.col("nb"), percent)
+                        & _reaches(F.least("la", "lb"), F.col("na"), F.col("nb"), percent))
+               .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
                .where(_reaches(F.col("c"), F.col("na"), F.col("nb"), percent)).select("a", "b", "c"))
     rest = written(short.unionByName(crossed).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
     if rest.limit(1).count():
