@@ -5,10 +5,12 @@ last, weigh 5, 2, 1, repeating, and share ``share`` (150 %) of all sizes; a targ
 stops at ``most`` (2) times its source's size and the excess is shared again by
 weight until none is above.
 
-Words are taken in blocks of about ``block`` words. Highest quotients
-target / (2 k + 1) give each source its integer quota of blocks. A source is dealt
-into shards by a seeded hash of the id (a hot source into many, so none is a hot
-group), and its quota goes to its shards the same way, by their sizes. A shard puts
+Highest quotients target / (2 k + 1) give each source its integer quota of words.
+They are taken in blocks of about ``block`` words; a source too small for 128 of them,
+or with a target under 32, has smaller blocks of its own, and no other source's blocks
+change with it. The quota, rounded to whole blocks, goes on: a source is dealt into
+shards by a seeded hash of the id (a hot source into many, so none is a hot
+group), and its blocks go to its shards the same way, by their sizes. A shard puts
 its documents in seeded order, cuts them into equal blocks, takes every block
 quota // blocks times and a seeded choice of them once more: no word is taken more
 than twice. Everything follows from ids, sizes and the seed: reruns agree.
@@ -34,7 +36,7 @@ from .words import Words, column, mix, slices
 WEIGHTS = (5, 2, 1)
 SHARD_WORDS = 1 << 18
 MAX_SHARDS = 4096                # of one source; beyond, shards grow
-MAX_BLOCKS = 1 << 36             # of all sources; beyond, blocks grow
+MAX_BLOCKS = 1 << 36             # of one source; beyond, its blocks grow
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], share: float = 1.5, most: float = 2.0) -> list[float]:
@@ -142,6 +144,17 @@ def blocks_of(words: int, block: int) -> int:
     return max(1, round(words / block)) if words else 0
 
 
+def block_of(words: int, target: float, block: int) -> int:
+    """Block size of one source: it follows from the source alone."""
+    return max(1, min(block, words // 128, int(target) // 32), words // MAX_BLOCKS)
+
+
+def block_quota(words: int, quota: int, block: int, most: int) -> int:
+    """A source's quota of words in whole blocks."""
+    n = blocks_of(words, block)
+    return min(most * n, round(quota * n / words)) if words else 0
+
+
 def mix_sources(df: DataFrame, *, text: str = "text", id: str = "doc_id", source: str = "source",
                 weights: Sequence[int] = WEIGHTS, share: float = 1.5, most: int = 2, seed: int = 42,
                 block: int = 1024, row: str | None = None) -> DataFrame:
@@ -154,14 +167,13 @@ def mix_sources(df: DataFrame, *, text: str = "text", id: str = "doc_id", source
     sizes = written(sizes_of(work, "row", "id", "source"), "mix-sizes")
     found = sizes.groupBy("source").agg(F.sum("size").alias("n")).collect()            # one row a source
     found = sorted(((r["source"], r["n"]) for r in found), key=lambda r: (r[0] is None, r[0] or ""))
-    total = sum(n for _, n in found)
-    block = max(1, min([block, *(n // 128 for _, n in found if n)]), total // MAX_BLOCKS)
     wanted = targets([n for _, n in found], [w for w, _ in zip(cycle(weights), found)], share, most)
     shards = [max(1, min(MAX_SHARDS, n // SHARD_WORDS)) for _, n in found]
-    quota = apportion(wanted, round(sum(wanted) / block), [most * blocks_of(n, block) for _, n in found])
+    quota = apportion(wanted, round(sum(wanted)), [most * n for _, n in found])
+    own = [block_of(n, t, block) for (_, n), t in zip(found, wanted, strict=True)]
     plan = spark.createDataFrame(
-        [(s, k, n, float(t), int(q), m, block) for k, ((s, n), t, q, m) in
-         enumerate(zip(found, wanted, quota, shards, strict=True))],
+        [(s, k, n, float(t), block_quota(n, int(q), b, most), m, b) for k, ((s, n), t, q, m, b) in
+         enumerate(zip(found, wanted, quota, shards, own, strict=True))],
         "name string, rank int, source_size long, target double, quota long, shards int, block long")
     if len(found) * 200 <= BROADCAST_BYTES:
         plan = F.broadcast(plan)

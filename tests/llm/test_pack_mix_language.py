@@ -161,6 +161,21 @@ def test_mix_comes_near_its_targets(spark):
     assert words == Counter({r["doc_id"]: r["taken"] for r in got.collect() if r["taken"]})
 
 
+def test_a_small_source_leaves_the_blocks_of_large_ones(spark):
+    rng = random.Random(4)
+    large = [(i, prose(rng, 400), "ab"[i % 2]) for i in range(200)]
+    small = [(1000 + i, prose(rng, 50), "c") for i in range(2)]
+
+    def spans(data):
+        df = spark.createDataFrame(data, "doc_id long, text string, source string")
+        return {r["id"]: (r["taken"], r["spans"]) for r in mixing.mix_sources(df, block=256).collect()}
+
+    alone, both = spans(large), spans(large + small)
+    assert {i: both[i] for i in alone} == alone
+    assert max(len(own) for _, own in alone.values()) <= 3
+    assert sum(both[i][0] for i, _, _ in small) == 200 and mixing.block_of(100, 200.0, 256) == 1
+
+
 def test_language_of_documents(spark):
     got = op9_language_id(spark, SMALL).toPandas()
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "lang").toPandas()
