@@ -71,6 +71,14 @@ def test_components_of_a_long_path(spark):
     assert got == {**{i: 0 for i in range(41)}, 90: 90, 95: 90, 100: 90}
 
 
+def test_components_of_a_path_of_shuffled_ids(spark):
+    ids = list(range(2000))
+    random.Random(6).shuffle(ids)
+    links = spark.createDataFrame(list(zip(ids, ids[1:])), "a long, b long").coalesce(2)
+    got = {r["node"]: r["label"] for r in components(links).collect()}
+    assert got == dict.fromkeys(ids, 0)
+
+
 def brute_substrings(rows, window=20):
     order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, (r[1] or "").encode()))
     seen, out = set(), []
