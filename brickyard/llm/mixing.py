@@ -16,7 +16,9 @@ quota // blocks times and a seeded choice of them once more: no word is taken mo
 than twice. Everything follows from ids, sizes and the seed: reruns agree.
 
 What reaches the driver is one row a source (weights are given by source). NULL and
-empty texts have size 0 and take nothing. Rows that repeat an id are documents of
+empty texts have size 0 and take nothing: they are answered where they lie, in no
+shard, so a shard of about 2^18 words has no more rows than words. Shards grow in
+number, not in size; one task a source shares its blocks out, with a row a shard. Rows that repeat an id are documents of
 their own, side by side in their shard. No rows: no rows. Ids may be NULL.
 """
 from __future__ import annotations
@@ -35,7 +37,6 @@ from .words import Words, column, mix, slices
 
 WEIGHTS = (5, 2, 1)
 SHARD_WORDS = 1 << 18
-MAX_SHARDS = 4096                # of one source; beyond, shards grow
 MAX_BLOCKS = 1 << 36             # of one source; beyond, its blocks grow
 
 
@@ -168,7 +169,7 @@ def mix_sources(df: DataFrame, *, text: str = "text", id: str = "doc_id", source
     found = sizes.groupBy("source").agg(F.sum("size").alias("n")).collect()            # one row a source
     found = sorted(((r["source"], r["n"]) for r in found), key=lambda r: (r[0] is None, r[0] or ""))
     wanted = targets([n for _, n in found], [w for w, _ in zip(cycle(weights), found)], share, most)
-    shards = [max(1, min(MAX_SHARDS, n // SHARD_WORDS)) for _, n in found]
+    shards = [max(1, n // SHARD_WORDS) for _, n in found]
     quota = apportion(wanted, round(sum(wanted)), [most * n for _, n in found])
     own = [block_of(n, t, block) for (_, n), t in zip(found, wanted, strict=True)]
     plan = spark.createDataFrame(
@@ -177,8 +178,11 @@ def mix_sources(df: DataFrame, *, text: str = "text", id: str = "doc_id", source
         "name string, rank int, source_size long, target double, quota long, shards int, block long")
     if len(found) * 200 <= BROADCAST_BYTES:
         plan = F.broadcast(plan)
-    rows = (sizes.join(plan, F.col("source").eqNullSafe(F.col("name")))
-            .withColumn("mix", F.xxhash64("id", "size"))
+    planned = sizes.join(plan, F.col("source").eqNullSafe(F.col("name")))
+    spans = "array<struct<start: long, length: long, times: int>>"
+    none = planned.where("size = 0").select("row", "id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"),
+                                            F.array().cast(spans).alias("spans"))
+    rows = (planned.where("size > 0").withColumn("mix", F.xxhash64("id", "size"))
             .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "mix"), F.col("shards")).cast("int")))
 
     def share_out(part: pd.DataFrame) -> pd.DataFrame:
@@ -189,9 +193,8 @@ def mix_sources(df: DataFrame, *, text: str = "text", id: str = "doc_id", source
 
     quotas = (rows.groupBy("rank", "quota", "block", "shard").agg(F.sum("size").alias("words"))
               .groupBy("rank").applyInPandas(share_out, "rank int, shard int, shard_quota long"))
-    return (rows.join(quotas, ["rank", "shard"]).groupBy("rank", "shard").applyInPandas(
-        _shard(seed), "row long, id long, size long, source_size long, target double, taken long, "
-                      "spans array<struct<start: long, length: long, times: int>>"))
+    return none.unionByName(rows.join(quotas, ["rank", "shard"]).groupBy("rank", "shard").applyInPandas(
+        _shard(seed), f"row long, id long, size long, source_size long, target double, taken long, spans {spans}"))
 
 
 def mixed_texts(df: DataFrame, **kw) -> DataFrame:

@@ -176,6 +176,22 @@ def test_a_small_source_leaves_the_blocks_of_large_ones(spark):
     assert sum(both[i][0] for i, _, _ in small) == 200 and mixing.block_of(100, 200.0, 256) == 1
 
 
+def test_rows_without_words_are_in_no_shard(spark, monkeypatch):
+    data = [(i, None if i % 2 else " ", "a") for i in range(300)] + [(500 + i, "one two three", "a") for i in range(40)]
+    groups = spark.sparkContext.accumulator(0)
+
+    def counted(seed, shard=mixing._shard):
+        def run(rows):
+            groups.add(len(rows))
+            return shard(seed)(rows)
+        return run
+
+    monkeypatch.setattr(mixing, "_shard", counted)
+    got = mixing.mix_sources(spark.createDataFrame(data, "doc_id long, text string, source string")).collect()
+    assert groups.value == 40 and len(got) == 340 and sum(r["taken"] for r in got) == 180
+    assert all(r["taken"] == 0 and r["spans"] == [] and r["source_size"] == 120 for r in got if not r["size"])
+
+
 def test_language_of_documents(spark):
     got = op9_language_id(spark, SMALL).toPandas()
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "lang").toPandas()
