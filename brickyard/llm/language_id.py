@@ -10,6 +10,11 @@ The log posterior of a language is the sum of four pieces of evidence:
 - host: its share of each language, smoothed towards its domain's, and that towards
   all rows' (``kappa`` pseudo-rows a level), by grouped aggregation over all rows.
 
+The languages are the values that at least ``least_rows`` (5) rows declare, counted over
+all rows, or those given as ``languages``. A value that fewer rows declare has no
+profile: its rows are scored like any other, so they go to a known language whose
+trigrams explain them, else to "und", and are not accepted there.
+
 Beside the languages stands "und", under which every trigram is as likely: it wins
 where no language explains the text. A row is accepted if a language wins with a
 posterior of ``least`` or more. Texts without a letter (NULL, empty, digits) are
@@ -33,8 +38,8 @@ from pyspark.sql import types as T
 from .tables import small, written
 from .words import LOWER, column, raw, slices
 
-LANGUAGES = ("de", "en", "es", "fr")
 BITS = 15
+LEAST_ROWS = 5
 MAX_ROWS = 1_000
 KAPPA = 20.0
 _LETTER = np.zeros(256, bool)
@@ -56,10 +61,19 @@ def trigrams(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return rows[ok], place.astype(np.int64)
 
 
-def profiles(df: DataFrame, *, text: str, id: str, declared: str, languages: Sequence[str] = LANGUAGES,
+def languages_of(df: DataFrame, declared: str, least_rows: int = LEAST_ROWS) -> tuple[str, ...]:
+    """The declared values of ``least_rows`` rows or more, in order (few, so they go to the driver)."""
+    found = df.where(F.col(declared) != "").groupBy(F.col(declared).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    return tuple(sorted(r["lang"] for r in found.where(F.col("n") >= least_rows).collect()))
+
+
+def profiles(df: DataFrame, *, text: str, id: str, declared: str, languages: Sequence[str],
              max_rows: int = MAX_ROWS) -> np.ndarray:
     """Log probability of each trigram place by language (rows) with add-half smoothing."""
     spark = df.sparkSession
+    table = np.full((len(languages), 1 << BITS), 0.5)
+    if not languages:
+        return table
     base = df.select(F.col(id).alias("id"), F.col(declared).alias("lang"))
     picked = None
     for lang in languages:
@@ -77,8 +91,8 @@ def profiles(df: DataFrame, *, text: str, id: str, declared: str, languages: Seq
             for lo, hi in slices(arr):
                 rows, place = trigrams(arr.slice(lo, hi - lo))
                 of = langs[lo:hi][rows]
-                for lang, counts in held.items():
-                    counts += np.bincount(place[of == lang], minlength=1 << BITS)
+                for lang in set(langs[lo:hi]):
+                    held[lang] += np.bincount(place[of == lang], minlength=1 << BITS)
         for lang, counts in held.items():
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
@@ -87,9 +101,9 @@ def profiles(df: DataFrame, *, text: str, id: str, declared: str, languages: Seq
 
     rows = (work.mapInArrow(count, "lang string, place int, n long")
             .groupBy("lang", "place").agg(F.sum("n").alias("n")).collect())   # languages * 2**BITS numbers at most
-    table = np.full((len(languages), 1 << BITS), 0.5)
+    at = {lang: k for k, lang in enumerate(languages)}
     for r in rows:
-        table[languages.index(r["lang"]), r["place"]] += r["n"]
+        table[at[r["lang"]], r["place"]] += r["n"]
     return np.log(table / table.sum(axis=1, keepdims=True))
 
 
@@ -179,15 +193,15 @@ def fuse(seen: DataFrame, tables: dict[str, DataFrame], languages: Sequence[str]
 
 
 def language_id(df: DataFrame, *, text: str, id: str, declared: Column, suffix: Column, domain: Column, host: Column,
-                languages: Sequence[str] = LANGUAGES, max_rows: int = MAX_ROWS, least: float = 0.5,
-                carry: Sequence[str] = ()) -> DataFrame:
+                languages: Sequence[str] | None = None, least_rows: int = LEAST_ROWS, max_rows: int = MAX_ROWS,
+                least: float = 0.5, carry: Sequence[str] = ()) -> DataFrame:
     """One row per row of ``df``: the id, the columns to ``carry``, ``lang_id``, ``confidence``, ``accepted``."""
-    languages = tuple(languages)
     keys = {"declared": declared, "suffix": suffix, "domain": domain, "host": host}
     work = df.select(F.struct(F.col(id).alias("id"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry) if c != text]).alias("own"),
                      *[v.cast("string").alias(k) for k, v in keys.items()], F.col(text).cast("string").alias("text"))
     # own: a struct, so that no carried name can clash (without the text, which goes along once)
     base = work.select(F.col("own.id").alias("id"), "declared", "text")
+    languages = languages_of(base, "declared", least_rows) if languages is None else tuple(languages)
     logp = profiles(base, text="text", id="id", declared="declared", languages=languages, max_rows=max_rows)
     narrow = written(with_text_evidence(work.select(F.col("own.id").alias("id"), *keys, "text"), logp, text="text")
                      .drop("text"), "language-evidence")

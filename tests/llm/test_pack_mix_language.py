@@ -199,6 +199,18 @@ def test_language_of_documents(spark):
     assert len(got) == len(docs) and (both.lang_id == both.lang).mean() > 0.99 and got.accepted.mean() > 0.99
 
 
+def test_languages_come_from_the_declared_values(spark):
+    rng = random.Random(9)
+    stems = {"en": ("the", "and", "ing"), "it": ("zione", "che", "gli"), "ru": ("при", "вет", "мир"), "el": ("και", "της", "ειν")}
+    data = [(100 * k + i, prose(rng, 40, stems[la]), la, "s") for k, la in enumerate(stems) for i in range(20)]
+    data += [(900 + i, prose(rng, 40, ("漢字", "日本", "語文")), "ja", "s") for i in range(li.LEAST_ROWS - 1)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in li.of_documents(df, carry=["lang"]).collect()}
+    assert len(got) == len(data)
+    assert all(r["lang_id"] == r["lang"] and r["accepted"] for i, r in got.items() if i < 900)
+    assert all(r["lang_id"] == "und" and not r["accepted"] for i, r in got.items() if i >= 900)
+
+
 def test_text_outweighs_a_wrong_declaration(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("length(text) > 1000")
     wrong = docs.withColumn("spoken", F.col("lang")).withColumn(
