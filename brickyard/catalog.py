@@ -162,13 +162,22 @@ def cohort_premium(spark, sf_dir):
 
 
 def cohort_premium_approx(spark, sf_dir):
-    """C1 with sketch medians, in one aggregate (no join, one exchange); the new-build
-    medians are held to the sketch's rank bound."""
+    """C1 with sketch medians, in one aggregate (no join, one exchange). The medians of
+    both cohorts are held to the sketch's rank bound, the premium to the two medians and
+    the row counts to the cohort; ``beyond_bound`` counts what fails any of these."""
     df = sales(spark, sf_dir)
-    out = premium(df, ["year", "property_type_name"], "is_new_build", exact=False)
-    cells = out.select("year", "property_type_name", F.col("new_build_median").alias("median_price"))
-    return _rank_error(cells, ["year", "property_type_name"],
-                       df.where("is_new_build").select("year", "property_type_name", "price"))
+    keys = ["year", "property_type_name"]
+    out = premium(df, keys, "is_new_build", exact=False)
+    new, old = (_rank_error(out.select(*keys, F.col(median).alias("median_price")), keys, df.where(cohort).select(*keys, "price"))
+                for median, cohort in (("new_build_median", F.col("is_new_build")), ("existing_median", ~F.col("is_new_build"))))
+    pct = (F.col("new_build_median") / F.col("existing_median") - 1) * 100
+    rest = out.agg(F.count_if(F.coalesce(F.abs(F.col("premium_pct") - pct) > 0.0051, F.lit(True))).alias("wrong"),
+                   F.coalesce(F.sum("new_build_transactions"), F.lit(0)).alias("counted"))
+    old = old.select(F.col("cells").alias("old_cells"), F.col("beyond_bound").alias("old_beyond"))
+    uncounted = (F.coalesce("rows", F.lit(0)) != F.col("counted")).cast("long")
+    return new.crossJoin(old).crossJoin(rest).select(
+        "cells", "rows", (F.col("beyond_bound") + F.col("old_beyond") + F.abs(F.col("cells") - F.col("old_cells"))
+                          + F.col("wrong") + uncounted).alias("beyond_bound"))
 
 
 # --- dimension joins ---------------------------------------------------------
