@@ -5,7 +5,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fingerprints, jaccard_join, language_id, line_dedup, mixing, packing, substring_dedup
+from . import (
+    byte_bpe, exact_dedup, fingerprints, jaccard_join, language_id, line_dedup, mixing, packing, phrases, search, substring_dedup,
+)
 from .quality import quality
 from .tables import documents
 from .token_counts import token_counts
@@ -64,6 +66,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup_query(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(documents(spark, sf_dir, "doc_id", "text"), tokenizer_file("byte_bpe_50k.tiktoken"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir, "doc_id", "lang", "text"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality": op2_quality,
@@ -75,6 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_language_id": op9_language_id,
     "op10_line_dedup": op10_line_dedup,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_phrases": op12_phrases,
+    "op13_search": op13_search,
     "language_id_pages": language_id_pages,
 }
 
@@ -84,4 +101,6 @@ ORACLES: dict[str, str] = {
     "op6_jaccard_join": jaccard_join.ORACLE,
     "op7_substring_dedup": substring_dedup.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
+    "op12_phrases": phrases.ORACLE,
+    "op13_search": search.ORACLE,
 }

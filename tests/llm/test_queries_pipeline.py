@@ -35,7 +35,7 @@ def test_query_matches_sql(spark, name):
 
 def test_entry_registers_one_query_per_operator():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and set(ORACLES) <= set(entry.oracle_sql())
 
