@@ -10,14 +10,15 @@ times a power of the inverse base, mixed with the run's length and language.
    slots (at most ``2**MOST_BITS`` of them: 32 MB) lets the next pass leave out what can't
    be frequent: a phrase is no more frequent than any pair in it. Slots that several
    phrases share only let more through.
-2. Fingerprints of the runs left, 1 to ``longest`` words, are counted with the occurrence
-   pointer (id, word number) of the first one; map-side by arrays, then by a shuffle.
-   Fingerprints with the least count are frequent; a second bitmap holds them.
-3. Runs whose fingerprint is in it are verified against the text: words of a slice are
-   compared byte by byte with the one that stands for their hash, runs word by word with
-   the one that stands for their fingerprint, and those that differ are counted apart.
-   Only these phrases are made into strings; counts are added by (language, phrase), so
-   they are exact whatever the fingerprints do.
+2. Fingerprints of the runs left, 1 to ``longest`` words, are counted with pointers (id,
+   word number) to two occurrences, the least of those that tasks met first and the greatest
+   of those met last; map-side by arrays, then by a shuffle. Beside its fingerprint every occurrence carries a checksum of
+   its words' bytes (other byte values, another base, 28 bits): occurrences that agree in
+   the one but not in the other are counted apart.
+3. Frequent fingerprints only are made into phrases: the documents that the pointers name
+   are read, the runs at both pointers are cut out as text and compared. Where they differ
+   (two phrases share 92 bits), the fingerprint is counted again over all texts, every
+   occurrence compared word by word with the one that stands for it.
 
 The scores are joins over frequent phrases only: each cut of a candidate looks up its two
 parts, which are frequent as well. Products are decimals of 38 digits. A candidate inside
@@ -38,13 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import written
+from .tables import small, written
 from .words import LOWER, Words, column, mix, raw, slices
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 MOST_BITS = 28
 HELD = 3_000_000                     # fingerprints a task holds before it combines them
 STRINGS = 200_000                    # phrases a task holds before it hands them on
+LENGTH_BITS = 4                      # of a checksum, for the number of words of the run
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _CUT = np.zeros(256, np.uint8)
@@ -52,6 +54,8 @@ _CUT[[ord(c) for c in ".,;:!?"]] = _CUT[0x0A:0x0E] = 1
 _WORD = np.ones(256, np.uint8)
 _WORD[[0x20, 0x09]] = 0
 _WORD[_CUT > 0] = 0
+_CHECK = np.uint64(0xD6E8FEB86659FD93)       # of the checksums: base of the bytes, and of the words
+_CHECK_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * _CHECK)
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -83,6 +87,21 @@ class Runs:
             self.prefix = np.zeros(len(w) + 1, np.uint64)
             np.cumsum(w.hashes * _powers(_BASE, len(w))[:len(w)], out=self.prefix[1:])
 
+    def checks(self, at: np.ndarray, n: int) -> np.ndarray:
+        """Checksum and length of the runs of ``n`` words from the places ``at``, as one int."""
+        if not hasattr(self, "check_prefix"):
+            w, base, inverse = self.words, int(_CHECK), pow(int(_CHECK), -1, 1 << 64)
+            with np.errstate(over="ignore"):
+                terms = np.zeros(len(self.data) + 1, np.uint64)
+                np.cumsum(_CHECK_VALUE[self.data] * _powers(base, len(self.data))[:len(self.data)], out=terms[1:])
+                own = mix((terms[w.ends] - terms[w.starts]) * _powers(inverse, len(self.data) + 1)[w.starts]
+                          + (w.ends - w.starts).astype(np.uint64))
+                self.check_prefix = np.zeros(len(w) + 1, np.uint64)
+                np.cumsum(own * _powers(base, len(w))[:len(w)], out=self.check_prefix[1:])
+        with np.errstate(over="ignore"):
+            value = mix((self.check_prefix[at + n] - self.check_prefix[at]) * _powers(pow(int(_CHECK), -1, 1 << 64), len(self.words))[at])
+        return ((value >> np.uint64(32 + LENGTH_BITS)).astype(np.int64) << LENGTH_BITS | n).astype(np.uint32).view(np.int32)
+
     def fingerprints(self, at: np.ndarray, n: int) -> np.ndarray:
         """Of the runs of ``n`` words from the places ``at``."""
         with np.errstate(over="ignore"):
@@ -200,46 +219,82 @@ def _alive(runs: Runs, bitmap: np.ndarray, bits: int, longest: int) -> Iterator[
 
 
 def _fingerprint_counts(bitmap, bits: int, longest: int):
+    """Rows (fp, check, n, doc, word, last_doc, last_word), and with ``lang`` set its number of words in ``n``."""
     def combined(held: list[tuple]) -> tuple:
-        fp, count, doc, word, known = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.argsort(fp, kind="stable")
-        first = np.flatnonzero(np.append(True, np.diff(fp[order]) != 0))
-        one = order[first]
-        return fp[one], np.add.reduceat(count[order], first), doc[one], word[one], known[one]
+        fp, check, count, known, doc, word, last_known, last_doc, last_word = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((check, fp))
+        fp, check = fp[order], check[order]
+        first = np.flatnonzero(np.append(True, (np.diff(fp) != 0) | (np.diff(check) != 0)))
+        one, last = order[first], order[np.append(first[1:], len(order)) - 1]
+        return (fp[first], check[first], np.add.reduceat(count[order], first), known[one], doc[one], word[one],
+                last_known[last], last_doc[last], last_word[last])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_, held, many = bitmap.value, [], 0
+        filter_, held, many, total = bitmap.value, [], 0, {}
 
-        def out() -> pa.RecordBatch:
-            fp, count, doc, word, known = held[0]
+        def out(fp, check, count, known, doc, word, last_known, last_doc, last_word) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(fp.view(np.int64)), pa.array(count), pa.array(doc, pa.int64(), mask=~known), pa.array(word, pa.int64())],
-                ["fp", "n", "doc", "word"])
+                [pa.array(fp.view(np.int64)), pa.array(check), pa.array(count), pa.array(doc, pa.int64(), mask=~known),
+                 pa.array(word, pa.int32()), pa.array(last_doc, pa.int64(), mask=~last_known), pa.array(last_word, pa.int32()),
+                 pa.nulls(len(fp), pa.string())], _COUNTED)
 
         for ids, runs in _run_batches(batches):
+            for k, c in enumerate(np.bincount(runs.lang, minlength=len(runs.langs)).tolist()):
+                total[runs.langs[k]] = total.get(runs.langs[k], 0) + c
             known = np.array(ids.is_valid())
             doc = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for _, at, fp in _alive(runs, filter_, bits, longest):
+            for n, at, fp in _alive(runs, filter_, bits, longest):
                 row = runs.words.rows[at]
-                held.append((fp, np.ones(len(at), np.int64), doc[row], at - runs.words.bounds[row], known[row]))
+                place = (known[row], doc[row], (at - runs.words.bounds[row]).astype(np.int32))
+                held.append((fp, runs.checks(at, n), np.ones(len(at), np.int64), *place, *place))
                 many += len(at)
             if many > HELD:
                 held = [combined(held)]
                 many = len(held[0][0])
                 if many > HELD // 2:
-                    yield out()
+                    yield out(*held[0])
                     held, many = [], 0
         if many:
-            held = [combined(held)]
-            yield out()
+            yield out(*combined(held))
+        if total:
+            none = [None] * len(total)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip([[0] * len(total), [0] * len(total), list(total.values()), none, none, none, none, list(total)],
+                                                _COUNTED_TYPES, strict=True)], _COUNTED)
 
     return run
 
 
-def _phrases(bitmap, bits: int, frequent, frequent_bits: int, longest: int):
-    """Verified phrases by language: (lang, n, phrase, count); n = 0 counts all words."""
+_COUNTED = ["fp", "check", "n", "doc", "word", "last_doc", "last_word", "lang"]
+_COUNTED_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.string()]
+
+
+def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, n, phrase, fp, check) of the runs that rows (lang, text, array of (word, check, fp)) point to."""
+    for b in batches:
+        langs, texts, ats = b.column(0), column(b.column(1)), b.column(2).to_pylist()
+        for lo, hi in slices(texts):
+            runs = Runs(texts.slice(lo, hi - lo), langs.slice(lo, hi - lo))
+            body, w, out = runs.data.tobytes(), runs.words, []
+            for k, own in enumerate(ats[lo:hi]):
+                first, last = int(w.bounds[k]), int(w.bounds[k + 1])
+                for p in own:
+                    n, at = p["check"] & ((1 << LENGTH_BITS) - 1), first + p["word"]
+                    if at + n > last or not runs.joined[at:at + n - 1].all():
+                        continue                           # another row of the same id
+                    here = np.array([at])
+                    if int(runs.checks(here, n)[0]) == p["check"] and int(runs.fingerprints(here, n).view(np.int64)[0]) == p["fp"]:
+                        phrase = b" ".join(body[x:y] for x, y in zip(w.starts[at:at + n].tolist(), w.ends[at:at + n].tolist(), strict=True))
+                        out.append((langs[lo + k].as_py(), n, phrase.decode(), p["fp"], p["check"]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                zip(*out, strict=True) if out else [()] * 5, [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int32()], strict=True)],
+                ["lang", "n", "phrase", "fp", "check"])
+
+
+def _phrases(bitmap, bits: int, chosen_fps, chosen_bits: int, longest: int):
+    """Phrases whose fingerprint's slot is chosen, each occurrence verified word by word: (lang, n, phrase, count, fp)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_, chosen = bitmap.value, frequent.value
+        filter_, chosen = bitmap.value, chosen_fps.value
         held: dict[tuple[str, int, bytes], list[int]] = {}
 
         def out() -> pa.RecordBatch:
@@ -250,8 +305,6 @@ def _phrases(bitmap, bits: int, frequent, frequent_bits: int, longest: int):
                  pa.array(counts, pa.int64()), pa.array(fps, pa.int64())], ["lang", "n", "phrase", "count", "fp"])
 
         for _, runs in _run_batches(batches):
-            for k, c in enumerate(np.bincount(runs.lang, minlength=len(runs.langs)).tolist()):
-                held.setdefault((runs.langs[k], 0, b""), [0, 0])[0] += c
             if not len(runs.words):
                 continue
             ids, body = runs.word_ids(), runs.data.tobytes()
@@ -260,7 +313,7 @@ def _phrases(bitmap, bits: int, frequent, frequent_bits: int, longest: int):
             plain = np.zeros(len(ids), bool)
             plain[:-1] = (starts[1:] == ends[:-1] + 1) & (runs.data[np.minimum(ends[:-1], len(runs.data) - 1)] == 0x20)
             for n, at, fp in _alive(runs, filter_, bits, longest):
-                ok = _has(chosen, _slots(fp, frequent_bits))
+                ok = _has(chosen, _slots(fp, chosen_bits))
                 at, fp = at[ok], fp[ok]
                 while len(at):                              # once, unless fingerprints are wrong
                     keys, one, which, counts = np.unique(fp, return_index=True, return_inverse=True, return_counts=True)
@@ -289,9 +342,10 @@ def _phrases(bitmap, bits: int, frequent, frequent_bits: int, longest: int):
 
 def frequent_phrases(df: DataFrame, *, text: str = "text", lang: str = "lang", id: str = "doc_id", least: int = LEAST,
                      longest: int = LONGEST, bits: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(phrases, pointers): exact (lang, n, phrase, count) and fingerprint of every phrase of 1 to ``longest``
-    words that occurs ``least`` times or more, and n = 0 with the number of all words of each language;
-    and for every frequent fingerprint (fp, n, doc, word) its count and an occurrence."""
+    """(phrases, totals): (lang, n, phrase, count, doc, word) of every phrase of 1 to ``longest`` words that occurs
+    ``least`` times or more, with one of its occurrences; and (lang, n), the number of words of each language."""
+    if not 1 <= longest < 1 << LENGTH_BITS:
+        raise ValueError(f"longest must be from 1 to {(1 << LENGTH_BITS) - 1}")
     spark = df.sparkSession
     work = df.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
                      F.col(text).cast("string").alias("text"))
@@ -301,10 +355,37 @@ def frequent_phrases(df: DataFrame, *, text: str = "text", lang: str = "lang", i
     few = min(least, 0xFFFF)
     slots = work.mapInArrow(_slot_counts(bits, few), "block int, slots binary, counts binary")
     bitmap = spark.sparkContext.broadcast(_bitmap(slots, bits, few))
-    counted = work.mapInArrow(_fingerprint_counts(bitmap, bits, longest), "fp long, n long, doc long, word long")
-    pointers = written(counted.groupBy("fp").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "word")).alias("at"))
-                       .where(F.col("n") >= least).select("fp", "n", "at.doc", "at.word"), "phrase-fingerprints")
-    wide = min(MOST_BITS, max(16, (32 * pointers.count()).bit_length()))
+    counted = work.mapInArrow(_fingerprint_counts(bitmap, bits, longest),
+                              "fp long, check int, n long, doc long, word int, last_doc long, last_word int, lang string")
+    counted = counted.groupBy("fp", "check", "lang").agg(
+        F.sum("n").alias("n"), F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "word")).alias("first"),
+        F.max(F.struct("last_doc", "last_word")).alias("last"))
+    counted = written(counted.where((F.col("n") >= least) | F.col("lang").isNotNull()).select(
+        "fp", "check", "n", "lang", "first.doc", "first.word", "last.last_doc", "last.last_word"), "phrase-fingerprints")
+    totals = counted.where("lang IS NOT NULL").select("lang", "n")
+    chosen = counted.where("lang IS NULL").drop("lang")
+
+    ends = chosen.select(F.explode(F.array(F.struct("doc", "word"), F.struct(F.col("last_doc").alias("doc"), F.col("last_word").alias("word"))))
+                         .alias("p"), "fp", "check")
+    lists = written(ends.groupBy("p.doc").agg(F.collect_set(F.struct("p.word", "check", "fp")).alias("ats")), "phrase-pointers")
+    named = small(lists.select(F.col("doc").alias("id")), 16)
+    pointed = work.where(F.col("text") != "").join(named, work["id"].eqNullSafe(named["id"]), "left_semi")
+    cut = pointed.join(lists, pointed["id"].eqNullSafe(lists["doc"])).select("lang", "text", "ats").mapInArrow(
+        _cut_out, "lang string, n int, phrase string, fp long, check int")
+    cut = written(cut.distinct(), "phrase-texts")
+    unlike = cut.groupBy("fp", "check").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("fp", "check")
+    unlike = written(unlike, "phrase-collisions")
+    phrases = cut.join(unlike, ["fp", "check"], "left_anti") if (wrong := unlike.count()) else cut
+    phrases = phrases.join(chosen, ["fp", "check"]).select("lang", cut["n"], "phrase", chosen["n"].alias("count"), "doc", "word")
+    if wrong:
+        again = _recount(work, unlike, bitmap, bits, longest).where(F.col("count") >= least)
+        phrases = phrases.unionByName(again.withColumns({"doc": F.lit(None).cast("long"), "word": F.lit(None).cast("int")}))
+    return written(phrases, "phrases"), totals
+
+
+def _recount(work: DataFrame, unlike: DataFrame, bitmap, bits: int, longest: int) -> DataFrame:
+    """Exact (lang, n, phrase, count) of the phrases that have the fingerprints of ``unlike``."""
+    wide = min(MOST_BITS, max(16, (512 * unlike.count()).bit_length()))
     one = np.array([1], "<u2").tobytes()
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,21 +398,20 @@ def frequent_phrases(df: DataFrame, *, text: str = "text", lang: str = "lang", i
                 [pa.array(blocks, pa.int32()), pa.array([low[x:y].tobytes() for x, y in zip(first.tolist(), ends, strict=True)], pa.binary()),
                  pa.array([one * (y - x) for x, y in zip(first.tolist(), ends, strict=True)], pa.binary())], ["block", "slots", "counts"])
 
-    chosen = spark.sparkContext.broadcast(
-        _bitmap(pointers.select("fp").mapInArrow(marks, "block int, slots binary, counts binary"), wide, 1))
+    rows = unlike.select("fp").mapInArrow(marks, "block int, slots binary, counts binary")
+    chosen = work.sparkSession.sparkContext.broadcast(_bitmap(rows, wide, 1))
     found = work.mapInArrow(_phrases(bitmap, bits, chosen, wide, longest), "lang string, n int, phrase string, count long, fp long")
-    phrases = found.groupBy("lang", "n", "phrase").agg(F.sum("count").alias("count"), F.first("fp").alias("fp"))
-    return written(phrases.where((F.col("count") >= least) | (F.col("n") == 0)), "phrases"), pointers
+    found = found.join(unlike.select("fp").distinct(), "fp", "left_semi")
+    return found.groupBy("lang", "n", "phrase").agg(F.sum("count").alias("count"))
 
 
 def collocations(df: DataFrame, *, text: str = "text", lang: str = "lang", id: str = "doc_id", least: int = LEAST,
                  longest: int = LONGEST, top: int = TOP, bits: int | None = None, pointers: bool = False) -> DataFrame:
     """The ``top`` phrases of 2 to ``longest`` words of each language (see the module): lang, rank, phrase,
-    a, l, r, n, score; with ``pointers`` also an occurrence of the phrase's fingerprint, as the id and
-    ``word`` (its first word's number in the text)."""
-    phrases, places = frequent_phrases(df, text=text, lang=lang, id=id, least=least, longest=longest, bits=bits)
-    counts = phrases.where("n > 0").select("lang", "phrase", F.col("count").alias("f"))
-    totals = phrases.where("n = 0").select("lang", F.col("count").alias("n"))
+    a, l, r, n, score; with ``pointers`` also one of the phrase's occurrences, as the id and ``word`` (its
+    first word's number in the text)."""
+    phrases, totals = frequent_phrases(df, text=text, lang=lang, id=id, least=least, longest=longest, bits=bits)
+    counts = phrases.select("lang", "phrase", F.col("count").alias("f"))
     long = phrases.where("n > 1").withColumn("words", F.split("phrase", " "))
     inside = long.where("n > 2").select("lang", F.col("count").alias("longer"), F.explode(F.array(
         F.array_join(F.expr("slice(words, 1, n - 1)"), " "), F.array_join(F.expr("slice(words, 2, n - 1)"), " "))).alias("phrase"))
@@ -354,8 +434,7 @@ def collocations(df: DataFrame, *, text: str = "text", lang: str = "lang", id: s
         F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"))
     if not pointers:
         return out
-    named = out.join(phrases.select("lang", "phrase", "fp"), ["lang", "phrase"])
-    return named.join(places.select("fp", F.col("doc").alias(id), "word"), "fp").drop("fp").select(*out.columns, id, "word")
+    return out.join(phrases.select("lang", "phrase", F.col("doc").alias(id), "word"), ["lang", "phrase"]).select(*out.columns, id, "word")
 
 
 ORACLE = """

@@ -204,9 +204,44 @@ def test_colliding_fingerprints_are_told_apart(monkeypatch, mask):
     got = Counter()
     for out in phrases._phrases(every, 16, every, 16, 5)(iter([batch])):
         for r in out.to_pylist():
-            got[r["lang"], tuple(r["phrase"].split(" ")) if r["n"] else ()] += r["count"]
-    counts, total = brute_counts(rows)
-    assert got == counts + Counter({(lang, ()): n for lang, n in total.items()})
+            got[r["lang"], tuple(r["phrase"].split(" "))] += r["count"]
+    assert got == brute_counts(rows)[0]
+
+
+def test_phrases_that_share_a_fingerprint_are_counted_again(spark, monkeypatch):
+    rows = phrase_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    right, _ = phrases.frequent_phrases(df, least=4)
+    keep = phrases.written
+
+    def doubted(frame, label):                  # every second fingerprint is taken for one of two phrases
+        return keep(texts.where("fp % 2 = 0").select("fp", "check") if label == "phrase-collisions" else frame, label)
+
+    def noted(frame, label):
+        nonlocal texts
+        out = doubted(frame, label)
+        texts = out if label == "phrase-texts" else texts
+        return out
+
+    texts = None
+    monkeypatch.setattr(phrases, "written", noted)
+    again, _ = phrases.frequent_phrases(df, least=4)
+    assert again.where("doc IS NULL AND word IS NULL").count() > 50
+    assert bag(again, "lang", "n", "phrase", "count") == bag(right, "lang", "n", "phrase", "count")
+    counts, _ = brute_counts(rows)
+    assert bag(right, "lang", "phrase", "count") == sorted(((la, " ".join(p), c) for (la, p), c in counts.items() if c >= 4), key=repr)
+
+
+def test_checksums_and_fingerprints_follow_the_words():
+    texts = pa.array(["a bc  d a", "A\tbc d, abc d", "bc d"])
+    runs = phrases.Runs(texts, pa.array(["x", "x", "x"]))
+    for n in (1, 2, 3):
+        seen = defaultdict(set)
+        for at in runs.places(n).tolist():
+            own = tuple(runs.words.text(k).lower() for k in range(at, at + n))
+            seen[own].add((int(runs.fingerprints(np.array([at]), n)[0]), int(runs.checks(np.array([at]), n)[0])))
+        assert all(len(x) == 1 for x in seen.values()) and len({y for x in seen.values() for y in x}) == len(seen)
+        assert len({y[1] for x in seen.values() for y in x}) == len(seen)
 
 
 def test_slots_never_lose_a_frequent_phrase():
@@ -218,7 +253,7 @@ def test_slots_never_lose_a_frequent_phrase():
         for r in out.to_pylist():
             total[(r["block"] << 16) + np.frombuffer(r["slots"], "<u2").astype(np.int64)] += np.frombuffer(r["counts"], "<u2")
     bitmap = SimpleNamespace(value=np.packbits(total >= 5))
-    seen = sum(int((n >= 5).sum()) for n in (b.column(1).to_numpy() for b in phrases._fingerprint_counts(bitmap, 18, 5)(iter([batch]))))
+    seen = sum(r["n"] >= 5 and r["lang"] is None for b in phrases._fingerprint_counts(bitmap, 18, 5)(iter([batch])) for r in b.to_pylist())
     counts, _ = brute_counts([(0, r[1], "en", None) for r in rows])
     assert seen == sum(c >= 5 for c in counts.values())
 
