@@ -10,15 +10,16 @@ times a power of the inverse base, mixed with the run's length and language.
    slots (at most ``2**MOST_BITS`` of them: 32 MB) lets the next pass leave out what can't
    be frequent: a phrase is no more frequent than any pair in it. Slots that several
    phrases share only let more through.
-2. Fingerprints of the runs left, 1 to ``longest`` words, are counted with pointers (id,
-   word number) to two occurrences, the least of those that tasks met first and the greatest
-   of those met last; map-side by arrays, then by a shuffle. Beside its fingerprint every occurrence carries a checksum of
+2. Fingerprints of the runs left, 1 to ``longest`` words, are counted with pointers to the
+   texts of two occurrences; map-side by arrays, then by a shuffle. A pointer is the hash of
+   language and text, so ids may be NULL or repeat, and as the least hash among at least
+   ``least`` texts it leads most phrases to the same few texts. Beside its fingerprint every occurrence carries a checksum of
    its words' bytes (other byte values, another base, 28 bits): occurrences that agree in
    the one but not in the other are counted apart.
-3. Frequent fingerprints only are made into phrases: the documents that the pointers name
-   are read, the runs at both pointers are cut out as text and compared. Where they differ
-   (two phrases share 92 bits), the fingerprint is counted again over all texts, every
-   occurrence compared word by word with the one that stands for it.
+3. Frequent fingerprints only are made into phrases: the texts that the pointers name are
+   read, and what has the fingerprint in them is cut out as text and compared. Where two
+   differ (two phrases share 92 bits), the fingerprint is counted again over all texts,
+   every occurrence compared word by word with the one that stands for it.
 
 The scores are joins over frequent phrases only: each cut of a candidate looks up its two
 parts, which are frequent as well. Products are decimals of 38 digits. A candidate inside
@@ -26,8 +27,8 @@ a longer one of the same count is also inside one that is longer by a single wor
 counts can't rise from a phrase to a longer one; so a look at those suffices.
 
 NULL text is empty, NULL language is ``und`` (and joins rows that say ``und``); repeated
-rows count each time; ids may be NULL or repeat (a NULL id gives a pointer without id); no
-rows or no frequent phrase: no rows. Extra columns never enter.
+rows count each time; ids may be of any type, NULL or repeat; no rows or no frequent phrase:
+no rows. Extra columns never enter.
 """
 from __future__ import annotations
 
@@ -44,7 +45,7 @@ from .words import LOWER, Words, column, mix, raw, slices
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 MOST_BITS = 28
-HELD = 3_000_000                     # fingerprints a task holds before it combines them
+HELD = 2_000_000                     # fingerprints a task holds before it combines them
 STRINGS = 200_000                    # phrases a task holds before it hands them on
 LENGTH_BITS = 4                      # of a checksum, for the number of words of the run
 _BASE = 0x9E3779B97F4A7C15
@@ -132,7 +133,7 @@ class Runs:
 
 
 def _run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, Runs]]:
-    """(ids, runs) of slices of batches (id, lang, text)."""
+    """(pointers, runs) of slices of batches (pointer, lang, text)."""
     for b in batches:
         texts = column(b.column(2))
         for lo, hi in slices(texts):
@@ -219,34 +220,27 @@ def _alive(runs: Runs, bitmap: np.ndarray, bits: int, longest: int) -> Iterator[
 
 
 def _fingerprint_counts(bitmap, bits: int, longest: int):
-    """Rows (fp, check, n, doc, word, last_doc, last_word), and with ``lang`` set its number of words in ``n``."""
+    """Rows (fp, check, n, text) by fingerprint and checksum, and with ``lang`` set its number of words in ``n``."""
     def combined(held: list[tuple]) -> tuple:
-        fp, check, count, known, doc, word, last_known, last_doc, last_word = (np.concatenate(x) for x in zip(*held, strict=True))
+        fp, check, count, text = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.lexsort((check, fp))
         fp, check = fp[order], check[order]
         first = np.flatnonzero(np.append(True, (np.diff(fp) != 0) | (np.diff(check) != 0)))
-        one, last = order[first], order[np.append(first[1:], len(order)) - 1]
-        return (fp[first], check[first], np.add.reduceat(count[order], first), known[one], doc[one], word[one],
-                last_known[last], last_doc[last], last_word[last])
+        return fp[first], check[first], np.add.reduceat(count[order], first), np.minimum.reduceat(text[order], first)
+
+    def out(fp, check, count, text, lang=None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(fp.view(np.int64)), pa.array(check), pa.array(count, pa.int64()), pa.array(text, pa.int64()),
+             pa.nulls(len(fp), pa.string()) if lang is None else pa.array(lang, pa.string())], ["fp", "check", "n", "text", "lang"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filter_, held, many, total = bitmap.value, [], 0, {}
-
-        def out(fp, check, count, known, doc, word, last_known, last_doc, last_word) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(fp.view(np.int64)), pa.array(check), pa.array(count), pa.array(doc, pa.int64(), mask=~known),
-                 pa.array(word, pa.int32()), pa.array(last_doc, pa.int64(), mask=~last_known), pa.array(last_word, pa.int32()),
-                 pa.nulls(len(fp), pa.string())], _COUNTED)
-
-        for ids, runs in _run_batches(batches):
+        for places, runs in _run_batches(batches):
             for k, c in enumerate(np.bincount(runs.lang, minlength=len(runs.langs)).tolist()):
                 total[runs.langs[k]] = total.get(runs.langs[k], 0) + c
-            known = np.array(ids.is_valid())
-            doc = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            place = places.to_numpy()
             for n, at, fp in _alive(runs, filter_, bits, longest):
-                row = runs.words.rows[at]
-                place = (known[row], doc[row], (at - runs.words.bounds[row]).astype(np.int32))
-                held.append((fp, runs.checks(at, n), np.ones(len(at), np.int64), *place, *place))
+                held.append((fp, runs.checks(at, n), np.ones(len(at), np.int32), place[runs.words.rows[at]]))
                 many += len(at)
             if many > HELD:
                 held = [combined(held)]
@@ -257,38 +251,40 @@ def _fingerprint_counts(bitmap, bits: int, longest: int):
         if many:
             yield out(*combined(held))
         if total:
-            none = [None] * len(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip([[0] * len(total), [0] * len(total), list(total.values()), none, none, none, none, list(total)],
-                                                _COUNTED_TYPES, strict=True)], _COUNTED)
+            none = np.zeros(len(total), np.int64)
+            yield out(none, none.astype(np.int32), list(total.values()), none, list(total))
 
     return run
 
 
-_COUNTED = ["fp", "check", "n", "doc", "word", "last_doc", "last_word", "lang"]
-_COUNTED_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.string()]
-
+def _cut_out(longest: int):
+    """(lang, n, phrase, fp, check) of what the fingerprints of rows (lang, text, array of (fp, check)) stand for."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            langs, texts, lists = b.column(0), column(b.column(1)), b.column(2)
+            for lo, hi in slices(texts):
+                runs = Runs(texts.slice(lo, hi - lo), langs.slice(lo, hi - lo))
+                own = lists.slice(lo, hi - lo)
+                fps, checks = (own.flatten().field(k).to_numpy() for k in (0, 1))
+                row = np.repeat(np.arange(hi - lo), np.diff(own.offsets.to_numpy()))
+                wanted = np.stack([row, fps, checks], axis=1)
+                body, w, out = runs.data.tobytes(), runs.words, []
+                for n in range(1, longest + 1):
+                    at = runs.places(n)
+                    fp, check = runs.fingerprints(at, n).view(np.int64), runs.checks(at, n)
+                    hit = np.flatnonzero(np.isin(fp, fps))
+                    mine = np.unique(np.stack([w.rows[at[hit]], fp[hit], check[hit]], axis=1), axis=0, return_index=True)
+                    both = np.concatenate([mine[0], np.unique(wanted, axis=0)])
+                    _, one, seen = np.unique(both, axis=0, return_index=True, return_counts=True)
+                    for k in hit[mine[1][one[(seen > 1) & (one < len(mine[0]))]]].tolist():
+                        i = int(at[k])
+                        phrase = b" ".join(body[x:y] for x, y in zip(w.starts[i:i + n].tolist(), w.ends[i:i + n].tolist(), strict=True))
+                        out.append((runs.langs[runs.lang[i]], n, phrase.decode(), int(fp[k]), int(check[k])))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                    zip(*out, strict=True) if out else [()] * 5, [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int32()], strict=True)],
+                    ["lang", "n", "phrase", "fp", "check"])
 
-def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, n, phrase, fp, check) of the runs that rows (lang, text, array of (word, check, fp)) point to."""
-    for b in batches:
-        langs, texts, ats = b.column(0), column(b.column(1)), b.column(2).to_pylist()
-        for lo, hi in slices(texts):
-            runs = Runs(texts.slice(lo, hi - lo), langs.slice(lo, hi - lo))
-            body, w, out = runs.data.tobytes(), runs.words, []
-            for k, own in enumerate(ats[lo:hi]):
-                first, last = int(w.bounds[k]), int(w.bounds[k + 1])
-                for p in own:
-                    n, at = p["check"] & ((1 << LENGTH_BITS) - 1), first + p["word"]
-                    if at + n > last or not runs.joined[at:at + n - 1].all():
-                        continue                           # another row of the same id
-                    here = np.array([at])
-                    if int(runs.checks(here, n)[0]) == p["check"] and int(runs.fingerprints(here, n).view(np.int64)[0]) == p["fp"]:
-                        phrase = b" ".join(body[x:y] for x, y in zip(w.starts[at:at + n].tolist(), w.ends[at:at + n].tolist(), strict=True))
-                        out.append((langs[lo + k].as_py(), n, phrase.decode(), p["fp"], p["check"]))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                zip(*out, strict=True) if out else [()] * 5, [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int32()], strict=True)],
-                ["lang", "n", "phrase", "fp", "check"])
+    return run
 
 
 def _phrases(bitmap, bits: int, chosen_fps, chosen_bits: int, longest: int):
@@ -340,46 +336,42 @@ def _phrases(bitmap, bits: int, chosen_fps, chosen_bits: int, longest: int):
     return run
 
 
-def frequent_phrases(df: DataFrame, *, text: str = "text", lang: str = "lang", id: str = "doc_id", least: int = LEAST,
-                     longest: int = LONGEST, bits: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(phrases, totals): (lang, n, phrase, count, doc, word) of every phrase of 1 to ``longest`` words that occurs
-    ``least`` times or more, with one of its occurrences; and (lang, n), the number of words of each language."""
+def frequent_phrases(df: DataFrame, *, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST,
+                     bits: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(phrases, totals): (lang, n, phrase, count) of every phrase of 1 to ``longest`` words that occurs ``least``
+    times or more; and (lang, n), the number of words of each language."""
     if not 1 <= longest < 1 << LENGTH_BITS:
         raise ValueError(f"longest must be from 1 to {(1 << LENGTH_BITS) - 1}")
     spark = df.sparkSession
-    work = df.select(F.col(id).cast("long").alias("id"), F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
-                     F.col(text).cast("string").alias("text"))
+    work = df.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
+    work = work.select(F.xxhash64("lang", "text").alias("place"), "lang", "text")
     if bits is None:                     # about one slot for 32 bytes of text, within bounds
         size = work.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         bits = min(MOST_BITS, max(16, (size // 32).bit_length()))
     few = min(least, 0xFFFF)
     slots = work.mapInArrow(_slot_counts(bits, few), "block int, slots binary, counts binary")
     bitmap = spark.sparkContext.broadcast(_bitmap(slots, bits, few))
-    counted = work.mapInArrow(_fingerprint_counts(bitmap, bits, longest),
-                              "fp long, check int, n long, doc long, word int, last_doc long, last_word int, lang string")
+    counted = work.mapInArrow(_fingerprint_counts(bitmap, bits, longest), "fp long, check int, n long, text long, lang string")
     counted = counted.groupBy("fp", "check", "lang").agg(
-        F.sum("n").alias("n"), F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "word")).alias("first"),
-        F.max(F.struct("last_doc", "last_word")).alias("last"))
-    counted = written(counted.where((F.col("n") >= least) | F.col("lang").isNotNull()).select(
-        "fp", "check", "n", "lang", "first.doc", "first.word", "last.last_doc", "last.last_word"), "phrase-fingerprints")
+        F.sum("n").alias("n"), F.min("text").alias("first"), F.max("text").alias("last"))
+    counted = written(counted.where((F.col("n") >= least) | F.col("lang").isNotNull()), "phrase-fingerprints")
     totals = counted.where("lang IS NOT NULL").select("lang", "n")
     chosen = counted.where("lang IS NULL").drop("lang")
 
-    ends = chosen.select(F.explode(F.array(F.struct("doc", "word"), F.struct(F.col("last_doc").alias("doc"), F.col("last_word").alias("word"))))
-                         .alias("p"), "fp", "check")
-    lists = written(ends.groupBy("p.doc").agg(F.collect_set(F.struct("p.word", "check", "fp")).alias("ats")), "phrase-pointers")
-    named = small(lists.select(F.col("doc").alias("id")), 16)
-    pointed = work.where(F.col("text") != "").join(named, work["id"].eqNullSafe(named["id"]), "left_semi")
-    cut = pointed.join(lists, pointed["id"].eqNullSafe(lists["doc"])).select("lang", "text", "ats").mapInArrow(
-        _cut_out, "lang string, n int, phrase string, fp long, check int")
+    ends = chosen.select(F.explode(F.array("first", "last")).alias("place"), "fp", "check")
+    lists = written(ends.groupBy("place").agg(F.collect_set(F.struct("fp", "check")).alias("wanted")), "phrase-pointers")
+    pointed = work.join(small(lists.select("place"), 16), "place", "left_semi").groupBy("place").agg(
+        F.first("lang").alias("lang"), F.first("text").alias("text"))
+    cut = pointed.join(lists, "place").select("lang", "text", "wanted").mapInArrow(
+        _cut_out(longest), "lang string, n int, phrase string, fp long, check int")
     cut = written(cut.distinct(), "phrase-texts")
     unlike = cut.groupBy("fp", "check").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("fp", "check")
     unlike = written(unlike, "phrase-collisions")
-    phrases = cut.join(unlike, ["fp", "check"], "left_anti") if (wrong := unlike.count()) else cut
-    phrases = phrases.join(chosen, ["fp", "check"]).select("lang", cut["n"], "phrase", chosen["n"].alias("count"), "doc", "word")
+    wrong = unlike.count()
+    phrases = (cut.join(unlike, ["fp", "check"], "left_anti") if wrong else cut).join(
+        chosen.select("fp", "check", F.col("n").alias("count")), ["fp", "check"]).select("lang", "n", "phrase", "count")
     if wrong:
-        again = _recount(work, unlike, bitmap, bits, longest).where(F.col("count") >= least)
-        phrases = phrases.unionByName(again.withColumns({"doc": F.lit(None).cast("long"), "word": F.lit(None).cast("int")}))
+        phrases = phrases.unionByName(_recount(work, unlike, bitmap, bits, longest).where(F.col("count") >= least))
     return written(phrases, "phrases"), totals
 
 
@@ -405,12 +397,11 @@ def _recount(work: DataFrame, unlike: DataFrame, bitmap, bits: int, longest: int
     return found.groupBy("lang", "n", "phrase").agg(F.sum("count").alias("count"))
 
 
-def collocations(df: DataFrame, *, text: str = "text", lang: str = "lang", id: str = "doc_id", least: int = LEAST,
-                 longest: int = LONGEST, top: int = TOP, bits: int | None = None, pointers: bool = False) -> DataFrame:
+def collocations(df: DataFrame, *, text: str = "text", lang: str = "lang", least: int = LEAST,
+                 longest: int = LONGEST, top: int = TOP, bits: int | None = None) -> DataFrame:
     """The ``top`` phrases of 2 to ``longest`` words of each language (see the module): lang, rank, phrase,
-    a, l, r, n, score; with ``pointers`` also one of the phrase's occurrences, as the id and ``word`` (its
-    first word's number in the text)."""
-    phrases, totals = frequent_phrases(df, text=text, lang=lang, id=id, least=least, longest=longest, bits=bits)
+    a, l, r, n, score."""
+    phrases, totals = frequent_phrases(df, text=text, lang=lang, least=least, longest=longest, bits=bits)
     counts = phrases.select("lang", "phrase", F.col("count").alias("f"))
     long = phrases.where("n > 1").withColumn("words", F.split("phrase", " "))
     inside = long.where("n > 2").select("lang", F.col("count").alias("longer"), F.explode(F.array(
@@ -429,12 +420,9 @@ def collocations(df: DataFrame, *, text: str = "text", lang: str = "lang", id: s
                                               F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     kept = best.join(inside, ["lang", "phrase"], "left").where("longer IS NULL OR longer < a")
     order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    out = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select(
+    return kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("cut.l").alias("l"),
         F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"))
-    if not pointers:
-        return out
-    return out.join(phrases.select("lang", "phrase", F.col("doc").alias(id), "word"), ["lang", "phrase"]).select(*out.columns, id, "word")
 
 
 ORACLE = """

@@ -71,7 +71,7 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return phrases.collocations(documents(spark, sf_dir, "doc_id", "lang", "text"))
+    return phrases.collocations(documents(spark, sf_dir, "lang", "text"))
 
 
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
