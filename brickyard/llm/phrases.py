@@ -11,9 +11,9 @@ times a power of the inverse base, mixed with the run's length and language.
    be frequent: a phrase is no more frequent than any pair in it. Slots that several
    phrases share only let more through.
 2. Fingerprints of the runs left, 1 to ``longest`` words, are counted with pointers to the
-   texts of two occurrences; map-side by arrays, then by a shuffle. A pointer is the hash of
-   language and text, so ids may be NULL or repeat, and as the least hash among at least
-   ``least`` texts it leads most phrases to the same few texts. Beside its fingerprint every occurrence carries a checksum of
+   texts of two occurrences; map-side by arrays, then by a shuffle of packed counts dealt by
+   ranges of fingerprints. A pointer is the hash of language and text, so ids may be NULL or
+   repeat; the least two hashes are kept, which leads most phrases to the same few texts. Beside its fingerprint every occurrence carries a checksum of
    its words' bytes (other byte values, another base, 28 bits): occurrences that agree in
    the one but not in the other are counted apart.
 3. Frequent fingerprints only are made into phrases: the texts that the pointers name are
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import small, written
+from .tables import blocks, small, written
 from .words import LOWER, Words, column, mix, raw, slices
 
 LEAST, LONGEST, TOP = 100, 5, 2000
@@ -219,44 +219,107 @@ def _alive(runs: Runs, bitmap: np.ndarray, bits: int, longest: int) -> Iterator[
         yield n, at, runs.fingerprints(at, n)
 
 
-def _fingerprint_counts(bitmap, bits: int, longest: int):
-    """Rows (fp, check, n, text) by fingerprint and checksum, and with ``lang`` set its number of words in ``n``."""
-    def combined(held: list[tuple]) -> tuple:
-        fp, check, count, text = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((check, fp))
-        fp, check = fp[order], check[order]
-        first = np.flatnonzero(np.append(True, (np.diff(fp) != 0) | (np.diff(check) != 0)))
-        return fp[first], check[first], np.add.reduceat(count[order], first), np.minimum.reduceat(text[order], first)
+class Counted:
+    """Counts by (fingerprint, checksum), each with the least two of its texts: rows (fp, check, n, text),
+    two a key at most, all of the key's count on the first."""
+
+    def __init__(self):
+        self.parts: list[tuple] = []
+        self.many = 0
+
+    def add(self, fp: np.ndarray, check: np.ndarray, n: np.ndarray, text: np.ndarray) -> None:
+        self.parts.append((fp, check, n, text))
+        self.many += len(fp)
+
+    def combine(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        fp, check, n, text = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        order = np.lexsort((text, check, fp))
+        fp, check, n, text = fp[order], check[order], n[order], text[order]
+        key = np.append(True, (np.diff(fp) != 0) | (np.diff(check) != 0))
+        new = np.flatnonzero(np.append(True, np.diff(text) != 0) | key)           # texts of a key
+        start = np.flatnonzero(key)
+        total = np.zeros(len(fp), np.int64)
+        total[start] = np.add.reduceat(n, start)
+        of_key = np.cumsum(key[new]) - 1
+        place = np.arange(len(new)) - np.flatnonzero(key[new])[of_key]
+        keep = new[place < 2]
+        self.parts = [(fp[keep], check[keep], total[keep], text[keep])]
+        self.many = len(keep)
+        return self.parts[0]
+
+
+def _fingerprint_counts(bitmap, bits: int, longest: int, deal: int):
+    """Rows (block, data): counts of one of ``deal`` ranges of fingerprints, packed column by column;
+    and under block -1 the number of words of each language."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filter_, held, total = bitmap.value, Counted(), {}
 
-    def out(fp, check, count, text, lang=None) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(fp.view(np.int64)), pa.array(check), pa.array(count, pa.int64()), pa.array(text, pa.int64()),
-             pa.nulls(len(fp), pa.string()) if lang is None else pa.array(lang, pa.string())], ["fp", "check", "n", "text", "lang"])
+        def out() -> pa.RecordBatch:
+            fp, check, n, text = held.parts[0]
+            block = ((fp >> np.uint64(32)) * np.uint64(deal)) >> np.uint64(32)
+            first = np.flatnonzero(np.append(True, np.diff(block) != 0)).tolist()
+            data = [b"".join((fp[x:y].tobytes(), text[x:y].tobytes(), check[x:y].tobytes(), n[x:y].astype("<u4").tobytes()))
+                    for x, y in zip(first, [*first[1:], len(fp)], strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(block[first].astype(np.int32)), pa.array(data, pa.binary())], ["block", "data"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_, held, many, total = bitmap.value, [], 0, {}
         for places, runs in _run_batches(batches):
             for k, c in enumerate(np.bincount(runs.lang, minlength=len(runs.langs)).tolist()):
                 total[runs.langs[k]] = total.get(runs.langs[k], 0) + c
             place = places.to_numpy()
             for n, at, fp in _alive(runs, filter_, bits, longest):
-                held.append((fp, runs.checks(at, n), np.ones(len(at), np.int32), place[runs.words.rows[at]]))
-                many += len(at)
-            if many > HELD:
-                held = [combined(held)]
-                many = len(held[0][0])
-                if many > HELD // 2:
-                    yield out(*held[0])
-                    held, many = [], 0
-        if many:
-            yield out(*combined(held))
+                if len(at):
+                    held.add(fp, runs.checks(at, n), np.ones(len(at), np.int64), place[runs.words.rows[at]])
+            if held.many > HELD:
+                held.combine()
+                if held.many > HELD // 2:
+                    yield out()
+                    held = Counted()
+        if held.many:
+            held.combine()
+            yield out()
+        if total:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([-1] * len(total), pa.int32()), pa.array([c.to_bytes(8, "little") + x.encode() for x, c in total.items()], pa.binary())],
+                ["block", "data"])
+
+    return run
+
+
+def _counts(least: int):
+    """Rows (fp, check, n, first, second) of the keys that occur ``least`` times or more, from packed
+    rows; and (lang, n). A partition's keys are held, its rows are not."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, limit, total = Counted(), HELD, {}
+        for b in batches:
+            for block, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if block < 0:
+                    total[data[8:]] = total.get(data[8:], 0) + int.from_bytes(data[:8], "little")
+                    continue
+                k = len(data) // 24
+                held.add(np.frombuffer(data, "<u8", k), np.frombuffer(data, "<i4", k, 16 * k),
+                         np.frombuffer(data, "<u4", k, 20 * k).astype(np.int64), np.frombuffer(data, "<i8", k, 8 * k))
+                if held.many > limit:
+                    held.combine()
+                    limit = max(HELD, 2 * held.many)
+        if held.many:
+            fp, check, n, text = held.combine()
+            one = np.flatnonzero(n >= least)
+            second = text[np.where((np.append(n, 1)[one + 1] == 0), one + 1, one)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(fp[one].view(np.int64)), pa.array(check[one], pa.int32()), pa.array(n[one]), pa.array(text[one]), pa.array(second),
+                 pa.nulls(len(one), pa.string())], _COUNTED)
         if total:
-            none = np.zeros(len(total), np.int64)
-            yield out(none, none.astype(np.int32), list(total.values()), none, list(total))
+            none = pa.nulls(len(total), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [none, pa.nulls(len(total), pa.int32()), pa.array(total.values(), pa.int64()), none, none,
+                 pa.array([x.decode() for x in total], pa.string())], _COUNTED)
 
     return run
 
 
+_COUNTED = ["fp", "check", "n", "first", "second", "lang"]
+
+
 def _cut_out(longest: int):
     """(lang, n, phrase, fp, check) of what the fingerprints of rows (lang, text, array of (fp, check)) stand for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,14 +414,13 @@ def frequent_phrases(df: DataFrame, *, text: str = "text", lang: str = "lang", l
     few = min(least, 0xFFFF)
     slots = work.mapInArrow(_slot_counts(bits, few), "block int, slots binary, counts binary")
     bitmap = spark.sparkContext.broadcast(_bitmap(slots, bits, few))
-    counted = work.mapInArrow(_fingerprint_counts(bitmap, bits, longest), "fp long, check int, n long, text long, lang string")
-    counted = counted.groupBy("fp", "check", "lang").agg(
-        F.sum("n").alias("n"), F.min("text").alias("first"), F.max("text").alias("last"))
-    counted = written(counted.where((F.col("n") >= least) | F.col("lang").isNotNull()), "phrase-fingerprints")
+    packed = work.mapInArrow(_fingerprint_counts(bitmap, bits, longest, blocks(spark)), "block int, data binary")
+    counted = written(packed.repartition("block").mapInArrow(
+        _counts(least), "fp long, check int, n long, first long, second long, lang string"), "phrase-fingerprints")
     totals = counted.where("lang IS NOT NULL").select("lang", "n")
-    chosen = counted.where("lang IS NULL").drop("lang")
+    chosen = counted.where("lang IS NULL")
 
-    ends = chosen.select(F.explode(F.array("first", "last")).alias("place"), "fp", "check")
+    ends = chosen.select(F.explode(F.array("first", "second")).alias("place"), "fp", "check")
     lists = written(ends.groupBy("place").agg(F.collect_set(F.struct("fp", "check")).alias("wanted")), "phrase-pointers")
     pointed = work.join(small(lists.select("place"), 16), "place", "left_semi").groupBy("place").agg(
         F.first("lang").alias("lang"), F.first("text").alias("text"))

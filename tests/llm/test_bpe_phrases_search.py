@@ -221,6 +221,22 @@ def test_phrases_that_share_a_fingerprint_are_counted_again(spark, monkeypatch):
     assert bag(right, "lang", "phrase", "count") == sorted(((la, " ".join(p), c) for (la, p), c in counts.items() if c >= 4), key=repr)
 
 
+def test_counted_keeps_two_texts_a_key():
+    rng = np.random.default_rng(1)
+    own, want = phrases.Counted(), defaultdict(Counter)
+    for _ in range(6):
+        fp, check, text = rng.integers(0, 9, 40).astype(np.uint64), rng.integers(0, 2, 40).astype(np.int32), rng.integers(-5, 5, 40)
+        own.add(fp, check, np.ones(40, np.int64), text)
+        own.combine()
+        for key in zip(fp.tolist(), check.tolist(), text.tolist(), strict=True):
+            want[key[:2]][key[2]] += 1
+    got = defaultdict(list)
+    for f, c, n, t in zip(*(x.tolist() for x in own.combine()), strict=True):
+        got[f, c].append((t, n))
+    assert {k: ([t for t, _ in v], v[0][1]) for k, v in got.items()} == {k: (sorted(v)[:2], v.total()) for k, v in want.items()}
+    assert all(n == 0 for v in got.values() for _, n in v[1:])
+
+
 def test_checksums_and_fingerprints_follow_the_words():
     texts = pa.array(["a bc  d a", "A\tbc d, abc d", "bc d"])
     runs = phrases.Runs(texts, pa.array(["x", "x", "x"]))
@@ -242,7 +258,9 @@ def test_slots_never_lose_a_frequent_phrase():
         for r in out.to_pylist():
             total[(r["block"] << 16) + np.frombuffer(r["slots"], "<u2").astype(np.int64)] += np.frombuffer(r["counts"], "<u2")
     bitmap = SimpleNamespace(value=np.packbits(total >= 5))
-    seen = sum(r["n"] >= 5 and r["lang"] is None for b in phrases._fingerprint_counts(bitmap, 18, 5)(iter([batch])) for r in b.to_pylist())
+    packed = list(phrases._fingerprint_counts(bitmap, 18, 5, 7)(iter([batch, batch.slice(0, 0)])))
+    assert {r["block"] for b in packed for r in b.to_pylist()} <= set(range(-1, 7))
+    seen = sum(r["lang"] is None for b in phrases._counts(5)(iter(packed)) for r in b.to_pylist())
     counts, _ = brute_counts([(0, r[1], "en", None) for r in rows])
     assert seen == sum(c >= 5 for c in counts.values())
 
