@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from .functions import apply_rules, audit, enrich, flag
 from .functions.codes import MEDIAN_ACCURACY, MIN_CELL_ROWS
 from .operators import (
-    cell_stats, counts_by_key, coverage, dimension_hygiene, enrich_join, growth, headline, latest_growth,
+    cell_stats, counts_by_key, coverage, dimension_hygiene, enrich_join, growth, latest_growth,
     median_by, premium, rolling_mean, skew_profile, strategy_parity,
 )
+from .operators.cube import Cube, build_cube, read_cube
 from .operators.slices import period_slice, year_slice_counts
 from .plans import jobs
 from .plans.jobs import ingest
@@ -49,7 +50,7 @@ ENRICHED_COLUMNS = [
 
 
 _BUILT: dict[tuple, str] = {}
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()           # building one dataset may ask for another
 
 
 def _once(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], object]) -> str:
@@ -88,6 +89,12 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, layer_path(spark, sf_dir))
 
 
+def cube(spark: SparkSession, sf_dir: str) -> Cube:
+    """The stored counts and percentiles of the layer (``operators.cube``), built once with it."""
+    path = _once(spark, sf_dir, "cube", lambda p: build_cube(sales(spark, sf_dir), p, dim=region_lookup(spark)))
+    return read_cube(spark, path)
+
+
 def with_regions(df: DataFrame, strategy: str = "broadcast") -> DataFrame:
     return enrich_join(df, region_lookup(df.sparkSession), "postcode_area", strategy=strategy)
 
@@ -95,12 +102,11 @@ def with_regions(df: DataFrame, strategy: str = "broadcast") -> DataFrame:
 # --- cells -----------------------------------------------------------------
 
 def cells_district_year(spark, sf_dir):
-    return cell_stats(sales(spark, sf_dir), ["district", "year"], min_rows=MIN_CELL_ROWS)
+    return cube(spark, sf_dir).cells("district", min_rows=MIN_CELL_ROWS, with_mean=True)
 
 
 def cells_district_type_year(spark, sf_dir):
-    return cell_stats(sales(spark, sf_dir), ["district", "property_type_name", "year"],
-                      min_rows=MIN_CELL_ROWS)
+    return cube(spark, sf_dir).cells("district_type", min_rows=MIN_CELL_ROWS, with_mean=True)
 
 
 def cells_district_year_approx(spark, sf_dir):
@@ -112,53 +118,46 @@ def cells_district_year_approx(spark, sf_dir):
 
 
 def cells_quarter(spark, sf_dir):
-    return median_by(sales(spark, sf_dir), ["year", "quarter"], order=True)
+    return cube(spark, sf_dir).cells("quarter").orderBy("year", "quarter")
 
 
 def national_year(spark, sf_dir):
-    return median_by(sales(spark, sf_dir), ["year"], order=True)
+    return cube(spark, sf_dir).cells("year").orderBy("year")
 
 
 def region_year(spark, sf_dir):
-    joined = with_regions(sales(spark, sf_dir)).filter(F.col("region").isNotNull())
-    return median_by(joined, ["region", "year"], order=True)
+    return jobs.summary_from_cube(cube(spark, sf_dir), "region_summary")
 
 
 # --- trends ----------------------------------------------------------------
 
 def trend_growth_district(spark, sf_dir):
-    cells = cell_stats(sales(spark, sf_dir), ["district", "year"], min_rows=MIN_CELL_ROWS)
-    return growth(cells, "district")
+    return growth(cells_district_year(spark, sf_dir), "district")
 
 
 def trend_growth(spark, sf_dir):
-    entity = ["district", "property_type_name"]
-    cells = cell_stats(sales(spark, sf_dir), entity + ["year"], min_rows=MIN_CELL_ROWS)
-    return growth(cells, entity)
+    return growth(cells_district_type_year(spark, sf_dir), ["district", "property_type_name"])
 
 
 def trend_rolling3(spark, sf_dir):
-    cells = median_by(sales(spark, sf_dir), ["postcode_area", "year"])
-    return rolling_mean(cells, "postcode_area", periods=3)
+    return rolling_mean(cube(spark, sf_dir).cells("area"), "postcode_area", periods=3)
 
 
 def trend_rolling3_gappy(spark, sf_dir):
-    entity = ["district", "property_type_name"]
-    cells = cell_stats(sales(spark, sf_dir), entity + ["year"], min_rows=MIN_CELL_ROWS,
-                       with_mean=False)
-    return rolling_mean(cells, entity, periods=3)
+    cells = cube(spark, sf_dir).cells("district_type", min_rows=MIN_CELL_ROWS)
+    return rolling_mean(cells, ["district", "property_type_name"], periods=3)
 
 
 def latest_growth_top(spark, sf_dir):
-    base = sales(spark, sf_dir).filter(F.col("year") >= LATEST_SINCE)
-    cells = cell_stats(base, ["district", "year"], min_rows=MIN_CELL_ROWS)
+    # the base-year cut is on a grouping key: it commutes with the aggregation
+    cells = cells_district_year(spark, sf_dir).filter(F.col("year") >= LATEST_SINCE)
     return latest_growth(cells, "district", top_n=LATEST_TOP_N)
 
 
 # --- cohorts ---------------------------------------------------------------
 
 def cohort_premium(spark, sf_dir):
-    return premium(sales(spark, sf_dir), ["year", "property_type_name"], "is_new_build")
+    return jobs.summary_from_cube(cube(spark, sf_dir), "new_build_premium")
 
 
 def cohort_premium_approx(spark, sf_dir):
@@ -216,7 +215,7 @@ def group_counts_area(spark, sf_dir):
 # --- profiles and audits -----------------------------------------------------
 
 def headline_q(spark, sf_dir):
-    return headline(sales(spark, sf_dir))
+    return cube(spark, sf_dir).headline()
 
 
 def skew_top10(spark, sf_dir):
@@ -330,12 +329,12 @@ def _csv_output(name: str) -> Query:
     def query(spark, sf_dir):
         feed = feed_csv_path(spark, sf_dir)
         staged = _once(spark, sf_dir, "csv-stage", lambda p: jobs.stage_csv(spark, feed, p))
-        return jobs.csv_outputs(spark, staged)[name]
+        return jobs.csv_outputs(spark, staged, recent=SLICE_RECENT, years=SLICE_YEARS, one_year=SLICE_YEAR)[name]
     return query
 
 
 CSV_OUTPUTS = ("quality", "headline", "national_year", "skew", "volume_quarter", "growth_district",
-               "region_year", "join_parity")
+               "region_year", "join_parity", "fastest_growing", "premium_recent", "volume_years", "region_one_year")
 
 
 def csv_summary_premium(spark, sf_dir):

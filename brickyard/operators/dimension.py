@@ -2,9 +2,8 @@
 
 ``strategy``:
 
-- ``"broadcast"`` — broadcast hash join behind a check of the dimension's size in bytes
-  (Catalyst's estimate of it, or ``rows`` times its row width where the estimate is
-  larger). A dimension beyond ``max_broadcast_bytes`` raises, so the plan never
+- ``"broadcast"`` — broadcast hash join behind a check of the dimension's size in bytes,
+  measured on its values (``size_in_bytes``). A dimension beyond ``max_broadcast_bytes`` raises, so the plan never
   changes without notice: ask for ``"merge"`` or ``"auto"`` then.
 - ``"merge"`` — sort-merge join, by hint (no session setting is changed), on the
   columns the query needs: nothing hashes the row. Rows with a NULL key can't match;
@@ -24,6 +23,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from ..functions.features import share_pct
 
@@ -32,16 +32,24 @@ NULL_SPREAD = 64
 
 
 def size_in_bytes(df: DataFrame) -> int:
-    """Rows (a count) times the schema's default row width: a check, not an estimate."""
-    width = 8 + sum(f.dataType.jsonValue() == "string" and 40 or 16 for f in df.schema)
-    return df.count() * width
+    """Bytes of the rows as a hash table holds them, measured by one aggregate: for every column a slot of
+    8 bytes, for text and binary values their own bytes, for nested values those of their JSON text."""
+    sizes = []
+    for f in df.schema:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            sizes.append(F.octet_length(c))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            sizes.append(F.octet_length(F.to_json(F.struct(c))))
+    own = reduce(lambda a, b: a + b, [F.coalesce(x, F.lit(0)).cast("long") for x in sizes], F.lit(8 * (len(df.columns) + 1)).cast("long"))
+    return df.agg(F.sum(own)).first()[0] or 0
 
 
 def broadcast_checked(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint behind a check of the size; raises beyond it."""
     size = size_in_bytes(df)
     if size > max_bytes:
-        raise ValueError(f"a dimension of about {size} bytes is beyond the broadcast bound of "
+        raise ValueError(f"a dimension of {size} bytes is beyond the broadcast bound of "
                          f"{max_bytes}; use strategy='merge' or 'auto'")
     return F.broadcast(df)
 

@@ -409,7 +409,9 @@ def layer_oracles() -> dict[str, str]:
         **{f"csv_{k}": analysis[v] for k, v in {
             "quality": "quality_audit", "headline": "headline", "national_year": "national_year", "skew": "skew_top10",
             "volume_quarter": "cells_quarter", "growth_district": "trend_growth_district", "region_year": "region_year",
-            "join_parity": "join_strategy_parity"}.items()},
+            "join_parity": "join_strategy_parity", "premium_recent": "slice_premium_recent",
+            "volume_years": "slice_quarter_years", "region_one_year": "slice_region_year"}.items()},
+        "csv_fastest_growing": latest_growth(2000, 15),
         "csv_summary_premium": with_sales("SELECT * FROM premium", PREMIUM),
         "summary_sink": with_sales(cells("district, year")),
         "run_report": _report(),

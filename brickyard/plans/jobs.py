@@ -20,18 +20,27 @@ from ..functions.rules import Rule, audit_columns, finish_audit, price_paid_rule
 from ..operators import (
     cell_stats, enrich_join, growth, latest_growth, median_by, premium, rolling_mean, strategy_parity,
 )
+from ..operators.cohort import fold_cohorts
+from ..operators.cube import Cube, build_cube, read_cube
 from ..operators.profile import headline, skew_profile
+from ..operators.slices import period_slice
 from ..sources.contract import read_feed_csv
-from ..sources.layer import footprint, read_layer, write_layer, write_summary
+from ..sources.layer import (
+    discard, footprint, publish, read_layer, replace_years, write_layer, write_summary,
+)
 from ..sources.regions import region_lookup
 
 SKEW_KEYS = 10
+CSV_TOP_N = 15
 
 
 def ingest(raw: DataFrame, path: str, *, rules: Sequence[Rule] | None = None,
            partition_by: str | None = "year", layout: str = "rebalance") -> dict[str, int]:
     """Clean, enrich and write ``raw`` as a partitioned layer at ``path``.
 
+    The rows go to a staging folder beside it, are counted there, and take the place of
+    ``path`` only then: an ingest that fails leaves the layer that was there.
+
     The cleaning audit (raw, clean and per-rule failure counts) is observed on the
     pass that feeds the write, below the filter; only clean rows are laid out by the
     partition column (``rebalance``, see ``write_layer``). The observation sits in the
@@ -40,16 +49,30 @@ def ingest(raw: DataFrame, path: str, *, rules: Sequence[Rule] | None = None,
     rows (Parquet footers) and raises where they differ. ``layout="map"`` writes
     without a shuffle, right for input in date order.
     """
+    spark, staged = raw.sparkSession, f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
     rows, obs = ingest_frame(raw, rules=rules, partition_by=partition_by, layout=layout)
-    write_layer(rows, path, partition_by=partition_by, layout="map")
-    audit = {k: int(v) for k, v in obs.get.items()}
-    stored = read_layer(raw.sparkSession, path).count() if audit["rows_clean"] else 0
-    if stored != audit["rows_clean"]:
-        raise RuntimeError(f"{stored} rows were written, {audit['rows_clean']} observed as clean; "
-                           "count again with rules.audit")
+    try:
+        write_layer(rows, staged, partition_by=partition_by, layout="map")
+        audit = {k: int(v) for k, v in obs.get.items()}
+        stored = read_layer(spark, staged).count() if audit["rows_clean"] else 0
+        if stored != audit["rows_clean"]:
+            raise RuntimeError(f"{stored} rows were written, {audit['rows_clean']} observed as clean; "
+                               "count again with rules.audit")
+        publish(spark, staged, path)
+    except BaseException:
+        discard(spark, staged)
+        raise
     return audit
 
 
+def ingest_years(raw: DataFrame, path: str, years: Sequence[int], *, rules: Sequence[Rule] | None = None) -> int:
+    """Clean and enrich ``raw``, keep the rows of ``years`` and put them in the place of these years of the layer
+    at ``path``; all other years stay as they are. Returns the rows now stored for these years."""
+    rows = enrich(apply_rules(raw, rules)).where(F.col("year").isin(*years))
+    replace_years(rows, path, years)
+    return read_layer(raw.sparkSession, path).where(F.col("year").isin(*years)).count()
+
+
 def ingest_frame(raw: DataFrame, *, rules: Sequence[Rule] | None = None,
                  partition_by: str | None = "year", layout: str = "rebalance",
                  ) -> tuple[DataFrame, Observation]:
@@ -102,6 +125,23 @@ def summary(df: DataFrame, name: str, *, since_year: int = 2000, top_n: int = 20
     raise ValueError(f"unknown summary {name!r}")
 
 
+def summary_from_cube(cube: Cube, name: str, *, since_year: int = 2000, top_n: int = 20, window_years: int = 3) -> DataFrame:
+    """One of the seven market summaries from the stored percentiles of a cube: equal to ``summary`` over the rows
+    that the cube counts, without reading them."""
+    if name in FROM_CELLS:
+        return summary(cube.percentiles, name, since_year=since_year, top_n=top_n,
+                       cells=cube.cells("district", min_rows=30, with_mean=True))
+    if name == "rolling_median_by_area":
+        return rolling_mean(cube.cells("area"), "postcode_area", periods=window_years)
+    if name == "new_build_premium":
+        return fold_cohorts(cube.cells("cohort"), ["year", "property_type_name"], "is_new_build", median="median_price")
+    if name == "transaction_volume_by_quarter":
+        return cube.cells("quarter").orderBy("year", "quarter")
+    if name == "region_summary":
+        return cube.cells("region").filter(F.col("region").isNotNull()).orderBy("region", "year")
+    raise ValueError(f"unknown summary {name!r}")
+
+
 def summaries(df: DataFrame, **params) -> dict[str, DataFrame]:
     """All seven summaries."""
     return {name: summary(df, name, **params) for name in SUMMARY_NAMES}
@@ -121,8 +161,10 @@ def stage_csv(spark: SparkSession, csv_path: str, work_dir: str) -> None:
     finish_audit(row, price_paid_rules()).coalesce(1).write.mode("overwrite").parquet(f"{work_dir}/audit")   # one row
 
 
-def csv_outputs(spark: SparkSession, work_dir: str) -> dict[str, DataFrame]:
-    """Every output of the analysis from a CSV, over what ``stage_csv`` stored."""
+def csv_outputs(spark: SparkSession, work_dir: str, *, recent: int = 2020,
+                years: Sequence[int] = (2007, 2008, 2009, 2019, 2020, 2021), one_year: int = 2024) -> dict[str, DataFrame]:
+    """Every output of the analysis from a CSV, over what ``stage_csv`` stored; ``recent``, ``years`` and ``one_year``
+    are the years of its three slices."""
     df = read_layer(spark, f"{work_dir}/rows")
     dim = region_lookup(spark)
     joined = {s: enrich_join(df.select("transaction_id", "price", "year", "postcode_area"), dim, "postcode_area", strategy=s)
@@ -136,6 +178,10 @@ def csv_outputs(spark: SparkSession, work_dir: str) -> dict[str, DataFrame]:
         "growth_district": summary(df, "price_growth_by_district"),
         "region_year": summary(df, "region_summary"),
         "join_parity": strategy_parity(joined["broadcast"], joined["merge"], ["region"]),
+        "fastest_growing": summary(df, "fastest_growing_districts", since_year=2000, top_n=CSV_TOP_N),
+        "premium_recent": summary(period_slice(df, since=recent), "new_build_premium").orderBy("year", "property_type_name"),
+        "volume_years": summary(period_slice(df, years=years), "transaction_volume_by_quarter"),
+        "region_one_year": summary(period_slice(df, equals=one_year), "region_summary"),
     }
 
 
@@ -143,21 +189,20 @@ def analyse(layer: DataFrame, out_root: str, *, parallel: int = 4,
             seconds: dict[str, float] | None = None) -> dict[str, int]:
     """Write every summary under ``out_root`` and return rows written per output.
 
-    The district-year cells are computed and written once; three of the seven outputs
-    are derived from that small table, so the layer is read five times for all seven
-    (cells, areas, premium, quarters, regions). Each write observes its own row count
-    (one job per output, no cache). The outputs are independent, so up to ``parallel``
-    of them are submitted at once from a thread pool. ``seconds`` receives timings.
+    The layer is read once, for the cube of counts (``operators.cube``, kept under
+    ``out_root/_cube``); all seven outputs follow from its stored percentiles. Each write
+    observes its own row count (one job per output, no cache). The outputs are
+    independent, so up to ``parallel`` of them are submitted at once from a thread pool.
+    ``seconds`` receives timings.
     """
     seconds = {} if seconds is None else seconds
     began = time.perf_counter()
-    district_cells(layer).write.mode("overwrite").parquet(f"{out_root}/_cells")
-    cells = layer.sparkSession.read.parquet(f"{out_root}/_cells")
-    seconds["cells"] = time.perf_counter() - began
+    cube = build_cube(layer, f"{out_root}/_cube", dim=region_lookup(layer.sparkSession))
+    seconds["cube"] = time.perf_counter() - began
 
     def one(name: str) -> tuple[str, int]:
         began = time.perf_counter()
-        rows = write_summary(summary(layer, name, cells=cells), f"{out_root}/{name}", name=name)
+        rows = write_summary(summary_from_cube(cube, name), f"{out_root}/{name}", name=name)
         seconds[f"output_{name}"] = time.perf_counter() - began
         return name, rows
 
@@ -192,9 +237,10 @@ def run(spark: SparkSession, raw: DataFrame, layer_path: str, out_root: str, *,
         "ingest_rows_dropped": dropped,
         "ingest_pct_dropped": round(100.0 * dropped / audit["rows_raw"], 4) if audit["rows_raw"] else 0.0}
     report.update({f"output_{k}": v for k, v in written.items()})
-    head = headline(layer).first().asDict()
+    cube = read_cube(spark, f"{out_root}/_cube")
+    head = cube.headline().first().asDict()
     report.update({f"headline_{k}": v for k, v in head.items() if v is not None})
-    for r in skew_profile(layer, top_n=SKEW_KEYS).collect():           # ten rows
+    for r in cube.skew(top_n=SKEW_KEYS).collect():                     # ten rows
         report[f"skew_rows_{r['postcode_area']}"] = r["rows"]
         report[f"skew_pct_{r['postcode_area']}"] = r["pct_of_total"]
     places = {"layer": layer_path} | ({"csv": csv_path} if csv_path else {})

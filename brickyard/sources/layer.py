@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +56,30 @@ def _file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
 
 
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the finished folder ``staged`` in the place of ``path`` by renaming: readers see the old folder or the
+    new one, never a half-written one, and a failed rename brings the old one back. (Where a store has no rename,
+    e.g. plain object stores, both renames copy; give each run a path of its own there.)"""
+    fs, new = _file_system(spark, staged)
+    place, old = _file_system(spark, path)[1], _file_system(spark, f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")[1]
+    had = fs.exists(place)
+    if had and not fs.rename(place, old):
+        raise RuntimeError(f"{path} could not be moved aside; it is unchanged")
+    fs.mkdirs(place.getParent())
+    if not fs.rename(new, place):
+        if had:
+            fs.rename(old, place)
+        raise RuntimeError(f"{staged} could not be published; {path} is as it was")
+    if had:
+        fs.delete(old, True)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, if it is there."""
+    fs, place = _file_system(spark, path)
+    fs.delete(place, True)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused folder under the scratch root."""
     return f"{scratch_root(spark)}/brickyard/{label}-{uuid.uuid4().hex}"
@@ -94,6 +119,18 @@ def write_layer(df: DataFrame, path: str, *, partition_by: str | None = "year",
     writer.parquet(path)
 
 
+def replace_years(df: DataFrame, path: str, years: Iterable[int], *, partition_by: str = "year",
+                  compression: str = "snappy") -> None:
+    """Overwrite the partitions of ``years`` of a stored layer with the rows of ``df`` and leave all others as they
+    are (dynamic partition overwrite). Rows of other years raise before anything is written."""
+    years = sorted(set(years))
+    strays = df.where(~F.coalesce(F.col(partition_by).isin(*years), F.lit(False))).limit(1).count()
+    if strays:
+        raise ValueError(f"rows outside the years {years}")
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression)
+       .partitionBy(partition_by).parquet(path))
+
+
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
     """Read a (partitioned) Parquet layer; partition columns are discovered.
 
@@ -127,6 +164,15 @@ def read_summary(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return spark.read.option("header", "true").schema(schema).csv(path)
 
 
+def footprint_by(layer: DataFrame, by: str = "year") -> DataFrame:
+    """Files, bytes and rows of a stored layer by a column that is constant within each file (its partition
+    column): ``by``, ``files``, ``bytes``, ``rows``, from the hidden ``_metadata`` columns of the scan. No data
+    column is read."""
+    files = layer.groupBy(F.col("_metadata.file_path").alias("_path"), by).agg(
+        F.first("_metadata.file_size").alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
+    return files.groupBy(by).agg(F.count(F.lit(1)).alias("files"), F.sum("_bytes").alias("bytes"), F.sum("_rows").alias("rows"))
+
+
 def footprint(spark: SparkSession, paths: dict[str, str], *, ratio_to: str | None = None) -> DataFrame:
     """Bytes and data files on disk per dataset: ``dataset``, ``files``, ``bytes``
     and, with ``ratio_to``, each dataset's size relative to that one (e.g. the
