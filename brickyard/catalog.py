@@ -18,17 +18,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import apply_rules, audit, enrich, flag
-from .functions.codes import MEDIAN_ACCURACY, MIN_CELL_ROWS
+from .functions.codes import FEED_COLUMNS, MEDIAN_ACCURACY, MIN_CELL_ROWS
 from .operators import (
     cell_stats, counts_by_key, coverage, dimension_hygiene, enrich_join, growth, latest_growth,
     median_by, premium, rolling_mean, skew_profile, strategy_parity,
 )
 from .operators.cube import Cube, build_cube, read_cube
+from .operators.dimension import hot_keys
+from .operators.sketches import (
+    DISTINCT_ERROR, RANK_ERROR, merged_distinct, merged_quantiles, rank_errors, sketch_distinct, sketch_quantiles,
+)
 from .operators.slices import period_slice, year_slice_counts
 from .plans import jobs
+from .plans.inspect import isolated
 from .plans.jobs import ingest
+from .sources.bucketed import join_bucketed, write_bucketed
 from .sources.contract import check_contract, read_feed_csv, read_feed_csv_inferred, write_feed_csv
-from .sources.layer import exists, footprint, read_layer, read_summary, scratch_dir, state, write_summary
+from .sources.layer import exists, footprint, footprint_by, read_layer, read_summary, scratch_dir, state, write_summary
+from .sources.quarantine import counts_by_cause, read_feed_marked, stage
 from .sources.regions import REGIONS, region_lookup
 from .sources.sales import sales_view
 
@@ -41,6 +48,8 @@ SLICE_YEARS = (1996, 1998, 2000)
 SLICE_RECENT = 1999
 SLICE_YEAR = 2000
 YEAR_SLICE = 1998
+JOIN_BUCKETS = 8
+HOT_SHARE = 0.045            # of the sales: areas above it are salted
 
 ENRICHED_COLUMNS = [
     "transaction_id", "price", "date_of_transfer", "postcode", "district", "record_status",
@@ -329,7 +338,7 @@ def _csv_output(name: str) -> Query:
     def query(spark, sf_dir):
         feed = feed_csv_path(spark, sf_dir)
         staged = _once(spark, sf_dir, "csv-stage", lambda p: jobs.stage_csv(spark, feed, p))
-        return jobs.csv_outputs(spark, staged, recent=SLICE_RECENT, years=SLICE_YEARS, one_year=SLICE_YEAR)[name]
+        return jobs.csv_outputs(spark, staged, name, recent=SLICE_RECENT, years=SLICE_YEARS, one_year=SLICE_YEAR)[name]
     return query
 
 
@@ -364,6 +373,110 @@ def footprint_q(spark, sf_dir):
     return lines.select("rows", (F.col("bytes") == csv).alias("csv_bytes_agree"), (csv > layer).alias("layer_is_smaller"))
 
 
+# --- sketches, quarantine, buckets, skew, periods from a table, settings, bytes ---
+
+def sketch_medians(spark, sf_dir):
+    """A1 by stored sketches: all-time medians of areas merged from the sketches of single years, and sketched anew
+    from all rows; ``beyond_*`` counts areas whose median's rank is off by more than the bound."""
+    df = sales(spark, sf_dir)
+    stored = spark.read.parquet(_once(spark, sf_dir, "quantile-sketches", lambda p: sketch_quantiles(
+        df, ["postcode_area"]).write.partitionBy("year").parquet(p)))
+    whole = sketch_quantiles(df.withColumn("_all", F.lit(0)), ["postcode_area"], period="_all")
+    found = {}
+    for name, made in (("merged", stored), ("rescanned", whole)):
+        errors = rank_errors(merged_quantiles(made, ["postcode_area"]), df, ["postcode_area"], "price")
+        found[name] = errors.agg(F.count(F.lit(1)).alias("groups"), F.sum("rows").alias("rows"),
+                                 F.count_if(F.col("error") > RANK_ERROR).alias(f"beyond_{name}"))
+    return found["merged"].withColumn("beyond_rescanned", found["rescanned"].select("beyond_rescanned").scalar())
+
+
+def sketch_distincts(spark, sf_dir):
+    """A7 without ``Expand``: distinct districts, areas and streets from stored yearly sketches beside the exact counts,
+    and whether each is within the stated error."""
+    df, columns = sales(spark, sf_dir), ["district", "postcode_area", "street"]
+    stored = spark.read.parquet(_once(spark, sf_dir, "distinct-sketches", lambda p: sketch_distinct(df, columns).write.partitionBy("year").parquet(p)))
+    out = merged_distinct(stored, columns)
+    for c in columns:
+        exact = df.select(c).where(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1))).scalar()
+        out = out.withColumn(f"{c}_exact", exact).withColumn(
+            f"{c}_within", F.abs(F.col(c) - F.col(f"{c}_exact")) <= F.ceil(F.lit(DISTINCT_ERROR) * F.col(f"{c}_exact")))
+    return out.select(*[f"{c}_{x}" for c in columns for x in ("exact", "within")])
+
+
+def marked_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed of ``sf_dir`` with cells spoilt by rule (the transaction's order number): every 97th price is text,
+    every 89th date has another format, every 83rd price is empty, every 79th line lacks its last cell."""
+    def spoil(path):
+        order = F.split("transaction_id", "-")[0].cast("long")
+        raw = sales_view(spark, sf_dir).withColumn("_o", order)
+        price = F.when(F.col("_o") % 83 == 0, F.lit("")).when(F.col("_o") % 97 == 0, F.lit("n/a")).otherwise(F.col("price").cast("string"))
+        date = F.when(F.col("_o") % 89 == 0, F.date_format("date_of_transfer", "dd.MM.yyyy")).otherwise(F.date_format("date_of_transfer", "yyyy-MM-dd HH:mm"))
+        cells = [{"price": price, "date_of_transfer": date}.get(c, F.col(c)) for c in FEED_COLUMNS]
+        quoted = [F.concat(F.lit('"'), F.coalesce(c, F.lit("")), F.lit('"')) for c in cells]
+        line = F.when(F.col("_o") % 79 == 0, F.concat_ws(",", *quoted[:-1])).otherwise(F.concat_ws(",", *quoted))
+        raw.select(line.alias("value")).write.text(path)
+    return read_feed_marked(spark, _once(spark, sf_dir, "spoilt-feed", spoil))
+
+
+def feed_quarantine(spark, sf_dir):
+    """S1: lines set aside by cause, apart from sound rows with missing cells."""
+    return counts_by_cause(stage(marked_feed(spark, sf_dir), scratch_dir(spark, "quarantine")))
+
+
+def join_bucketed_parity(spark, sf_dir):
+    """J2 / J5 over the bucketed layer: the same rows as the broadcast join."""
+    columns = ["transaction_id", "price", "year", "postcode_area"]
+    df, dim = sales(spark, sf_dir).select(*columns), region_lookup(spark)
+    path = scratch_dir(spark, "bucketed")
+    layer = write_bucketed(df, path, "postcode_area", buckets=JOIN_BUCKETS)
+    rows = [x.select(*columns, "region") for x in (with_regions(df), join_bucketed(spark, layer, dim, f"{path}/dim", *columns))]
+    return strategy_parity(*rows, ["region"])
+
+
+def join_skewed_rows(spark, sf_dir):
+    """A15 / B8 as a join of rows: areas that hold more than ``HOT_SHARE`` of the sales are measured and salted."""
+    df = sales(spark, sf_dir).select("transaction_id", "price", "postcode_area")
+    hot = hot_keys(df, ["postcode_area"], HOT_SHARE).agg(F.count(F.lit(1))).scalar()
+    salted = enrich_join(df, region_lookup(spark), "postcode_area", strategy="merge", hot_share=HOT_SHARE)
+    return strategy_parity(with_regions(df), salted, ["region"]).withColumn("hot_areas", hot)
+
+
+def slice_years_table(spark, sf_dir):
+    """F12 with the years from a table: those with at least the average number of sales. The scan reads only their partitions."""
+    path = _once(spark, sf_dir, "years", lambda p: sales(spark, sf_dir).groupBy("year").agg(F.count(F.lit(1)).alias("rows")).write.parquet(p))
+    years = spark.read.parquet(path)
+    busy = years.where(F.col("rows") >= years.agg(F.avg("rows")).scalar())
+    return period_slice(sales(spark, sf_dir), table=busy).groupBy("year", "quarter").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("price").cast("long")).alias("total"))
+
+
+SETTINGS = ({"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "7"},
+            {"spark.sql.adaptive.enabled": "true", "spark.sql.shuffle.partitions": "50"},
+            {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "5", "spark.sql.autoBroadcastJoinThreshold": "-1"})
+
+
+def settings_parity(spark, sf_dir):
+    """B4, B7, B8: one grouped join of rows under each of ``SETTINGS``, in sessions of their own; the results agree."""
+    layer, paths = layer_path(spark, sf_dir), []
+    for settings in SETTINGS:
+        own = isolated(spark, settings)
+        joined = enrich_join(read_layer(own, layer).select("district", "year", "postcode_area"), region_lookup(own), "postcode_area", strategy="auto")
+        paths.append(scratch_dir(spark, "settings"))
+        joined.groupBy("district", "year", "region").agg(F.count(F.lit(1)).alias("rows")).write.parquet(paths[-1])
+    first, *others = (spark.read.parquet(p) for p in paths)
+    parts = [strategy_parity(first, x, ["district"]).withColumn("arm", F.lit(k)) for k, x in enumerate(others, 1)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def footprint_years(spark, sf_dir):
+    """S8 by year: rows of each partition, and whether it has files and bytes and all bytes sum to the layer's."""
+    path = layer_path(spark, sf_dir)
+    by_year = footprint_by(read_layer(spark, path))
+    whole = footprint(spark, {"layer": path}).select("bytes").scalar()
+    total = by_year.agg(F.sum("bytes")).scalar()
+    return by_year.select("year", "rows", ((F.col("files") > 0) & (F.col("bytes") > 0)).alias("has_files"), (total == whole).alias("sums_to_layer"))
+
+
 def _rank_error(cells, keys, df):
     """Largest distance of a cell's sketch median from the middle rank, as a share of the
     cell's rows, compared with the sketch's bound (2 / accuracy)."""
@@ -390,4 +503,12 @@ QUERIES.update({
     "summary_sink": summary_sink,
     "run_report": run_report,
     "footprint": footprint_q,
+    "sketch_medians": sketch_medians,
+    "sketch_distincts": sketch_distincts,
+    "feed_quarantine": feed_quarantine,
+    "join_bucketed_parity": join_bucketed_parity,
+    "join_skewed_rows": join_skewed_rows,
+    "slice_years_table": slice_years_table,
+    "settings_parity": settings_parity,
+    "footprint_years": footprint_years,
 })

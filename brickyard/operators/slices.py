@@ -23,9 +23,13 @@ def year_range(df: DataFrame, ts: str, first: int, last: int | None = None) -> C
 
 
 def period_slice(df: DataFrame, period: str = "year", *, years: Iterable[int] | None = None,
-                 since: int | None = None, equals: int | None = None) -> DataFrame:
-    """Keep rows whose period is in ``years``, ``>= since`` or ``== equals``."""
+                 since: int | None = None, equals: int | None = None, table: DataFrame | None = None) -> DataFrame:
+    """Keep rows whose period is in ``years``, ``>= since``, ``== equals`` or a value of ``table``'s column
+    ``period``: a filtered table of periods, at most as many rows as the layer has partitions. It is broadcast, and
+    its values prune the layer's partitions before they are read (dynamic partition pruning)."""
     p = F.col(period)
+    if table is not None:
+        df = df.join(F.broadcast(table.select(period)), period, "left_semi")
     if years is not None:
         df = df.filter(p.isin(*list(years)))
     if since is not None:

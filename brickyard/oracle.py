@@ -246,6 +246,18 @@ SELECT (SELECT count(*) FROM sales_region) AS rows_a,
         WHERE a.n IS DISTINCT FROM b.n) AS groups_differing"""
 
 
+HOT_AREAS = """
+       (SELECT count(*) FROM (SELECT postcode_area, count(*) AS n FROM sales GROUP BY 1) a
+        WHERE postcode_area IS NOT NULL AND n > 0.045::DOUBLE * (SELECT count(*) FROM sales)) AS hot_areas"""
+
+QUARANTINE = """
+SELECT cause, rows FROM (
+  SELECT count_if(o % 79 = 0) AS columns, count_if(o % 97 = 0 AND o % 83 <> 0) AS price, count_if(o % 89 = 0) AS date_of_transfer,
+         count_if(o % 83 = 0 AND o % 89 <> 0 AND o % 79 <> 0) AS "missing price", CAST(0 AS BIGINT) AS "missing date_of_transfer"
+  FROM (SELECT CAST(split_part(transaction_id, '-', 1) AS BIGINT) AS o FROM sales_raw) t)
+UNPIVOT (rows FOR cause IN (columns, price, date_of_transfer, "missing price", "missing date_of_transfer"))"""
+
+
 def _hygiene() -> str:
     return f"""
 SELECT (SELECT count(*) FROM regions) AS dim_rows,
@@ -414,5 +426,22 @@ def layer_oracles() -> dict[str, str]:
         "csv_fastest_growing": latest_growth(2000, 15),
         "csv_summary_premium": with_sales("SELECT * FROM premium", PREMIUM),
         "summary_sink": with_sales(cells("district, year")),
+        "sketch_medians": with_sales(
+            "SELECT count(*) AS groups, CAST(sum(n) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS beyond_merged, "
+            "CAST(0 AS BIGINT) AS beyond_rescanned FROM (SELECT postcode_area, count(*) AS n FROM sales GROUP BY 1) g"),
+        "sketch_distincts": with_sales("SELECT " + ", ".join(
+            f"count(DISTINCT {c}) AS {c}_exact, true AS {c}_within" for c in ("district", "postcode_area", "street")) + " FROM sales"),
+        "feed_quarantine": with_sales(QUARANTINE),
+        "join_bucketed_parity": analysis["join_strategy_parity"],
+        "join_skewed_rows": with_sales(PARITY.replace(" AS groups_differing", " AS groups_differing, " + HOT_AREAS)),
+        "slice_years_table": with_sales(
+            "SELECT year, quarter, count(*) AS rows, CAST(sum(price) AS BIGINT) AS total FROM sales WHERE year IN ("
+            "SELECT year FROM (SELECT year, count(*) AS n FROM sales GROUP BY year) y QUALIFY n >= avg(n) OVER ()) GROUP BY year, quarter"),
+        "settings_parity": with_sales(
+            "SELECT arm, (SELECT count(*) FROM fine) AS rows_a, (SELECT count(*) FROM fine) AS rows_b, "
+            "(SELECT count(DISTINCT district) FROM fine) AS groups, CAST(0 AS BIGINT) AS groups_differing "
+            "FROM (VALUES (1), (2)) a(arm)",
+            "fine AS (SELECT district, year, region FROM sales_region GROUP BY ALL)"),
+        "footprint_years": with_sales("SELECT year, count(*) AS rows, true AS has_files, true AS sums_to_layer FROM sales GROUP BY year"),
         "run_report": _report(),
     }

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def physical_plan(df: DataFrame) -> str:
@@ -32,3 +32,12 @@ def shape(df: DataFrame) -> dict[str, int]:
         "windows": len(re.findall(r"(?m)^\s*[:+\- ]*Window \[", p)),
         "sorts": len(re.findall(r"(?m)^\s*[:+\- ]*Sort \[", p)),
     }
+
+
+def isolated(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session of its own on the same context, with the time zone of ``spark`` and ``settings``; nothing set in it
+    reaches ``spark``."""
+    own = spark.newSession()
+    for key, value in {"spark.sql.session.timeZone": spark.conf.get("spark.sql.session.timeZone"), **settings}.items():
+        own.conf.set(key, value)
+    return own

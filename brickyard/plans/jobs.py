@@ -161,28 +161,31 @@ def stage_csv(spark: SparkSession, csv_path: str, work_dir: str) -> None:
     finish_audit(row, price_paid_rules()).coalesce(1).write.mode("overwrite").parquet(f"{work_dir}/audit")   # one row
 
 
-def csv_outputs(spark: SparkSession, work_dir: str, *, recent: int = 2020,
+def csv_outputs(spark: SparkSession, work_dir: str, *names: str, recent: int = 2020,
                 years: Sequence[int] = (2007, 2008, 2009, 2019, 2020, 2021), one_year: int = 2024) -> dict[str, DataFrame]:
-    """Every output of the analysis from a CSV, over what ``stage_csv`` stored; ``recent``, ``years`` and ``one_year``
-    are the years of its three slices."""
+    """Every output of the analysis from a CSV (or those named), over what ``stage_csv`` stored; ``recent``, ``years``
+    and ``one_year`` are the years of its three slices."""
     df = read_layer(spark, f"{work_dir}/rows")
-    dim = region_lookup(spark)
-    joined = {s: enrich_join(df.select("transaction_id", "price", "year", "postcode_area"), dim, "postcode_area", strategy=s)
-              for s in ("broadcast", "merge")}
-    return {
-        "quality": spark.read.parquet(f"{work_dir}/audit"),
-        "headline": headline(df),
-        "national_year": median_by(df, ["year"], order=True),
-        "skew": skew_profile(df, "postcode_area", SKEW_KEYS),
-        "volume_quarter": summary(df, "transaction_volume_by_quarter"),
-        "growth_district": summary(df, "price_growth_by_district"),
-        "region_year": summary(df, "region_summary"),
-        "join_parity": strategy_parity(joined["broadcast"], joined["merge"], ["region"]),
-        "fastest_growing": summary(df, "fastest_growing_districts", since_year=2000, top_n=CSV_TOP_N),
-        "premium_recent": summary(period_slice(df, since=recent), "new_build_premium").orderBy("year", "property_type_name"),
-        "volume_years": summary(period_slice(df, years=years), "transaction_volume_by_quarter"),
-        "region_one_year": summary(period_slice(df, equals=one_year), "region_summary"),
+
+    def parity() -> DataFrame:
+        dim, own = region_lookup(spark), df.select("transaction_id", "price", "year", "postcode_area")
+        return strategy_parity(*(enrich_join(own, dim, "postcode_area", strategy=s) for s in ("broadcast", "merge")), ["region"])
+
+    outputs = {
+        "quality": lambda: spark.read.parquet(f"{work_dir}/audit"),
+        "headline": lambda: headline(df),
+        "national_year": lambda: median_by(df, ["year"], order=True),
+        "skew": lambda: skew_profile(df, "postcode_area", SKEW_KEYS),
+        "volume_quarter": lambda: summary(df, "transaction_volume_by_quarter"),
+        "growth_district": lambda: summary(df, "price_growth_by_district"),
+        "region_year": lambda: summary(df, "region_summary"),
+        "join_parity": parity,
+        "fastest_growing": lambda: summary(df, "fastest_growing_districts", since_year=2000, top_n=CSV_TOP_N),
+        "premium_recent": lambda: summary(period_slice(df, since=recent), "new_build_premium").orderBy("year", "property_type_name"),
+        "volume_years": lambda: summary(period_slice(df, years=years), "transaction_volume_by_quarter"),
+        "region_one_year": lambda: summary(period_slice(df, equals=one_year), "region_summary"),
     }
+    return {name: outputs[name]() for name in names or outputs}
 
 
 def analyse(layer: DataFrame, out_root: str, *, parallel: int = 4,
