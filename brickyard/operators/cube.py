@@ -20,7 +20,7 @@ ranks last, as in ``cells``.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,21 +91,26 @@ def percentiles(cube: DataFrame, sets: Mapping[str, Sequence[str]] = SETS, *, me
         F.col("_total").alias("total"), F.col("_cum").alias("upto"), F.col("_vn").alias("n"))
 
 
-@dataclass(frozen=True)
 class Cube:
-    """The stored tables under a folder."""
+    """The stored tables under a folder; each is opened when it is first asked for."""
 
-    counts: DataFrame
-    percentiles: DataFrame
-    measure: str = "price"
-    sets: Mapping[str, Sequence[str]] | None = None
+    def __init__(self, spark: SparkSession, path: str, sets: Mapping[str, Sequence[str]] = SETS, measure: str = "price"):
+        self.spark, self.path, self.sets, self.measure = spark, path, sets, measure
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/counts")
+
+    @cached_property
+    def percentiles(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/percentiles")
 
     def cells(self, key_set: str, *, percent: int = 50, min_rows: int | None = None, with_mean: bool = False) -> DataFrame:
         """One row per group of the key set, as ``cell_stats`` gives them: the keys, ``median_<measure>`` (or
         ``p<percent>_<measure>``), ``transactions`` and, if asked, ``mean_<measure>``."""
         if not 1 <= percent <= GRID:
             raise ValueError(f"percent must be from 1 to {GRID}")
-        keys = list((self.sets or SETS)[key_set])
+        keys = list(self.sets[key_set])
         rank = F.ceil(F.col("valued") * F.lit(percent) / F.lit(GRID))
         holds = (F.col("upto") >= rank) & (F.col("upto") - F.col("n") < rank) | (F.col("valued") == 0)
         value = f"median_{self.measure}" if percent == 50 else f"p{percent}_{self.measure}"
@@ -145,4 +150,4 @@ def build_cube(df: DataFrame, path: str, *, dim: DataFrame | None = None, key: s
 
 
 def read_cube(spark: SparkSession, path: str, *, sets: Mapping[str, Sequence[str]] = SETS, measure: str = "price") -> Cube:
-    return Cube(spark.read.parquet(f"{path}/counts"), spark.read.parquet(f"{path}/percentiles"), measure, sets)
+    return Cube(spark, path, sets, measure)

@@ -66,9 +66,13 @@ def publish(spark: SparkSession, staged: str, path: str) -> None:
     if had and not fs.rename(place, old):
         raise RuntimeError(f"{path} could not be moved aside; it is unchanged")
     fs.mkdirs(place.getParent())
-    if not fs.rename(new, place):
-        if had:
+    done = False
+    try:
+        done = fs.rename(new, place)
+    finally:
+        if not done and had:
             fs.rename(old, place)
+    if not done:
         raise RuntimeError(f"{staged} could not be published; {path} is as it was")
     if had:
         fs.delete(old, True)
