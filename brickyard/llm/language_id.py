@@ -194,8 +194,9 @@ def fuse(seen: DataFrame, tables: dict[str, DataFrame], languages: Sequence[str]
 
 def language_id(df: DataFrame, *, text: str, id: str, declared: Column, suffix: Column, domain: Column, host: Column,
                 languages: Sequence[str] | None = None, least_rows: int = LEAST_ROWS, max_rows: int = MAX_ROWS,
-                least: float = 0.5, carry: Sequence[str] = ()) -> DataFrame:
-    """One row per row of ``df``: the id, the columns to ``carry``, ``lang_id``, ``confidence``, ``accepted``."""
+                least: float = 0.5, carry: Sequence[str] = (), only_accepted: bool = False) -> DataFrame:
+    """One row per row of ``df``: the id, the columns to ``carry``, ``lang_id``, ``confidence``, ``accepted``; or with
+    ``only_accepted`` the id and the carried columns, whatever their names, of the accepted rows."""
     keys = {"declared": declared, "suffix": suffix, "domain": domain, "host": host}
     work = df.select(F.struct(F.col(id).alias("id"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry) if c != text]).alias("own"),
                      *[v.cast("string").alias(k) for k, v in keys.items()], F.col(text).cast("string").alias("text"))
@@ -210,14 +211,21 @@ def language_id(df: DataFrame, *, text: str, id: str, declared: Column, suffix:
         found = fuse(narrow, tables, languages, least)
         return found.select(F.col("id").alias(id), "lang_id", "confidence", "accepted")
     found = fuse(with_text_evidence(work, logp, text="text"), tables, languages, least)
-    return found.select(F.col("own.id").alias(id), *[F.col("text" if c == text else f"own.c{i}").alias(c) for i, c in enumerate(carry)],
-                        "lang_id", "confidence", "accepted")
+    carried = [F.col("own.id").alias(id), *[F.col("text" if c == text else f"own.c{i}").alias(c) for i, c in enumerate(carry)]]
+    if only_accepted:
+        return found.where("accepted").select(*carried)
+    return found.select(*carried, "lang_id", "confidence", "accepted")
+
+
+def primary_subtag(tag: Column) -> Column:
+    """A language tag up to its first ``-`` or ``_``, in lower case: ``fil-PH`` is ``fil``, and not ``fi``."""
+    return F.lower(F.split(tag, "[-_]")[0])
 
 
 def of_documents(docs: DataFrame, carry: Sequence[str] = (), **kw) -> DataFrame:
     """Documents: ``lang`` is the declared language and ``source`` the host; they have no address."""
     none = F.lit(None).cast("string")
-    return language_id(docs, text="text", id="doc_id", declared=F.lower(F.substring("lang", 1, 2)), suffix=none,
+    return language_id(docs, text="text", id="doc_id", declared=primary_subtag(F.col("lang")), suffix=none,
                        domain=none, host=F.col("source"), carry=carry, **kw)
 
 
@@ -226,7 +234,7 @@ def of_pages(pages: DataFrame, **kw) -> DataFrame:
     host = F.lower(F.try_parse_url(F.col("url"), F.lit("HOST")))
     work = pages.select(
         "page_id", F.regexp_replace("html", r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>", " ").alias("text"),
-        F.lower(F.nullif(F.regexp_extract("html", r"(?is)<html[^>]*\blang\s*=\s*[\"']?([a-z]{2})", 1), F.lit(""))).alias("declared"),
+        F.lower(F.nullif(F.regexp_extract("html", r"(?is)<html[^>]*\blang\s*=\s*[\"']?([a-z]+)", 1), F.lit(""))).alias("declared"),
         host.alias("host"))
     return language_id(work, text="text", id="page_id", declared=F.col("declared"),
                        suffix=F.substring_index("host", ".", -1), domain=F.substring_index("host", ".", -2),

@@ -205,8 +205,8 @@ def mixed_texts(df: DataFrame, **kw) -> DataFrame:
     columns = df.columns
     text = kw.get("text", "text")
     base = written(df.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
-    spans = mix_sources(base, row="__row", **kw).where("taken > 0").select(F.col("row").alias("__row"), "spans")
-    work = base.join(spans, "__row").select(*columns, "spans")
+    spans = mix_sources(base, row="__row", **kw).where("taken > 0").select(F.col("row").alias("__row"), F.col("spans").alias("__spans"))
+    work = base.join(spans, "__row").select(*columns, "__spans")
     at = columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,7 +35,7 @@ def _with_size(df: DataFrame) -> DataFrame:
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     carry = [c for c in docs.columns if c != "doc_id"]
-    return of_documents(docs, carry=carry).where("accepted").select(*docs.columns)
+    return of_documents(docs, carry=carry, only_accepted=True).select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ import pytest
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Extra columns whose names clash with the operators' own working columns.
-CLASH = ["id", "row", "size", "sig", "kind", "key", "part", "label", "n", "line", "evidence", "host"]
+CLASH = ["id", "row", "size", "sig", "kind", "key", "part", "label", "n", "line", "evidence", "host",
+         "spans", "accepted", "confidence", "lang_id", "ids", "starts", "decoded", "phrase", "score", "rank", "place", "term", "item"]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASH)
 
 

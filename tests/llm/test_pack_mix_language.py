@@ -220,8 +220,12 @@ def test_text_outweighs_a_wrong_declaration(spark):
 
 
 def test_language_of_awkward_rows(docs, rows, empty):
-    got = li.of_documents(docs, carry=[c for c in docs.columns if c != "doc_id"])
-    assert got.columns == [*docs.columns, "lang_id", "confidence", "accepted"]
+    verdict = ["lang_id", "confidence", "accepted"]
+    got = li.of_documents(docs, carry=[c for c in docs.columns if c not in ("doc_id", *verdict)])
+    assert got.columns == [*[c for c in docs.columns if c not in verdict], *verdict]
+    kept = li.of_documents(docs, carry=[c for c in docs.columns if c != "doc_id"], only_accepted=True)
+    assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+    assert bag(kept, "doc_id", "text") == bag(got.where("accepted"), "doc_id", "text") and {r["accepted"] for r in kept.collect()} == {"1"}
     found = {(r["doc_id"], r["text"]): r for r in got.collect()}
     assert got.count() == len(rows)
     for i, t, _, _ in rows:
@@ -238,3 +242,15 @@ def test_pages_use_every_kind_of_evidence(spark):
     got = {r["page_id"]: r for r in li.of_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert len(got) == 28 and got[101]["lang_id"] == "en" and got[1]["accepted"]
     assert got[100]["lang_id"] == got[103]["lang_id"] == "und"
+
+
+def test_subtags_are_not_cut(spark):
+    rng = random.Random(11)
+    stems = {"fil": ("ang", "mga", "sa", "kan", "ya"), "fi": ("jä", "tte", "ssa", "uo", "ki")}
+    rows = [(k, prose(rng, 40, stems[la]), tag, "s") for k, (la, tag) in enumerate([("fil", "fil"), ("fi", "FI_fi"), ("fil", "fil-PH"), ("fi", "fi")] * 20)]
+    got = li.of_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    assert {(r["doc_id"] % 2, r["lang_id"]) for r in got.collect()} == {(0, "fil"), (1, "fi")}
+    page = "<html lang={}><body><p>{}</p></body></html>"
+    rows = [(k, f"https://h{k % 2}.example/", page.format(tag, prose(rng, 40, stems[la]))) for k, (la, tag) in enumerate([("fil", "'fil-PH'"), ("fi", "fi")] * 20)]
+    got = li.of_pages(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {(r["page_id"] % 2, r["lang_id"]) for r in got.collect()} == {(0, "fil"), (1, "fi")}

@@ -13,7 +13,7 @@ from brickyard.llm import mixing
 from brickyard.llm.queries import ORACLES, QUERIES, tokenizer_file
 from brickyard.llm.tables import range_bounds, range_of
 
-from .conftest import SCHEMA, WORD, awkward, bag, prose
+from .conftest import CLASH, SCHEMA, WORD, awkward, bag, prose
 from .test_pack_mix_language import check_packing
 from .test_pairs_lines import brute_components, brute_lines
 
@@ -61,7 +61,7 @@ def fixture_rows():
 
 def test_pipeline_stages_against_brute_force(spark, tmp_path):
     rows = fixture_rows()
-    data = [(i, t, la, s, None if t is None else len(t), *["1"] * 12) for i, t, la, s in rows]
+    data = [(i, t, la, s, None if t is None else len(t), *["1"] * len(CLASH)) for i, t, la, s in rows]
     docs = spark.createDataFrame(data, SCHEMA)
     columns, seen = docs.columns, {}
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
