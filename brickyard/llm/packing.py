@@ -126,6 +126,17 @@ class Encoder:
         return ids, many
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """The worker's encoder of ``path``: tasks that share a Python worker share what it keeps, up to ``MAX_UNITS``."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def knapsack(prices: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, np.ndarray]:
     """Best value and counts of items in ``room`` units, any number of each."""
     best, took = np.zeros(room + 1), np.full(room + 1, -1)
@@ -238,7 +249,7 @@ def _pieces(path: str, size: int, end: int):
     tail = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task, seen = Encoder(path), TaskContext.get().partitionId(), [0] * (CLASSES + 1)
+        encoder, task, seen = encoder_of(path), TaskContext.get().partitionId(), [0] * (CLASSES + 1)
         for b in batches:
             out = []
             docs, arr = b.column(0).to_pylist(), column(b.column(1))
