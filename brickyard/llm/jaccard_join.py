@@ -18,7 +18,11 @@ Columns are dealt into hash blocks; only these entries are needed:
    are passed on as entries. Columns of the commonest shingles are split by document
    beforehand, so that no block grows with one column.
 3. Bounds. A pair stays if its sizes are within 80 % and its accumulated count, with
-   all that could lie behind the prefixes, still reaches the overlap that sizes ask for.
+   all that could lie behind the prefixes, still reaches the overlap that sizes ask for,
+   and if its parity bitmaps allow it: a set's bitmap holds, for each of ``MAP`` * 64
+   places, whether an odd number of its shingles fall there, so bitmaps differ in at
+   most as many places as the sets differ in shingles. Both bounds are exact: no pair
+   that links is lost. Sets too large for the bitmap are left to the first one.
 4. Links. In a first round each document is verified against its likeliest partner
    and, in long columns, against the column's leader of its size (the one with the most
    entries in long columns, so the least of its own): one or two pairs a document, however large a group of near copies is. Components follow. In the second
@@ -51,6 +55,7 @@ SHORT = 12                       # documents of a column that is multiplied out
 SPLIT = 20_000                   # counted documents of a column from which it is split
 COUNTED = 4_000_000              # shingles that a task counts at once
 FLUSH = 500_000                  # entries that a task holds at once
+MAP = 8                          # 64-bit words of a set's parity bitmap
 _STEP = np.log(1.05)
 
 
@@ -68,7 +73,14 @@ def sets_of(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[list, l
             yield ids[lo:hi], sets, [set_hash(s) if len(s) else 0 for s in sets]
 
 
-_DOC = "id long, sig long, n int, times long"
+_MAPS = [f"m{k}" for k in range(MAP)]
+_DOC = "id long, sig long, n int, times long, " + ", ".join(f"{m} long" for m in _MAPS)
+
+
+def parity(values: np.ndarray) -> np.ndarray:
+    """A set's parity bitmap in ``MAP`` words."""
+    odd = np.bincount((values % np.uint64(64 * MAP)).astype(np.int64), minlength=64 * MAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _documents(n: int, least: int):
@@ -77,16 +89,18 @@ def _documents(n: int, least: int):
     def frequent(held: list[np.ndarray]):
         values, times = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         many = times >= least
-        return _batch([None] * int(many.sum()), values[many].view(np.int64), [None] * int(many.sum()), times[many])
+        none = [None] * int(many.sum())
+        return _batch(none, values[many].view(np.int64), none, times[many], [none] * MAP)
 
-    def _batch(ids, sigs, sizes, times):
+    def _batch(ids, sigs, sizes, times, maps):
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sigs, pa.int64()), pa.array(sizes, pa.int32()),
-                                           pa.array(times, pa.int64())], ["id", "sig", "n", "times"])
+                                           pa.array(times, pa.int64()), *[pa.array(m, pa.int64()) for m in maps]],
+                                          ["id", "sig", "n", "times", *_MAPS])
 
     def run(batches):
         seen, held, total = set(), [], 0
         for ids, sets, sigs in sets_of(batches, n):
-            yield _batch(ids, sigs, [len(s) for s in sets], [None] * len(ids))
+            yield _batch(ids, sigs, [len(s) for s in sets], [None] * len(ids), np.array([parity(s) for s in sets]).T)
             for values, sig in zip(sets, sigs, strict=True):
                 if len(values) and sig not in seen:
                     seen.add(sig)
@@ -215,6 +229,14 @@ def _reaches(count: Column, a: Column, b: Column, percent: int) -> Column:
     return (100 + percent) * (count + behind) >= percent * (a + b)
 
 
+def _alike(a: str, b: str, percent: int) -> Column:
+    """Whether the bitmaps of ``a`` and ``b`` differ in no more places than linked sets of
+    their sizes may: ``|a| + |b| - 2 overlap``, with the least overlap that links."""
+    differ = sum((F.bit_count(F.col(f"{m}{a}").bitwiseXOR(F.col(f"{m}{b}"))) for m in _MAPS[1:]),
+                 F.bit_count(F.col(f"m0{a}").bitwiseXOR(F.col(f"m0{b}"))))
+    return (100 + percent) * differ <= (100 - percent) * (F.col(f"n{a}").cast("long") + F.col(f"n{b}"))
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that link, by the intersection of whole sets."""
     joined = (pairs.join(sets.select(F.col("sig").alias("a"), F.col("values").alias("va")), "a")
@@ -239,7 +261,8 @@ def jaccard_components(df: DataFrame, *, text: str = "text", id: str = "doc_id",
     spark = df.sparkSession
     table = written(work.mapInArrow(_documents(n, often), _DOC), "jaccard-documents")
     docs = table.where("times IS NULL").select("id", "sig", "n")
-    sigs = written(docs.where("n > 0").groupBy("sig").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "jaccard-sets")
+    sigs = written(table.where("times IS NULL AND n > 0").groupBy("sig").agg(
+        F.min("id").alias("rep"), F.max("n").alias("n"), *[F.max(m).alias(m) for m in _MAPS]), "jaccard-sets")
 
     found = (table.where("times IS NOT NULL").groupBy("sig").agg(F.sum("times").alias("times"))
              .orderBy(F.desc("times"), "sig").limit(common).toPandas())        # pairs of numbers
@@ -257,13 +280,15 @@ def jaccard_components(df: DataFrame, *, text: str = "text", id: str = "doc_id",
                     .applyInArrow(_multiply(percent, short, apart), "col long, a long, b long, c int"), "jaccard-cells")
     long = cells.where("b IS NULL").select("col", F.col("a").alias("sig"))
     entries_of = long.groupBy("sig").agg(F.count(F.lit(1)).alias("long"))
-    known = written(sigs.join(entries_of, "sig", "left").select("sig", "rep", "n", F.coalesce("long", F.lit(0)).alias("long")),
+    known = written(sigs.join(entries_of, "sig", "left").select("sig", "rep", "n", F.coalesce("long", F.lit(0)).alias("long"), *_MAPS),
                     "jaccard-known")
-    side = lambda x: known.select(F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("long").alias(f"l{x}"))
+    side = lambda x: known.select(F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("long").alias(f"l{x}"),
+                                  *[F.col(m).alias(f"{m}{x}") for m in _MAPS])
     counts = cells.where("b IS NOT NULL").groupBy("a", "b").agg(F.sum("c").alias("c"))
     pairs = written(
         counts.join(side("a"), "a").join(side("b"), "b").where(_sizes_fit(F.col("na"), F.col("nb"), percent))
-        .where(_reaches(F.col("c") + F.least("la", "lb"), F.col("na"), F.col("nb"), percent)).select("a", "b", "c"), "jaccard-pairs")
+        .where(_reaches(F.col("c") + F.least("la", "lb"), F.col("na"), F.col("nb"), percent) & _alike("a", "b", percent))
+        .select("a", "b", "c"), "jaccard-pairs")
 
     # first round: the likeliest partner, and the leader of each long column by size
     ways = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "c").unionByName(
@@ -274,7 +299,8 @@ def jaccard_components(df: DataFrame, *, text: str = "text", id: str = "doc_id",
         "col", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), F.col("m.sig").alias("y"), F.col("m.n").alias("m"))
     led = (sized.join(leaders, ["col", "band"]).where((F.col("sig") != F.col("y")) & _sizes_fit(F.col("n"), F.col("m"), percent))
            .groupBy(F.col("sig").alias("x"), "y", "n", "m").agg(F.count(F.lit(1)).alias("c"))
-           .where(_reaches(F.col("c"), F.col("n"), F.col("m"), percent))
+           .where(_reaches(F.col("c"), F.col("n"), F.col("m"), percent)).select("x", "y", "c")
+           .join(side("x"), "x").join(side("y"), "y").where(_alike("x", "y", percent))
            .groupBy("x").agg(F.max(F.struct("c", "y")).alias("m")).select("x", F.col("m.y").alias("y")))
     tried = written(likeliest.unionByName(led).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
                     "jaccard-tried")
@@ -299,13 +325,13 @@ def jaccard_components(df: DataFrame, *, text: str = "text", id: str = "doc_id",
     short = pairs.join(label("a"), "a", "left").join(label("b"), "b", "left").where(apart).select("a", "b", "c")
     of = sized.join(labels.withColumnRenamed("node", "sig"), "sig", "left").select("col", "sig", "n", "long", F.coalesce("label", "sig").alias("label"))
     mixed = of.groupBy("col").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("col")
-    of = written(of.join(mixed, "col"), "jaccard-mixed")
+    of = written(of.join(mixed, "col").join(known.select("sig", *_MAPS), "sig"), "jaccard-mixed")
     one, two = (of.select("col", F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("long").alias(f"l{x}"),
-                          F.col("label").alias(f"label_{x}")) for x in "ab")
+                          F.col("label").alias(f"label_{x}"), *[F.col(m).alias(f"{m}{x}") for m in _MAPS]) for x in "ab")
     # (a pair that shares a short column too is among ``pairs``, where long columns are allowed for)
     crossed = (one.join(two, (one["col"] == two["col"]) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))
                         & _sizes_fit(F.col("na"), F.col("nb"), percent)
-                        & _reaches(F.least("la", "lb"), F.col("na"), F.col("nb"), percent))
+                        & _reaches(F.least("la", "lb"), F.col("na"), F.col("nb"), percent) & _alike("a", "b", percent))
                .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
                .where(_reaches(F.col("c"), F.col("na"), F.col("nb"), percent)).select("a", "b", "c"))
     rest = written(short.unionByName(crossed).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
