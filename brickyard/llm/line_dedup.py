@@ -1,18 +1,20 @@
 """Line dedup by a deletion-neighbourhood join, in DataFrame functions only.
 
 A line (text split at newlines) goes if an earlier line of any document (by id, NULL
-last, then line number) is within one character edit (insertion, deletion or
-substitution) of it, itself included; whether that earlier line stays is not asked.
-Lines of fewer than ``min_chars`` characters stay and drop nothing: short lines are
-structure, not repetition.
+last, then row, then line number) equals it or is within one character edit (insertion,
+deletion or substitution) of it; whether that earlier line stays is not asked. All
+lines but empty ones, which part paragraphs, are compared for equality. An edit is
+allowed in lines of ``min_edit`` characters or more on both sides: one in fewer is over
+an eighth of the line and makes another word or number of it.
 
 Distinct lines are known by 128 hash bits and first place. Emitting every deletion
 of every line would cost the square of its length, so two exact filters go first. By
 the pigeonhole principle, of lines cut into segments, one edit leaves all but one
 segment as they are: only a segment outside which another line is equal can hold the
 edit (each line is cut by its own length and by one less, for insertions). The first
-filter has 2 segments, the second cuts what is left into 8. What remains emits all
-its deletion variants inside the segment, as hashed keys:
+filter has 2 segments, the second cuts what is left into 8, and again while a segment
+is over ``SEGMENT`` characters, so a very long line is not hashed once for each of its
+characters. What remains emits all its deletion variants inside the segment, as hashed keys:
 
 - a line without its character p, with p: lines with equal keys differ in character p
   at most, so all of a group are within one edit of its earliest;
@@ -21,9 +23,10 @@ its deletion variants inside the segment, as hashed keys:
 So a group needs its earliest members only, never its pairs. Each line meets its
 group's earliest, ``levenshtein`` verifies the edit distance, and the earliest stays.
 
-Rows that repeat an id are read as one document told apart by the line's content:
-equal lines at equal places are kept or dropped alike. NULL text is empty. A document
-that loses every line has an empty text. Empty tables give empty results.
+Rows are numbered once, in the table that all steps read, so rows that repeat an id or
+have none are documents of their own, in the order of that table, and no group holds
+more than one row's lines. NULL text is empty. A document that loses every line has an
+empty text. Empty tables give empty results.
 """
 from __future__ import annotations
 
@@ -32,19 +35,17 @@ from pyspark.sql import functions as F
 
 from .tables import small, written
 
-MIN_CHARS = 20
+MIN_EDIT = 8
+SEGMENT = 256
+LONG = 1024
 LAST = (1 << 63) - 1
-PLACE = ["ord", "at", "h1"]           # with the content: an id may come twice
+PLACE = ["ord", "row", "at", "h1"]    # a line's place, and its content's hash
 
 
-def _order(id: str) -> Column:
-    return F.coalesce(F.col(id).cast("long"), F.lit(LAST))
-
-
-def _lines(df: DataFrame, text: str, id: str, min_chars: int) -> DataFrame:
-    """(ord, at, line, len, h1, h2) of every line of ``min_chars`` or more."""
-    return (df.select(_order(id).alias("ord"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("at", "line"))
-            .withColumn("len", F.char_length("line")).where(F.col("len") >= min_chars)
+def _lines(rows: DataFrame, text: str, least: int) -> DataFrame:
+    """(ord, row, at, line, len, h1, h2) of every line of ``least`` or more characters."""
+    return (rows.select("ord", "row", F.posexplode(F.split(F.coalesce(F.col(f"own.{text}"), F.lit("")), "\n")).alias("at", "line"))
+            .withColumn("len", F.char_length("line")).where(F.col("len") >= least)
             .withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit(1), "line")))
 
 
@@ -63,20 +64,34 @@ def _shared(keys: DataFrame) -> DataFrame:
             .where("lo < hi").select("key"))
 
 
-def near_lines(df: DataFrame, firsts: DataFrame, *, text: str, id: str, min_chars: int) -> DataFrame:
-    """(ord, at, h1) of first places of lines that an earlier line is one edit away from."""
-    lines = _lines(df, text, id, min_chars)
+def _within_one() -> Column:
+    """Whether ``line`` and ``line_``, which differ, are one edit apart. Spark's bounded
+    ``levenshtein`` costs the square of the length, so long lines are compared behind the
+    first character that differs, after which one of both or each skips one."""
+    alike = F.expr("array_position(zip_with(split(line, ''), split(line_, ''), (x, y) -> x <=> y), false)").cast("int")
+    n, m = F.char_length("line"), F.char_length("line_")
+    rest = lambda own, at, other, size: F.substring(own, at + F.when(size >= other, 1).otherwise(0), size)
+    long = (F.abs(n - m) <= 1) & (rest(F.col("line"), alike, m, n) == rest(F.col("line_"), alike, n, m))
+    return F.when(F.greatest(n, m) <= LONG, F.levenshtein("line", "line_", 1).between(0, 1)).otherwise(long)
+
+
+def near_lines(rows: DataFrame, firsts: DataFrame, *, text: str, min_edit: int) -> DataFrame:
+    """The first places of lines that an earlier line is one edit away from."""
+    lines = _lines(rows, text, max(1, min_edit))
     roles = lines.withColumn("role", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("b", F.lit(0)).withColumn(
         "e", F.col("len") - F.col("role"))
     halves = _cut(roles, 2).select("key", "h1", "role", "b", "e")
     found = halves.join(_shared(halves), "key").select("h1", "role", "b", "e").distinct()
-    found = written(found.join(firsts.select("h1", "ord", "at"), "h1"), "line-halves")
-    texts = written(lines.select(*PLACE, "line", "len").join(small(found, 48), PLACE).distinct(), "line-texts")
-
-    eighths = _cut(texts, 8).select("key", *PLACE, "role", "b", "e")
-    left = eighths.join(_shared(eighths), "key").select(*PLACE, "role", "b", "e").distinct()
-    left = written(left, "line-segments")
-    own = texts.select(*PLACE, "line", "len").distinct()
+    found = written(found.join(firsts.select("h1", "ord", "row", "at"), "h1").select(*PLACE, "role", "b", "e"), "line-halves")
+    own = written(lines.select(*PLACE, "line", "len").join(
+        small(written(found.select(*PLACE).distinct(), "line-found"), 48), PLACE), "line-texts")
+
+    left = found
+    while True:
+        eighths = _cut(left.join(own, PLACE), 8).select("key", *PLACE, "role", "b", "e")
+        left = written(eighths.join(_shared(eighths), "key").select(*PLACE, "role", "b", "e").distinct(), "line-segments")
+        if not left.where(F.col("e") - F.col("b") > SEGMENT).limit(1).count():
+            break
     held = left.join(own, PLACE)
     spot = (held.where("e + role > b").withColumn("p", F.explode(F.expr("sequence(b + 1, e + role)")))
             .select(*PLACE, F.when(F.col("role") == 0, F.lit("S")).otherwise(F.lit("L")).alias("side"),
@@ -90,34 +105,35 @@ def near_lines(df: DataFrame, firsts: DataFrame, *, text: str, id: str, min_char
         *[F.min(F.when(F.col("side") == s, place)).alias(s) for s in "SBL"], F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     pairs = (variants.join(earliest, "key")
              .withColumn("by", F.expr("case side when 'S' then S when 'B' then L else B end"))
-             .where(F.struct("by.ord", "by.at") < F.struct("ord", "at"))
+             .where(F.struct("by.ord", "by.row", "by.at") < F.struct("ord", "row", "at"))
              .select(*PLACE, *[F.col(f"by.{c}").alias(f"{c}_") for c in PLACE]).distinct())
     other = own.select(*[F.col(c).alias(f"{c}_") for c in PLACE], F.col("line").alias("line_"))
     return (pairs.join(own, PLACE).join(other, [f"{c}_" for c in PLACE])
-            .where(F.levenshtein("line", "line_", 1).between(0, 1)).select(*PLACE).distinct())
+            .where(_within_one()).select(*PLACE).distinct())
 
 
-def dropped_lines(df: DataFrame, *, text: str = "text", id: str = "doc_id", min_chars: int = MIN_CHARS) -> DataFrame:
-    """(ord, drops): by document, the dropped lines' numbers with their content's hash."""
-    places = written(_lines(df, text, id, min_chars).select("ord", "at", "h1", "h2"), "line-places")
-    firsts = written(places.groupBy("h1", "h2").agg(F.min(F.struct("ord", "at")).alias("first"))
-                     .select("h1", "h2", "first.ord", "first.at"), "line-firsts")
-    near = near_lines(df, firsts, text=text, id=id, min_chars=min_chars).withColumn("near", F.lit(True))
+def dropped_lines(rows: DataFrame, *, text: str, min_edit: int) -> DataFrame:
+    """(row, drops): by row, the dropped lines' numbers."""
+    places = written(_lines(rows, text, 1).select("ord", "row", "at", "h1", "h2"), "line-places")
+    firsts = written(places.groupBy("h1", "h2").agg(F.min(F.struct("ord", "row", "at")).alias("first"))
+                     .select("h1", "h2", "first.*"), "line-firsts")
+    near = near_lines(rows, firsts, text=text, min_edit=min_edit).withColumn("near", F.lit(True))
     marks = (firsts.join(near, PLACE, "left")
-             .select("h1", "h2", F.struct("ord", "at").alias("first"), F.coalesce("near", F.lit(False)).alias("near")))
-    return (places.join(marks, ["h1", "h2"]).where(F.col("near") | (F.struct("ord", "at") != F.col("first")))
-            .groupBy("ord").agg(F.collect_set(F.struct("at", "h1")).alias("drops")))
+             .select("h1", "h2", F.col("row").alias("row_"), F.col("at").alias("at_"), F.coalesce("near", F.lit(False)).alias("near")))
+    return (places.join(marks, ["h1", "h2"]).where("near OR row <> row_ OR at <> at_")
+            .groupBy("row").agg(F.collect_list("at").alias("drops")))
 
 
-def line_dedup(df: DataFrame, *, text: str = "text", id: str = "doc_id", min_chars: int = MIN_CHARS,
+def line_dedup(df: DataFrame, *, text: str = "text", id: str = "doc_id", min_edit: int = MIN_EDIT,
                n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
     """``df`` with its text free of dropped lines, and the numbers of its lines and of those dropped."""
-    drops = dropped_lines(df, text=text, id=id, min_chars=min_chars)
-    work = df.select(F.struct("*").alias("own"), _order(id).alias("ord"))
+    order = F.coalesce(F.col(id).cast("long"), F.lit(LAST))
+    rows = written(df.select(F.struct("*").alias("own"), order.alias("ord"), F.monotonically_increasing_id().alias("row")), "line-rows")
+    drops = dropped_lines(rows, text=text, min_edit=min_edit)
     whole = F.coalesce(F.col(f"own.{text}"), F.lit(""))
-    joined = work.join(drops.hint("shuffle_hash"), "ord", "left").withColumn("lines", F.split(whole, "\n"))
-    kept = F.when(F.col("drops").isNull(), F.col("lines")).otherwise(F.filter(
-        "lines", lambda line, i: ~F.array_contains(F.col("drops"), F.struct(i.alias("at"), F.xxhash64(line).alias("h1")))))
+    joined = rows.select("own", "row").join(drops.hint("shuffle_hash"), "row", "left").withColumn("lines", F.split(whole, "\n"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drops"))       # by hash: linear in the lines
+    kept = F.when(F.col("drops").isNull(), F.col("lines")).otherwise(F.transform(stay, lambda i: F.get("lines", i)))
     out = joined.withColumn("kept", kept)
     new = F.when(F.col("drops").isNull(), F.col(f"own.{text}")).otherwise(F.array_join("kept", "\n"))
     return out.select(*[new.alias(c) if c == text else F.col(f"own.{c}").alias(c) for c in df.columns],
@@ -132,17 +148,17 @@ def line_dedup_query(docs: DataFrame) -> DataFrame:
 ORACLE = """
 WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS k FROM documents),
-d AS (SELECT line, length(line) AS n, min((doc_id, k)) AS first FROM l WHERE length(line) >= 20 GROUP BY line),
+d AS (SELECT line, length(line) AS n, min((doc_id, k)) AS first FROM l WHERE length(line) >= 1 GROUP BY line),
 pair AS (SELECT a.line AS a, b.line AS b, a.n AS an, b.n AS bn, a.first AS af, b.first AS bf
-         FROM d a JOIN d b ON left(a.line, 8) = left(b.line, 8) AND b.n - a.n IN (0, 1) AND a.line <> b.line
+         FROM d a JOIN d b ON left(a.line, 4) = left(b.line, 4) AND a.n >= 8 AND b.n - a.n IN (0, 1) AND a.line <> b.line
          UNION
          SELECT a.line, b.line, a.n, b.n, a.first, b.first
-         FROM d a JOIN d b ON right(a.line, 8) = right(b.line, 8) AND b.n - a.n IN (0, 1) AND a.line <> b.line),
+         FROM d a JOIN d b ON right(a.line, 4) = right(b.line, 4) AND a.n >= 8 AND b.n - a.n IN (0, 1) AND a.line <> b.line),
 near AS (SELECT * FROM pair WHERE CASE WHEN an = bn
            THEN len(list_filter(range(1, an + 1), lambda i: a[i] <> b[i])) = 1
            ELSE list_contains(list_transform(range(1, bn + 1), lambda i: b[1:i-1] || b[i+1:]), a) END),
 gone AS (SELECT a AS line FROM near WHERE bf < af UNION SELECT b FROM near WHERE af < bf),
-marked AS (SELECT l.*, length(l.line) >= 20 AND (l.line IN (SELECT line FROM gone) OR (l.doc_id, l.k) <> d.first) AS drop_
+marked AS (SELECT l.*, length(l.line) >= 1 AND (l.line IN (SELECT line FROM gone) OR (l.doc_id, l.k) <> d.first) AS drop_
            FROM l LEFT JOIN d ON l.line = d.line)
 SELECT doc_id, CAST(count(*) AS INTEGER) AS n_lines,
        CAST(count(*) FILTER (WHERE coalesce(drop_, false)) AS INTEGER) AS n_dropped,

@@ -3,7 +3,7 @@ Parquet and reread as the next one's input.
 
 1. ``language_id``: documents that no language explains go.
 2. ``line_dedup``: lines that an earlier line repeats within one edit go; a document
-   that loses all its lines goes with them.
+   that loses all its lines but empty ones goes with them.
 3. ``jaccard_join``: of each group of near copies the first row stays.
 4. ``mix_sources``: the words that the mix takes, a row for each time.
 5. ``packing``: pieces of sequences of 2048 tokens.
@@ -40,7 +40,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = line_dedup(docs, n_lines="__lines", n_dropped="__dropped")
-    return _with_size(out.where("__dropped = 0 OR trim(text) <> ''").select(*docs.columns))
+    return _with_size(out.where((F.col("__dropped") == 0) | (F.btrim("text", F.lit(" \n")) != "")).select(*docs.columns))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

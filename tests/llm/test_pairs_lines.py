@@ -127,19 +127,20 @@ def within_one(a, b):
     return a[k:] == b[k + 1:]
 
 
-def brute_lines(rows, min_chars=20):
-    """(id, text without the dropped lines, lines, dropped)."""
-    places = [(i if i is not None else 2**63, at, line) for i, t, *_ in rows for at, line in enumerate((t or "").split("\n"))]
+def brute_lines(rows, min_edit=8):
+    """(id, text without the dropped lines, lines, dropped), in the order of ``rows`` where ids repeat."""
+    key = lambda i, k: (i if i is not None else 2**63, k)
     first: dict[str, tuple] = {}
-    for o, at, line in places:
-        if len(line) >= min_chars:
-            first[line] = min(first.get(line, (o, at)), (o, at))
-    near = {x for x in first for y in first if x != y and first[y] < first[x] and within_one(x, y)}
+    for k, (i, t, *_) in enumerate(rows):
+        for at, line in enumerate((t or "").split("\n")):
+            if line:
+                first[line] = min(first.get(line, (*key(i, k), at)), (*key(i, k), at))
+    able = [x for x in first if len(x) >= min_edit]
+    near = {x for x in able for y in able if x != y and first[y] < first[x] and within_one(x, y)}
     out = []
-    for i, t, *_ in rows:
+    for k, (i, t, *_) in enumerate(rows):
         lines = (t or "").split("\n")
-        keep = [x for at, x in enumerate(lines) if len(x) < min_chars
-                or x not in near and first[x] == (i if i is not None else 2**63, at)]
+        keep = [x for at, x in enumerate(lines) if not x or x not in near and first[x] == (*key(i, k), at)]
         text = t if len(keep) == len(lines) else "\n".join(keep)
         out.append((i, text, len(lines), len(lines) - len(keep)))
     return sorted(out, key=repr)
@@ -167,6 +168,36 @@ def test_lines_with_every_kind_of_edit(spark):
     assert bag(line_dedup(df), "doc_id", "text", "n_lines", "n_dropped") == brute_lines(rows)
 
 
+@pytest.mark.parametrize("min_edit", [1, 3, 8])
+def test_short_lines(spark, min_edit):
+    rng = random.Random(9)
+    short = lambda: "".join(rng.choice("ab é") for _ in range(rng.randint(0, 10)))
+    rows = [(k, "\n".join(short() for _ in range(rng.randint(0, 6)))) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert bag(line_dedup(df, min_edit=min_edit), "doc_id", "text", "n_lines", "n_dropped") == brute_lines(rows, min_edit)
+
+
+def test_lines_of_rows_that_repeat_an_id_or_have_none(spark):
+    rows = [(1, "a line\nof two"), (1, "a line\nof two"), (None, "x"), (None, "x"), (None, "y\na line"), (1, "of two\nown")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert bag(line_dedup(df), "doc_id", "text", "n_lines", "n_dropped") == brute_lines(rows)
+
+
+def test_lines_over_the_length_of_levenshtein(spark, monkeypatch):
+    monkeypatch.setattr("brickyard.llm.line_dedup.LONG", 3)
+    test_short_lines(spark, 1)
+
+
+def test_very_long_lines_and_very_many(spark):
+    rng = random.Random(10)
+    long = prose(rng, 12_000)
+    rows = [(1, long), (2, long[:40_000] + "#" + long[40_000:]), (3, long[:9] + long[10:]),
+            (4, "\n".join(["}", "", "end"] * 20_000 + ["last"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_dropped"]) for r in line_dedup(df).collect()}
+    assert got == {1: (long, 1, 0), 2: ("", 1, 1), 3: ("", 1, 1), 4: ("\n".join(["}", "", "end", *[""] * 19_999, "last"]), 60_001, 39_998)}
+
+
 def test_line_dedup_plan_is_native(docs, empty):
     plan = line_dedup(docs.select("doc_id", "text"))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))

@@ -79,7 +79,7 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     assert Counter(after) <= Counter(before)
     assert all(not any(c.isalpha() for c in t or "") for i, t in (Counter(before) - Counter(after)))
     before, after = (pairs(x) for x in seen["line_dedup"])
-    assert Counter(after) == Counter((i, t) for i, t, _, dropped in brute_lines(before) if not dropped or (t or "").strip(" "))
+    assert Counter(after) == Counter((i, t) for i, t, _, dropped in brute_lines(before) if not dropped or (t or "").strip(" \n"))
     before, after = (pairs(x) for x in seen["jaccard_join"])
     groups = defaultdict(list)
     numbered = [(k, t) for k, (_, t) in enumerate(before)]
