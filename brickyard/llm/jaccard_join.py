@@ -30,7 +30,8 @@ Columns are dealt into hash blocks; only these entries are needed:
    inside one component go at once); all that pass the bounds are verified. So no
    candidate is dropped, and pairs inside a group are never all made.
 
-Verification counts the whole sets' intersection. Sets are 64-bit hashes; equal hashes
+Verification counts the whole sets' intersection; only sets of pairs that came so far
+are read again and shuffled, once a round. Sets are 64-bit hashes; equal hashes
 are taken as equal shingles. NULL text is empty. NULL ids never become a component's
 id unless it has no other. Rows that repeat an id are documents of their own. No rows:
 no rows.
@@ -305,18 +306,27 @@ def jaccard_components(df: DataFrame, *, text: str = "text", id: str = "doc_id",
     tried = written(likeliest.unionByName(led).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
                     "jaccard-tried")
 
-    members = pairs.select(F.explode(F.array("a", "b")).alias("sig")).unionByName(long.select("sig")).distinct()
-    members = written(members.join(known.select("sig", "rep"), "sig"), "jaccard-members")
+    def sets_for(chosen: DataFrame) -> DataFrame:
+        """The whole sets that pairs are made of; only texts of the documents that stand for them are read by Python."""
+        needed = written(chosen.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(known.select("sig", "rep"), "sig"),
+                         "jaccard-needed")
+        own = work.join(small(needed.select(F.col("rep").alias("_rep")), 16), F.col("id").eqNullSafe(F.col("_rep")), "left_semi")
+        found = own.mapInArrow(whole, "id long, sig long, values binary").join(small(needed, 24), "sig")
+        return written(found.where(F.col("id").eqNullSafe(F.col("rep"))).select("sig", "values"), "jaccard-values")
 
     def whole(batches):
+        seen = set()
         for ids, sets, found in sets_of(batches, n):
+            new = []
+            for i, key in enumerate(zip(ids, found, strict=True)):
+                if key not in seen:
+                    seen.add(key)
+                    new.append(i)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(found, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["id", "sig", "values"])
+                [pa.array([ids[i] for i in new], pa.int64()), pa.array([found[i] for i in new], pa.int64()),
+                 pa.array([sets[i].tobytes() for i in new], pa.binary())], ["id", "sig", "values"])
 
-    sets = work.mapInArrow(whole, "id long, sig long, values binary").join(small(members, 24), "sig")
-    sets = written(sets.where(F.col("id").eqNullSafe(F.col("rep"))).select("sig", "values"), "jaccard-values")
-    links = written(_verify(tried, sets, percent), "jaccard-links")
+    links = written(_verify(tried, sets_for(tried), percent), "jaccard-links")
     labels = components(links)
 
     # second round: what lies between components
@@ -336,7 +346,7 @@ def jaccard_components(df: DataFrame, *, text: str = "text", id: str = "doc_id",
                .where(_reaches(F.col("c"), F.col("na"), F.col("nb"), percent)).select("a", "b", "c"))
     rest = written(short.unionByName(crossed).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "jaccard-rest")
     if rest.limit(1).count():
-        more = written(_verify(rest, sets, percent), "jaccard-links")
+        more = written(_verify(rest, sets_for(rest), percent), "jaccard-links")
         if more.limit(1).count():
             labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
 
