@@ -318,7 +318,7 @@ def jaccard_components(df: DataFrame, *, text: str = "text", id: str = "doc_id",
         seen = set()
         for ids, sets, found in sets_of(batches, n):
             new = []
-            for i, key in enumerate(zip(ids, found, strict=True)):
+            for i, key in enumerate(zip(ids, found, strict=True)):       # (rows may repeat an id)
                 if key not in seen:
                     seen.add(key)
                     new.append(i)

@@ -23,8 +23,8 @@ characters. What remains emits all its deletion variants inside the segment, as
 So a group needs its earliest members only, never its pairs. Each line meets its
 group's earliest, ``levenshtein`` verifies the edit distance, and the earliest stays.
 
-Rows are numbered once, in the table that all steps read, so rows that repeat an id or
-have none are documents of their own, in the order of that table, and no group holds
+Rows are numbered by their file and place there (by one written copy, if the input isn't a
+table of files), so rows that repeat an id or have none are documents of their own, in that order, and no group holds
 more than one row's lines. NULL text is empty. A document that loses every line has an
 empty text. Empty tables give empty results.
 """
@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import small, written
+from .tables import numbered, small, written
 
 MIN_EDIT = 8
 SEGMENT = 256
@@ -128,7 +128,7 @@ def line_dedup(df: DataFrame, *, text: str = "text", id: str = "doc_id", min_edi
                n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
     """``df`` with its text free of dropped lines, and the numbers of its lines and of those dropped."""
     order = F.coalesce(F.col(id).cast("long"), F.lit(LAST))
-    rows = written(df.select(F.struct("*").alias("own"), order.alias("ord"), F.monotonically_increasing_id().alias("row")), "line-rows")
+    rows = numbered(df, "row", "line-rows", F.struct("*").alias("own"), order.alias("ord"))
     drops = dropped_lines(rows, text=text, min_edit=min_edit)
     whole = F.coalesce(F.col(f"own.{text}"), F.lit(""))
     joined = rows.select("own", "row").join(drops.hint("shuffle_hash"), "row", "left").withColumn("lines", F.split(whole, "\n"))

@@ -32,12 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import BROADCAST_BYTES, written
+from .tables import BROADCAST_BYTES, numbered, written
 from .words import Words, column, mix, slices
 
 WEIGHTS = (5, 2, 1)
 SHARD_WORDS = 1 << 18
-MAX_BLOCKS = 1 << 36             # of one source; beyond, its blocks grow
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], share: float = 1.5, most: float = 2.0) -> list[float]:
@@ -147,7 +146,7 @@ def blocks_of(words: int, block: int) -> int:
 
 def block_of(words: int, target: float, block: int) -> int:
     """Block size of one source: it follows from the source alone."""
-    return max(1, min(block, words // 128, int(target) // 32), words // MAX_BLOCKS)
+    return max(1, min(block, words // 128, int(target) // 32))
 
 
 def block_quota(words: int, quota: int, block: int, most: int) -> int:
@@ -204,7 +203,7 @@ def mixed_texts(df: DataFrame, **kw) -> DataFrame:
     spark = df.sparkSession
     columns = df.columns
     text = kw.get("text", "text")
-    base = written(df.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
+    base = numbered(df, "__row", "mix-rows")
     spans = mix_sources(base, row="__row", **kw).where("taken > 0").select(F.col("row").alias("__row"), F.col("spans").alias("__spans"))
     work = base.join(spans, "__row").select(*columns, "__spans")
     at = columns.index(text)

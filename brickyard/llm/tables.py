@@ -1,6 +1,8 @@
 """Working tables: written under the checkpoint folder, bucketed by range, broadcast behind a check."""
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,31 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _files_only(df: DataFrame) -> bool:
+    """Whether each row of ``df`` is a row of one scan of files: nothing but projections and filters above it."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.child()
+    return node.nodeName() == "LogicalRelation"
+
+
+def numbered(df: DataFrame, name: str, label: str, *columns: Column) -> DataFrame:
+    """``columns`` of ``df`` (all, if none are given) and ``name``, a row number that every
+    scan gives again: the number of the row's file and its place there, where ``df`` is a
+    scan of one file or of files that one Spark write numbered; else from a written copy."""
+    columns = columns or ("*",)
+    if _files_only(df) and "_metadata" not in (c.lower() for c in df.columns):
+        files = [f.rsplit("/", 1)[-1] for f in df.inputFiles()]
+        parts = [m and m[1] for m in (re.match(r"part-(\d+)-[^/]*\.parquet$", f) for f in files)]
+        place = F.col("_metadata.row_index")
+        if len(files) == 1 and files[0].endswith(".parquet"):
+            return df.select(*columns, place.alias(name))
+        if files and all(parts) and len(set(parts)) == len(parts):
+            file = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)-", 1).cast("long")
+            return df.select(*columns, (F.shiftleft(file, 40) + place).alias(name))
+    return written(df.select(*columns, F.monotonically_increasing_id().alias(name)), label)
+
+
 def small(table: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> DataFrame:
     """``table`` (a written one: its count is read from file footers) marked for
     broadcast if it is proven to hold at most ``most`` bytes; else left to a

@@ -24,7 +24,7 @@ from brickyard.llm.line_dedup import line_dedup
 from brickyard.llm.mixing import mixed_texts
 from brickyard.llm.packing import pack
 from brickyard.llm.queries import tokenizer_file
-from brickyard.llm.tables import documents, small, written
+from brickyard.llm.tables import documents, numbered, small, written
 
 
 def _with_size(df: DataFrame) -> DataFrame:
@@ -44,7 +44,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
+    rows = numbered(docs, "__row", "near-rows")
     found = jaccard_components(rows, id="__row")
     gone = written(found.where("__row <> component_id").select("__row"), "near-gone")
     return rows.join(small(gone, 16), "__row", "left_anti").select(*docs.columns)
