@@ -23,7 +23,8 @@ TINY = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{TINY}/documents.parquet')")
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{TINY}/{table}.parquet')")
     got = QUERIES[name](spark, TINY)
     res = con.execute(ORACLES[name])
     columns = [d[0] for d in res.description]
