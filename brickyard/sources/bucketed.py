@@ -2,7 +2,8 @@
 
 Rows with a key are stored as a bucketed, sorted table of the session's catalog; rows without one
 can't match, so they are stored apart and never pile into the bucket that NULL hashes to. The
-dimension is written with the same buckets. ``join_bucketed`` then joins bucket by bucket, without
+dimension is written with the same buckets. Their number grows with the rows, so that the sort of a
+bucket stays in a task's memory. ``join_bucketed`` then joins bucket by bucket, without
 an exchange or a sort of the fact where a bucket is one file, and adds the rows without a key.
 
 One hot key stays in one bucket: for a key that holds a large share of the rows use
@@ -17,6 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BUCKET_ROWS = 1_000_000          # a task sorts a bucket: its rows stay in memory
+MOST_BUCKETS = 10_000            # files of one write
+
+
 @dataclass(frozen=True)
 class Bucketed:
     """Names and places of a bucketed layer."""
@@ -32,10 +37,13 @@ def _save(df: DataFrame, name: str, path: str, key: str, buckets: int) -> None:
     df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
 
 
-def write_bucketed(df: DataFrame, path: str, key: str, *, buckets: int) -> Bucketed:
-    """Store ``df`` under ``path``, bucketed and sorted by ``key``."""
+def write_bucketed(df: DataFrame, path: str, key: str, *, buckets: int, bucket_rows: int = BUCKET_ROWS) -> Bucketed:
+    """Store ``df`` under ``path``, bucketed and sorted by ``key``: in ``buckets`` buckets, or in as many as hold
+    ``bucket_rows`` rows each on average, if these are more."""
+    keyed = df.where(F.col(key).isNotNull())
+    buckets = max(buckets, min(MOST_BUCKETS, -(-keyed.select(key).count() // bucket_rows)))
     made = Bucketed(f"bucketed_{uuid.uuid4().hex}", f"{path}/without_key", key, buckets)
-    _save(df.where(F.col(key).isNotNull()), made.table, f"{path}/rows", key, buckets)
+    _save(keyed, made.table, f"{path}/rows", key, buckets)
     df.where(F.col(key).isNull()).write.mode("overwrite").parquet(made.rest)
     return made
 

@@ -108,6 +108,18 @@ def test_bucketed_join_shuffles_no_fact_rows(spark, tmp_path):
     assert out["rows_a"] == out["rows_b"] == 4000 and out["groups_differing"] == 0
 
 
+def test_buckets_grow_with_the_rows(spark, tmp_path):
+    df = skewed(spark)
+    layer = write_bucketed(df, f"{tmp_path}/b", "area", buckets=4, bucket_rows=400)
+    assert layer.buckets == 9                        # 3,600 rows have a key
+    joined = join_bucketed(spark, layer, dim(spark), f"{tmp_path}/d")
+    plan = physical_plan(joined)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    want = df.join(dim(spark), "area", "left").select(*joined.columns)
+    out = strategy_parity(joined, want, ["region"]).first()
+    assert out["rows_a"] == out["rows_b"] == 4000 and out["groups_differing"] == 0
+
+
 def test_salts_bound_the_largest_task_of_a_hot_area(spark):
     own = isolated(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"})
     df, small = skewed(own), dim(own)
