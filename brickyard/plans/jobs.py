@@ -78,12 +78,16 @@ def ingest_frame(raw: DataFrame, *, rules: Sequence[Rule] | None = None,
                  ) -> tuple[DataFrame, Observation]:
     """The rows ``ingest`` writes, and the observation that will hold its audit
     once they are written (see ``ingest`` for the order of the steps)."""
-    rules = list(rules) if rules is not None else price_paid_rules()
+    full, plain = enrich(raw), rules is None                    # (the feed's own rules read no derived column)
+    rules = price_paid_rules() if plain else list(rules)
     obs = Observation(f"ingest-audit-{uuid.uuid4().hex}")   # unique per concurrent ingest
-    rows = apply_rules(enrich(raw).observe(obs, *audit_columns(rules)), rules)
     aqe = raw.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true"
-    if layout == "rebalance" and aqe and partition_by:
-        rows = rows.hint("rebalance", partition_by)
+    if layout != "rebalance" or not aqe or not partition_by:
+        return apply_rules(full.observe(obs, *audit_columns(rules)), rules), obs
+    # only the feed's columns cross the shuffle; derived ones are made again behind it
+    kept = [*raw.columns, *[c for c in [partition_by] if c not in raw.columns]]
+    rows = apply_rules((full.select(*kept) if plain else full).observe(obs, *audit_columns(rules)), rules)
+    rows = enrich(rows.select(*kept).hint("rebalance", partition_by)).select(*full.columns)
     return rows, obs
 
 

@@ -9,22 +9,25 @@ feed columns, so every operator runs on it as it would on the real feed.
 Join plan, chosen for scale (CBO join reordering is off, so the written order
 is the executed order):
 
-1. nation ⋈ region — two fixed-size dimensions;
-2. customer ⋈ (1);
-3. orders ⋈ (2) on custkey — the orders-sized shuffle happens *before* the
-   lineitem join, so lineitem rows are shuffled only by orderkey and partkey;
-4. lineitem ⋈ (3) on orderkey, then ⋈ part on partkey.
-
-lineitem ⋈ orders joins two fact-sized tables that both grow with the data,
-so it is a sort-merge join by hint: a pruned, compressed Parquet scan can
-look small enough to the size estimate to be broadcast (at sf0.1 the planner
-would broadcast lineitem itself), and a fact table must never be built into a
-hash table on the driver. Every other join is left to Catalyst's own size
-check (``autoBroadcastJoinThreshold``), which broadcasts the small dimensions
-and plans sort-merge joins for large ones, and AQE re-plans from the real
-shuffle sizes at run time. Only the needed columns are
-selected before each join, so every scan reads a pruned schema, and the
-cleaning predicates on status and price are pushed below the joins.
+1. every table is cut down to what the feed needs before any join: codes are
+   decoded, prices floored and supplier numbers folded on the table they come
+   from, so a shuffled row holds short values only;
+2. customer (its nation as a number) ⋈ orders on custkey: the orders-sized
+   shuffle happens *before* the lineitem join;
+3. lineitem ⋈ (2) on orderkey, then ⋈ part on partkey: street names join last,
+   so no shuffle of sales carries them;
+4. ⋈ nation ⋈ region, two fixed-size tables whose texts never cross a shuffle.
+
+The joins of lineitem are shuffled hash joins by hint. Each task builds a hash
+table of its share of orders or part and streams the sales past it: no sort of
+sales, hence nothing to spill as they grow, and no table built on the driver (at
+sf0.1 the planner would broadcast lineitem itself). A hash table holds a share of
+the shuffle partitions' number; all that run at once never hold more than the
+whole of orders' four short columns. The strategy doesn't change with the tables'
+sizes, so neither does the growth of the bytes. The other joins are left to
+Catalyst's own size check (``autoBroadcastJoinThreshold``), and AQE re-plans from
+the real shuffle sizes at run time. The cleaning predicates on status and price
+are pushed below the joins.
 """
 from __future__ import annotations
 
@@ -62,35 +65,38 @@ def area_by_nation() -> dict[str, str]:
 def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw sales in the feed contract (16 columns), before cleaning."""
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    geo = geo.select("n_nationkey", "n_name", "r_name")
+    nation = table(spark, sf_dir, "nation").select(
+        "n_nationkey", "n_name", "n_regionkey",
+        decode(F.col("n_nationkey").cast("string"), area_by_nation()).alias("n_area"))
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).drop("n_regionkey", "r_regionkey")
 
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey)
-    cust = cust.select("c_custkey", "c_nationkey", "c_mktsegment", "n_name", "r_name")
-
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    ords = orders.join(cust, orders.o_custkey == cust.c_custkey).drop("o_custkey", "c_custkey")
+        "o_orderkey", "o_custkey", decode("o_orderstatus", STATUS_BY_ORDERSTATUS).alias("o_status"),
+        F.when(F.col("o_orderpriority").isin(*CATEGORY_B_PRIORITIES), "B").otherwise("A").alias("o_category"))
+    ords = orders.join(customer, orders.o_custkey == customer.c_custkey).drop("o_custkey", "c_custkey")
 
     lineitem = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
-        "l_returnflag", "l_linestatus", "l_shipdate")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-    rows = (lineitem.join(ords.hint("merge"), lineitem.l_orderkey == ords.o_orderkey)
-                    .join(part, lineitem.l_partkey == part.p_partkey))
+        "l_orderkey", "l_partkey", "l_linenumber", "l_shipdate",
+        F.floor("l_extendedprice").alias("l_price"),
+        (F.lit(1) + F.col("l_suppkey") % 9).cast("byte").alias("l_supplier"),
+        decode("l_returnflag", OLD_NEW_BY_RETURNFLAG).alias("l_old_new"),
+        decode("l_linestatus", DURATION_BY_LINESTATUS).alias("l_duration"))
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name", decode(F.substring_index("p_type", " ", 1), TYPE_BY_PART_WORD).alias("p_code"))
+    rows = (lineitem.join(ords.hint("shuffle_hash"), lineitem.l_orderkey == ords.o_orderkey).drop("o_orderkey")
+                    .join(part.hint("shuffle_hash"), lineitem.l_partkey == part.p_partkey)
+                    .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
 
-    area = decode(F.col("c_nationkey").cast("string"), area_by_nation())
     null_str = F.lit(None).cast("string")
     cols = {
         "transaction_id": F.concat_ws("-", "l_orderkey", "l_linenumber"),
-        "price": F.floor("l_extendedprice").cast("int"),
+        "price": F.col("l_price").cast("int"),
         "date_of_transfer": F.col("l_shipdate").cast("timestamp_ntz"),
-        "postcode": F.concat(area, (F.lit(1) + F.col("l_suppkey") % 9).cast("string"), F.lit(" 1AA")),
-        "property_type": decode(F.substring_index("p_type", " ", 1), TYPE_BY_PART_WORD),
-        "old_new": decode("l_returnflag", OLD_NEW_BY_RETURNFLAG),
-        "duration": decode("l_linestatus", DURATION_BY_LINESTATUS),
+        "postcode": F.concat("n_area", F.col("l_supplier").cast("string"), F.lit(" 1AA")),
+        "property_type": F.col("p_code"),
+        "old_new": F.col("l_old_new"),
+        "duration": F.col("l_duration"),
         "paon": null_str,
         "saon": null_str,
         "street": F.col("p_name"),
@@ -98,8 +104,7 @@ def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         "town_city": F.col("c_mktsegment"),
         "district": F.col("n_name"),
         "county": F.col("r_name"),
-        "ppd_category_type": F.when(F.col("o_orderpriority").isin(*CATEGORY_B_PRIORITIES), "B")
-                              .otherwise("A"),
-        "record_status": decode("o_orderstatus", STATUS_BY_ORDERSTATUS),
+        "ppd_category_type": F.col("o_category"),
+        "record_status": F.col("o_status"),
     }
     return rows.select(*[cols[c].alias(c) for c in FEED_COLUMNS])

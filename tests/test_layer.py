@@ -1,6 +1,8 @@
 """Feed CSV contract, partitioned layer, sink, footprint and plan pushdown."""
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from brickyard.sources.contract import FEED_SCHEMA, read_feed_csv, write_feed_cs
 from brickyard.sources.layer import (
     exists, footprint, read_layer, read_summary, scratch_dir, scratch_root, write_layer, write_summary,
 )
+from brickyard.sources.sales import sales_view
 
 from .conftest import KEPT, frame, made, yearly
 
@@ -61,6 +64,49 @@ def test_only_clean_rows_are_laid_out(spark, sample_df):
     assert 0 <= plan.index("Exchange") < plan.index("Filter") < plan.index("CollectMetrics")
 
 
+def test_only_the_feeds_columns_cross_the_layout_shuffle(spark, sample_df):
+    rows, _ = ingest_frame(sample_df)
+    above, below = physical_plan(rows).split("Exchange", 1)
+    for name in ("property_type_name", "duration_name", "ppd_category_name", "postcode_area"):
+        assert name in above and name not in below
+    direct = ingest_frame(sample_df, layout="map")[0]
+    assert rows.columns == direct.columns
+    assert sorted(map(str, rows.collect())) == sorted(map(str, direct.collect()))
+
+
+def star(spark, folder):
+    """Small star-schema tables: two orders of a customer with a nation, one of a customer without, lines without an order or part."""
+    tables = {
+        "region": ("r_regionkey int, r_name string", [(0, "NORTH")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "ALPHA", 0), (14, "OMEGA", 0), (3, "LOST", 9)]),
+        "customer": ("c_custkey long, c_nationkey int, c_mktsegment string",
+                     [(1, 0, "CARS"), (2, 14, None), (3, 3, "CARS"), (4, None, "CARS"), (None, 0, "CARS")]),
+        "part": ("p_partkey long, p_name string, p_type string", [(5, "green nut", "PROMO X"), (6, None, None), (None, "x", "PROMO X")]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string",
+                   [(10, 1, "F", "1-URGENT"), (10, 1, "P", None), (11, 2, None, "5-LOW"), (12, 3, "F", None), (13, 4, "F", None), (None, 1, "F", None)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_returnflag string, "
+                     "l_linestatus string, l_shipdate timestamp",
+                     [(10, 5, 17, 1, 2500.9, "N", "F", dt.datetime(1996, 5, 4)), (11, 6, None, 2, None, "R", None, None), (12, 5, 1, 1, 1.0, "N", "F", None),
+                      (13, 5, 1, 1, 1.0, "N", "F", None), (99, 5, 1, 1, 1.0, "N", "F", None), (10, 99, 1, 3, 1.0, "N", "F", None),
+                      (None, 5, 1, 1, 1.0, "N", "F", None), (10, None, 1, 4, 1.0, "N", "F", None)]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_sales_are_joined_without_a_sort_of_them(spark, tmp_path):
+    df = sales_view(spark, star(spark, tmp_path))
+    plan = physical_plan(df)
+    assert "SortMergeJoin" not in plan and plan.count("ShuffledHashJoin") == 2
+    got = sorted(map(tuple, df.select("transaction_id", "price", "postcode", "property_type", "old_new", "duration", "street", "town_city",
+                                      "district", "county", "ppd_category_type", "record_status").collect()), key=str)
+    assert got == sorted([
+        ("10-1", 2500, "SW9 1AA", "S", "Y", "F", "green nut", "CARS", "ALPHA", "NORTH", "B", "A"),
+        ("10-1", 2500, "SW9 1AA", "S", "Y", "F", "green nut", "CARS", "ALPHA", "NORTH", "A", "D"),
+        ("11-2", None, None, None, None, None, None, None, "OMEGA", "NORTH", "A", None)], key=str)
+
+
 def test_scratch_dirs_are_fresh(spark):
     a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert a != b and a.startswith(scratch_root(spark))
