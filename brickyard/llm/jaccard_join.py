@@ -10,8 +10,8 @@ The product of the document by n-gram incidence with its transpose counts overla
 Columns are dealt into hash blocks; only these entries are needed:
 
 1. Order. Shingles that many documents share come last (a list of the commonest,
-   counted in every task; its length bounds what is broadcast, and it decides the
-   order only). A pair that links shares a shingle among the first
+   counted over all tasks by hash block; its length bounds what is broadcast, and it
+   decides the order only). A pair that links shares a shingle among the first
    ``n - ceil(0.8 n) + 1`` of both sets, whatever the order is.
 2. Blocks. Each block's task holds its columns' entries. Columns of up to ``SHORT``
    documents are multiplied out and overlap counts of pairs accumulated; longer ones
@@ -50,11 +50,11 @@ from .tables import small, written
 from .words import Words, column, mix, shingles, slices
 
 N = 5
-OFTEN = 4                        # documents of a task from which it reports a shingle as common
+OFTEN = 4                        # documents from which a shingle may count as common
 COMMON = 200_000                 # commonest shingles that go last: at most 3.2 MB
 SHORT = 12                       # documents of a column that is multiplied out in its block
 SPLIT = 20_000                   # counted documents of a column from which it is split
-COUNTED = 4_000_000              # shingles that a task counts at once
+COUNTED = 1_000_000              # shingles that a task counts at once
 FLUSH = 500_000                  # entries that a task holds at once
 MAP = 8                          # 64-bit words of a set's parity bitmap
 _STEP = np.log(1.05)
@@ -75,7 +75,7 @@ def sets_of(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[list, l
 
 
 _MAPS = [f"m{k}" for k in range(MAP)]
-_DOC = "id long, sig long, n int, times long, " + ", ".join(f"{m} long" for m in _MAPS)
+_DOC = "id long, sig long, n int, " + ", ".join(f"{m} long" for m in _MAPS)
 
 
 def parity(values: np.ndarray) -> np.ndarray:
@@ -84,49 +84,97 @@ def parity(values: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _documents(n: int, least: int):
-    """A row for each document (times NULL), and the shingles that a task has often."""
+def _documents(n: int):
+    """A row for each document."""
 
-    def frequent(held: list[np.ndarray]):
-        values, times = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        many = times >= least
-        none = [None] * int(many.sum())
-        return _batch(none, values[many].view(np.int64), none, times[many], [none] * MAP)
+    def run(batches):
+        for ids, sets, sigs in sets_of(batches, n):
+            maps = np.array([parity(s) for s in sets]).T
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sigs, pa.int64()), pa.array([len(s) for s in sets], pa.int32()),
+                                              *[pa.array(m, pa.int64()) for m in maps]], ["id", "sig", "n", *_MAPS])
+
+    return run
+
+
+def _block(values: np.ndarray, bits: int) -> np.ndarray:
+    return (values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(values), np.int64)
 
-    def _batch(ids, sigs, sizes, times, maps):
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sigs, pa.int64()), pa.array(sizes, pa.int32()),
-                                           pa.array(times, pa.int64()), *[pa.array(m, pa.int64()) for m in maps]],
-                                          ["id", "sig", "n", "times", *_MAPS])
+
+def _key(values: np.ndarray, bits: int) -> np.ndarray:
+    """A shingle's block and the 32 bits behind it: what common shingles are known by."""
+    return values >> np.uint64(32 - bits)
+
+
+def _counts(n: int, bits: int):
+    """Shingles by block and how many of a task's sets hold them, each as 32 bits, packed."""
+
+    def flush(held):
+        keys, times = np.unique(_key(np.concatenate(held), bits), return_counts=True)
+        names, starts = np.unique(keys >> np.uint64(32), return_index=True)
+        ends = np.append(starts[1:], len(keys))
+        cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), cut(keys.astype(np.uint32)), cut(times.astype(np.uint32))],
+                                          ["block", "keys", "times"])
 
     def run(batches):
         seen, held, total = set(), [], 0
-        for ids, sets, sigs in sets_of(batches, n):
-            yield _batch(ids, sigs, [len(s) for s in sets], [None] * len(ids), np.array([parity(s) for s in sets]).T)
+        for _, sets, sigs in sets_of(batches, n):
             for values, sig in zip(sets, sigs, strict=True):
                 if len(values) and sig not in seen:
                     seen.add(sig)
                     held.append(values)
                     total += len(values)
             if total >= COUNTED:
-                yield frequent(held)
+                yield flush(held)
                 held, total = [], 0
-        yield frequent(held)
+        if total:
+            yield flush(held)
 
     return run
 
 
+def _sum_counts(least: int):
+    """A block's shingles that ``least`` sets hold or more (a set counts once for each task that has it)."""
+
+    def run(key, table):
+        join = lambda c: np.concatenate([np.frombuffer(x, np.uint32) for x in table[c].to_pylist()])
+        keys, times = join("keys"), join("times")
+        order = np.argsort(keys)
+        keys = keys[order]
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        total = np.add.reduceat(times[order].astype(np.int64), starts)
+        many = total >= least
+        return pa.table({"key": (np.int64(key[0].as_py()) << 32) + keys[starts[many]].astype(np.int64), "times": total[many]})
+
+    return run
+
+
+def _commonest(counted: DataFrame, most: int, bits: int) -> DataFrame:
+    """About the ``most`` rows that are counted most often: whole counts from the highest
+    down, and of the last one the share of the hashes for which there is room."""
+    levels = counted.groupBy("times").agg(F.count(F.lit(1)).alias("rows")).collect()
+    room = most
+    for times, rows in sorted(levels, reverse=True):
+        if rows > room:
+            below = (room << 32 + bits) // rows
+            return counted.where((F.col("times") > times) | ((F.col("times") == times) & (F.col("key") < below)))
+        room -= rows
+    return counted
+
+
 def size_code(n):
     """Size on a log scale of 5 % steps, in a byte."""
     return np.minimum(np.round(np.log(np.maximum(n, 1)) / _STEP), 255).astype(np.uint8)
 
 
-def prefix(values: np.ndarray, common: np.ndarray, times: np.ndarray, percent: int) -> np.ndarray:
+def prefix(values: np.ndarray, common: np.ndarray, times: np.ndarray, percent: int, bits: int) -> np.ndarray:
     """The first ``n - ceil(percent n / 100) + 1`` of a set, commonest shingles last."""
     n = len(values)
     most = n - -(-percent * n // 100) + 1
     if len(common):
-        at = np.minimum(np.searchsorted(common, values), len(common) - 1)
-        count = np.where(common[at] == values, times[at], 0)
+        keys = _key(values, bits)
+        at = np.minimum(np.searchsorted(common, keys), len(common) - 1)
+        count = np.where(common[at] == keys, times[at], 0)
         if count.any():
             return values[np.lexsort((values, count))[:most]]
     return values[:most]
@@ -137,10 +185,11 @@ def _entries(n: int, percent: int, bits: int, common: np.ndarray, times: np.ndar
 
     def flush(values, sigs, codes):
         values, sigs, codes = np.concatenate(values), np.concatenate(sigs), np.concatenate(codes)
-        block = (values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(values), np.int64)
+        block = _block(values, bits)
         if len(common):                                  # a very long column: split by document
-            at = np.minimum(np.searchsorted(common, values), len(common) - 1)
-            ways = np.where(common[at] == values, times[at] // split_at, 0)
+            keys = _key(values, bits)
+            at = np.minimum(np.searchsorted(common, keys), len(common) - 1)
+            ways = np.where(common[at] == keys, times[at] // split_at, 0)
             split = np.flatnonzero(ways)
             block[split] = (block[split] + (sigs[split].view(np.uint64) % (ways[split] + 1).astype(np.uint64)).astype(np.int64)) % (1 << bits)
         order = np.argsort(block, kind="stable")
@@ -157,7 +206,7 @@ def _entries(n: int, percent: int, bits: int, common: np.ndarray, times: np.ndar
                 if not len(own) or sig in seen:
                     continue
                 seen.add(sig)
-                first = prefix(own, common, times, percent)
+                first = prefix(own, common, times, percent, bits)
                 values.append(first)
                 sigs.append(np.full(len(first), sig, np.int64))
                 codes.append(np.full(len(first), size_code(len(own)), np.uint8))
@@ -174,9 +223,9 @@ def _entries(n: int, percent: int, bits: int, common: np.ndarray, times: np.ndar
 _CELL = pa.schema([("col", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int32())])
 
 
-def _multiply(percent: int, short: int, apart: np.ndarray):
+def _multiply(percent: int, short: int, bits: int, apart: np.ndarray):
     """A block's part of the product: overlap counts by pair; entries of long columns (b
-    NULL), to which the columns ``apart`` belong, as other blocks have entries of theirs."""
+    NULL), to which the columns with a key in ``apart`` belong, as other blocks have entries of theirs."""
     slack = np.log(100 / percent) / _STEP + 1
 
     def run(key, table):
@@ -191,8 +240,9 @@ def _multiply(percent: int, short: int, apart: np.ndarray):
         first[1:] = cols[1:] != cols[:-1]
         starts = np.flatnonzero(first)
         size = np.diff(np.append(starts, len(cols)))
-        place = np.minimum(np.searchsorted(apart, cols[starts]), max(0, len(apart) - 1))
-        size = np.where(apart[place] == cols[starts], np.iinfo(np.int64).max, size) if len(apart) else size
+        keys = _key(cols[starts], bits)
+        place = np.minimum(np.searchsorted(apart, keys), max(0, len(apart) - 1))
+        size = np.where(apart[place] == keys, np.iinfo(np.int64).max, size) if len(apart) else size
         lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for k in range(2, short + 1):
             own = starts[size == k]
@@ -260,25 +310,26 @@ def jaccard_components(df: DataFrame, *, text: str = "text", id: str = "doc_id",
     """One row per row of ``df``: the id, ``n_shingles`` and ``component_id``."""
     work = df.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     spark = df.sparkSession
-    table = written(work.mapInArrow(_documents(n, often), _DOC), "jaccard-documents")
-    docs = table.where("times IS NULL").select("id", "sig", "n")
-    sigs = written(table.where("times IS NULL AND n > 0").groupBy("sig").agg(
+    table = written(work.mapInArrow(_documents(n), _DOC), "jaccard-documents")
+    docs = table.select("id", "sig", "n")
+    sigs = written(table.where("n > 0").groupBy("sig").agg(
         F.min("id").alias("rep"), F.max("n").alias("n"), *[F.max(m).alias(m) for m in _MAPS]), "jaccard-sets")
-
-    found = (table.where("times IS NOT NULL").groupBy("sig").agg(F.sum("times").alias("times"))
-             .orderBy(F.desc("times"), "sig").limit(common).toPandas())        # pairs of numbers
-    values = found["sig"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(values)
-    values, times = values[order], found["times"].to_numpy(np.int64)[order]
-    held = spark.sparkContext.broadcast((values, times))
-    apart = values[times >= split_at]
     bits = min(16, max(0, (sigs.count() // 1024)).bit_length())
 
+    counted = written(work.mapInArrow(_counts(n, bits), "block int, keys binary, times binary").groupBy("block")
+                      .applyInArrow(_sum_counts(often), "key long, times long"), "jaccard-common")
+    found = _commonest(counted, common, bits).toArrow()                       # pairs of numbers
+    keys, times = found["key"].to_numpy().astype(np.uint64), found["times"].to_numpy().astype(np.int64)
+    order = np.argsort(keys)
+    keys, times = keys[order], times[order]
+    held = spark.sparkContext.broadcast((keys, times))
+    apart = keys[times >= split_at]
+
     def entries(batches):
         yield from _entries(n, percent, bits, *held.value, split_at)(batches)
 
     cells = written(work.mapInArrow(entries, "block int, cols binary, sigs binary, codes binary").groupBy("block")
-                    .applyInArrow(_multiply(percent, short, apart), "col long, a long, b long, c int"), "jaccard-cells")
+                    .applyInArrow(_multiply(percent, short, bits, apart), "col long, a long, b long, c int"), "jaccard-cells")
     long = cells.where("b IS NULL").select("col", F.col("a").alias("sig"))
     entries_of = long.groupBy("sig").agg(F.count(F.lit(1)).alias("long"))
     known = written(sigs.join(entries_of, "sig", "left").select("sig", "rep", "n", F.coalesce("long", F.lit(0)).alias("long"), *_MAPS),
@@ -295,7 +346,8 @@ def jaccard_components(df: DataFrame, *, text: str = "text", id: str = "doc_id",
     ways = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "c").unionByName(
         pairs.select(F.col("b").alias("x"), F.col("a").alias("y"), "c"))
     likeliest = ways.groupBy("x").agg(F.max(F.struct("c", "y")).alias("m")).select("x", F.col("m.y").alias("y"))
-    sized = long.join(known.select("sig", "n", "long"), "sig").withColumn("band", F.floor(F.log("n") / F.lit(float(_STEP)) / 4).cast("int"))
+    sized = written(long.join(known.select("sig", "n", "long"), "sig").withColumn(
+        "band", F.floor(F.log("n") / F.lit(float(_STEP)) / 4).cast("int")), "jaccard-long")
     leaders = sized.groupBy("col", "band").agg(F.max(F.struct("long", "sig", "n")).alias("m")).select(
         "col", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), F.col("m.sig").alias("y"), F.col("m.n").alias("m"))
     led = (sized.join(leaders, ["col", "band"]).where((F.col("sig") != F.col("y")) & _sizes_fit(F.col("n"), F.col("m"), percent))

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import pytest
 
+from brickyard.llm import jaccard_join
 from brickyard.llm.components import components
 from brickyard.llm.jaccard_join import jaccard_components
 from brickyard.llm.line_dedup import line_dedup
@@ -65,6 +66,27 @@ def test_jaccard_of_awkward_rows_and_none(docs, rows, empty):
     assert jaccard_components(empty).count() == 0
 
 
+def test_jaccard_shingles_that_no_task_has_twice_are_common(spark, monkeypatch):
+    """A passage of 30 documents, one a task, stays behind the prefixes: no long columns."""
+    rng, long = random.Random(4), []
+    passage = " ".join(f"shared{k}" for k in range(40))
+    rows = [(k, " ".join(f"own{rng.random()}" for _ in range(60)) + " " + passage) for k in range(30)]
+    rows += [(100, rows[7][1] + " more"), (101, passage)]
+
+    def spied(df, label, real=jaccard_join.written):
+        out = real(df, label)
+        if label == "jaccard-cells":
+            long.append(out.where("b IS NULL AND a <> 0").select("col", "a").collect())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", spied)
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), "doc_id long, text string")
+    assert bag(jaccard_components(df), "doc_id", "n_shingles", "component_id") == brute_components(rows)
+    assert long == [[]]
+    assert bag(jaccard_components(df, common=5), "doc_id", "n_shingles", "component_id") == brute_components(rows)
+    assert long[1]
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 95)], "a long, b long")
     got = {r["node"]: r["label"] for r in components(links).collect()}
